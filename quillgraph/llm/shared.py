@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-import gc
 import math
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,18 +26,24 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
-    """Cut the lineage: write ``df`` to the shared folder and read it back, then let Spark drop the shuffle files behind it."""
+    """Cut the lineage: write ``df`` to the shared folder and read it back; the shuffle files behind it go at once."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    release(spark)
+    with tidy(spark):
+        df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
-def release(spark: SparkSession) -> None:
-    """Shuffle files go once the driver collects the plans that own them; ask for that between phases."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+@contextmanager
+def tidy(spark: SparkSession):
+    """Within, each finished execution's shuffle files are deleted."""
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key, "false")
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
 
 
 def discard(df: DataFrame) -> None:

@@ -10,8 +10,8 @@ document and an earlier start) is a repeat, and every word that a repeat covers
    anchors and sends one row for each different phrase, however often it holds it.  Over these rows a phrase's first
    place and its number of places follow; what occurs once goes.
 3. Automata.  Each bucket gets, for each recurring phrase that it holds, one place to read it from.  It compiles them
-   into Aho-Corasick automata (PHRASES phrases at most in each) over its own word numbers, which compare whole words,
-   and streams all its documents through each to find every occurrence.
+   into Aho-Corasick automata (PHRASES phrases at most in each, words as letters of a small alphabet), streams all its
+   documents through each and compares the words of every hit, which finds every occurrence.
 
 No step gathers a key's rows in one task beyond one row a bucket; work and shuffle follow the text.
 """
@@ -107,88 +107,95 @@ class _Bucket:
 
 
 def _phrases(window: int):
-    """One row for each different phrase of a bucket whose anchor survives: two hashes, its first place there, how many."""
-    names = ["h", "k", "b", "did", "ver", "at", "n"]
-    types = [pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.int32()]
+    """One row for each different phrase of a bucket whose anchor survives: its hash, its first place there, and ``p``:
+    24 more bits of hash, whether the bucket holds it more than once, and the place's word, in one number."""
+    names = ["h", "p", "did", "ver"]
 
     def run(docs: pa.Table, places: pa.Table) -> pa.Table:
         if not docs.num_rows or not places.num_rows:
-            return pa.table([pa.array([], t) for t in types], names)
+            return pa.table([pa.array([], pa.int64())] * 4, names)
         bucket = _Bucket(docs)
         w, g, least, real, k = _anchors(bucket.texts, window)
         kept = np.full(len(g), MAX)
         at = w.first[bucket.find(places.column("did").to_numpy(), places.column("ver").to_numpy())] + places.column("at").to_numpy()
         kept[at] = g[at]
         i = np.flatnonzero(real & (sliding(kept, window - k + 1) == least))
-        h, check = grams(w.hash, window)[i], grams(w.hash, window, 77)[i] >> np.uint64(33)
+        h, check = grams(w.hash, window)[i], grams(w.hash, window, 77)[i] >> np.uint64(40)
         order = np.lexsort((i, check, h))
         h, check, i = h[order], check[order], i[order]
         new = np.ones(len(h), bool)
         new[1:] = (h[1:] != h[:-1]) | (check[1:] != check[:-1])
         lead = np.flatnonzero(new)
-        n = np.diff(np.append(lead, len(h)))
+        many = np.diff(np.append(lead, len(h))) > 1
         # back in the order of the text, in which ids and places compress well
         back = np.argsort(i[lead], kind="stable")
-        lead, n = lead[back], n[back]
+        lead, many = lead[back], many[back]
         t = np.searchsorted(w.first, i[lead], "right") - 1
-        cols = [h[lead].view(np.int64), check[lead], np.full(len(lead), docs.column("b")[0].as_py()), bucket.did[t], bucket.ver[t], i[lead] - w.first[t], n]
-        return pa.table([pa.array(c.astype(t.to_pandas_dtype())) for c, t in zip(cols, types, strict=True)], names)
+        p = (check[lead].astype(np.int64) << 40) | (many.astype(np.int64) << 39) | (i[lead] - w.first[t])
+        return pa.table([pa.array(c) for c in (h[lead].view(np.int64), p, bucket.did[t], bucket.ver[t])], names)
 
     return run
 
 
-def _codes(bucket: _Bucket):
-    """Each document as a string with a character for each word (numbers where there are too many words for that)."""
-    number: dict[bytes, int] = {}
-    cut = [t.encode("utf-8", "surrogatepass").split() for t in bucket.texts]
-    ids = [np.fromiter((number.setdefault(w, len(number)) for w in ws), np.uint32, len(ws)) for ws in cut]
-    if len(number) < 0x10F700:
-        # characters from U+0001, past the surrogates
-        return cut, [(np.where(x < 0xD7FF, x + 1, x + 0x801)).astype("<u4").tobytes().decode("utf-32-le") for x in ids], ahocorasick.STORE_ANY
-    return cut, [tuple(x.tolist()) for x in ids], ahocorasick.KEY_SEQUENCE
+#: Letters of the automata's alphabet: few, as a node's edges are searched one by one.
+LETTERS = 64
 
 
 def _located(bucket: _Bucket, routes: pa.Table, window: int):
-    """The words of each document, and a mask of those that repeats cover."""
-    cut, codes, kind = _codes(bucket)
-    hit = [np.zeros(len(ws), bool) for ws in cut]
-    doc = bucket.find(routes.column("did").to_numpy(), routes.column("ver").to_numpy()).tolist()
-    at, lead = routes.column("at").to_numpy().tolist(), routes.column("lead").to_numpy(False).tolist()
-    for low in range(0, len(doc), PHRASES):
-        auto = ahocorasick.Automaton(ahocorasick.STORE_ANY, kind) if kind == ahocorasick.KEY_SEQUENCE else ahocorasick.Automaton()
-        for d, s, first in zip(doc[low : low + PHRASES], at[low : low + PHRASES], lead[low : low + PHRASES], strict=True):
-            auto.add_word(codes[d][s : s + window], (d, s) if first else None)
+    """For each document a mask of the words that repeats cover.
+
+    A word is a letter by its hash; where an automaton finds a phrase's letters, its words' hashes are compared with
+    those of the phrase, 64 bits for each word.
+    """
+    w = words(bucket.texts)
+    line = np.full(len(w.start) + len(bucket.texts), ord("~"), np.uint8)  # a mark after each text, no letter
+    line[np.arange(len(w.start)) + w.text_of()] = (w.hash % np.uint64(LETTERS)).astype(np.uint8) + 48
+    text, raw = line.tobytes().decode("ascii"), w.hash.tobytes()
+    marks = w.first[:-1] + np.arange(len(bucket.texts))  # where each text begins in the line
+    doc = bucket.find(routes.column("did").to_numpy(), routes.column("ver").to_numpy())
+    at = routes.column("at").to_numpy()
+    begin, place, lead = (marks[doc] + at).tolist(), (w.first[doc] + at).tolist(), routes.column("lead").to_numpy(False).tolist()
+    ends: list[int] = []
+    for low in range(0, len(begin), PHRASES):
+        phrases: dict[str, list[tuple[bytes, int]]] = {}
+        for s, i, first in zip(begin[low : low + PHRASES], place[low : low + PHRASES], lead[low : low + PHRASES], strict=True):
+            phrases.setdefault(text[s : s + window], []).append((raw[8 * i : 8 * (i + window)], s if first else -1))
+        auto = ahocorasick.Automaton()
+        for key, own in phrases.items():
+            auto.add_word(key, own)
         auto.make_automaton()
-        for d, line in enumerate(codes):
-            if len(line) >= window:
-                starts = [e for e, own in auto.iter(line) if own != (d, e - window + 1)]
-                hit[d][starts] = True  # ends of repeats, for now
-    for mask in hit:
-        if mask.any():
-            ends = np.flatnonzero(mask)
-            cover = np.zeros(len(mask) + 1, np.int32)
-            np.add.at(cover, ends - window + 1, 1)
-            np.add.at(cover, ends + 1, -1)
-            mask[:] = np.cumsum(cover)[:-1] > 0
-    return cut, hit
-
-
-def _results(window: int, row_type: pa.DataType):
+        hits = list(auto.iter(text))
+        documents = np.searchsorted(marks, [e for e, _ in hits], "right") - 1
+        for (e, own), d in zip(hits, documents.tolist(), strict=True):
+            i = e - d - window + 1
+            mine = raw[8 * i : 8 * (i + window)]
+            for words_of, s in own:
+                if words_of == mine and s != e - window + 1:
+                    ends.append(e - d)
+    cover = np.zeros(len(w.start) + 1, np.int32)
+    np.add.at(cover, np.array(ends, np.int64) - window + 1, 1)
+    np.add.at(cover, np.array(ends, np.int64) + 1, -1)
+    mask = np.cumsum(cover)[:-1] > 0
+    return [mask[a:b] for a, b in zip(w.first[:-1].tolist(), w.first[1:].tolist(), strict=True)]
+
+
+def _results(window: int, row_type: pa.DataType, text_col: str):
     span = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
 
     def run(docs: pa.Table, routes: pa.Table) -> pa.Table:
         names = ["row", "n_words", "n_removed", "spans", "kept"]
         if not docs.num_rows:
             return pa.table([pa.array([], t) for t in (row_type, pa.int64(), pa.int64(), span, pa.string())], names)
-        bucket = _Bucket(docs)
-        cut, hit = _located(bucket, routes, window)
+        text = docs.column("row").combine_chunks().field(text_col).cast(pa.string()).fill_null("")
+        bucket = _Bucket(docs.append_column("text", text))
         n, gone, spans, kept = [], [], [], []
-        for ws, mask, text in zip(cut, hit, bucket.texts, strict=True):
+        for mask, text in zip(_located(bucket, routes, window), bucket.texts, strict=True):
+            ws = text.encode("utf-8", "surrogatepass").split()
             n.append(len(ws))
             gone.append(int(mask.sum()))
             edge = np.flatnonzero(np.diff(mask.view(np.int8), prepend=0, append=0)).tolist()
             spans.append([{"start": a, "end": b} for a, b in zip(edge[::2], edge[1::2], strict=True)])
-            kept.append(b" ".join(compress(ws, ~mask)).decode("utf-8", "surrogatepass"))
+            kept.append(b" ".join(compress(ws, ~mask) if edge else ws).decode("utf-8", "surrogatepass"))
         rows = docs.column("row").take(pa.array(bucket.order)).combine_chunks()
         rows = rows.cast(row_type) if rows.type != row_type else rows
         pick = bucket.doc
@@ -215,22 +222,24 @@ def substring_dedup(docs: DataFrame, window: int = 20, id_col: str = "doc_id", t
     b = bucket_of(n, "did", "ver").alias("b")
     places = written(places.select(b, "did", "ver", "at"), "anchors")
     dealt = thin.select(b, "did", "ver", "text")
-    phrases = dealt.groupBy("b").cogroup(places.groupBy("b")).applyInArrow(_phrases(window), "h long, k int, b int, did long, ver long, at int, n int")
+    phrases = dealt.groupBy("b").cogroup(places.groupBy("b")).applyInArrow(_phrases(window), "h long, p long, did long, ver long").repartition("h")
+    bits = lambda shift, size: F.shiftright("p", shift).bitwiseAND(F.lit((1 << size) - 1))
+    phrases = phrases.select("h", bits(40, 24).alias("k"), "did", "ver", bits(0, 39).cast("int").alias("at"), (bits(39, 1) == 1).alias("many"))
     same = Window.partitionBy("h", "k")
     here = F.struct("did", "ver", "at")
-    routes = phrases.select("*", F.min(here).over(same).alias("lead"), F.sum("n").over(same).alias("total")).filter("total > 1")
-    routes = routes.select("b", "did", "ver", "at", (here == F.col("lead")).alias("lead"), "n").filter("n > 1 or not lead").drop("n")
+    routes = phrases.select("*", F.min(here).over(same).alias("lead"), F.count("*").over(same).alias("places")).filter("many or places > 1")
+    routes = routes.select(b, "did", "ver", "at", (here == F.col("lead")).alias("lead"), "many").filter("many or not lead").drop("many")
     routes = written(routes, "phrases")
     discard(places)
-    dealt = base.select(b, "did", "ver", "text", "row")
+    dealt = base.select(b, "did", "ver", "row")
     row_type = to_arrow_type(base.schema["row"].dataType)
     out = f"row {base.schema['row'].dataType.simpleString()}, n_words long, n_removed long, spans array<struct<start:long,end:long>>, kept string"
-    return dealt.groupBy("b").cogroup(routes.groupBy("b")).applyInArrow(_results(window, row_type), out)
+    return dealt.groupBy("b").cogroup(routes.groupBy("b")).applyInArrow(_results(window, row_type, text_col), out)
 
 
 def op1(docs: DataFrame) -> DataFrame:
     """The contract's digest of :func:`substring_dedup` with 20 words."""
-    return substring_dedup(docs).select("row.doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+    return substring_dedup(docs.select("doc_id", "text")).select("row.doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
 def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .shared import release, shared_dir
+from .shared import shared_dir, tidy
 from .tokenize import loaded, version
 from .words import sliced
 
@@ -62,7 +62,7 @@ def token_counts(docs: DataFrame, tokenizer: str = MODEL, cache: str | None = No
     if _exists(spark, cache):
         found = found.join(stored(), "digest", "left_anti")
     misses = found.dropDuplicates(["digest"]).mapInArrow(_encoded(tokenizer, tag), _SCHEMA)
-    misses.write.mode("append").parquet(cache)
-    release(spark)
+    with tidy(spark):
+        misses.write.mode("append").parquet(cache)
     keys = docs.select(F.col(id_col).alias("doc_id"), F.octet_length(text).cast("long").alias("n_bytes"), digest)
     return keys.join(stored(), "digest").select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"))

@@ -25,6 +25,7 @@ def query(name: str, sql: str | None = None):
 
 def _load() -> None:
     """The query modules register themselves on import."""
+    from . import graph_queries, parsing_queries, retrieval_queries, text_queries  # noqa: F401
 
 
 def queries() -> dict[str, Query]:

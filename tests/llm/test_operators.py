@@ -1,0 +1,275 @@
+"""Each training-data operator on small tables with nulls, empty and very long texts, ties, repeats and clashing columns."""
+
+import hashlib
+import os
+import random
+import zlib
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from quillgraph.llm import binary, chat, mixing, neardup, packing, rules, substring, tokens, topk, toxicity
+from quillgraph.llm.tokenize import located
+
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, row string, n_words long, did long"
+
+
+def words(t):
+    return (t or "").encode().split()
+
+
+def corpus():
+    r = random.Random(4)
+    vocabulary = [f"w{i}" for i in range(300)]
+    say = lambda n: " ".join(r.choice(vocabulary) for _ in range(n))
+    shared, base = say(60), say(200)
+    near = base.split()
+    near[100] = "other"
+    out = [None, "", " \t\n", "one", "x" * 5000, base, base, " ".join(near), "  " + base.upper() + "\n", say(4000), "é ü\x0bñ z"]
+    out += [f"{say(30)}\n{shared} {say(20)}" for _ in range(8)] + [f"{shared} {shared}", "spam " * 120, "# $ % " * 30]
+    return [(i, t, "en", [None, "a", "b", "c"][i % 4], len(t or ""), "r", 5, 6) for i, t in enumerate(out)]
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    return spark.createDataFrame(corpus(), SCHEMA).repartition(3).cache()
+
+
+@pytest.fixture(scope="module")
+def messy(spark):
+    """Repeated ids and rows, and null ids."""
+    rows = corpus()
+    extra = [(None, *rows[5][1:]), (None, "a b c", *rows[5][2:]), (5, "another text", *rows[5][2:]), rows[7], rows[7]]
+    return spark.createDataFrame(rows + extra, SCHEMA).cache()
+
+
+@pytest.fixture(scope="module")
+def empty(spark):
+    return spark.createDataFrame([], SCHEMA)
+
+
+def test_substring(docs):
+    seen, want = set(), {}
+    for i, t, *_ in corpus():
+        w, gone = words(t), set()
+        for s in range(len(w) - 19):
+            k = tuple(w[s : s + 20])
+            gone |= set(range(s, s + 20)) if k in seen else set()
+            seen.add(k)
+        want[i] = (len(w), len(gone), hashlib.sha256(b" ".join(x for j, x in enumerate(w) if j not in gone)).hexdigest())
+    assert {r[0]: tuple(r[1:]) for r in substring.op1(docs).collect()} == want
+    small = substring.substring_dedup(docs, bucket_bytes=500)
+    assert {r.row.doc_id: r.n_removed for r in small.collect()} == {i: v[1] for i, v in want.items()}
+
+
+def test_tokens(spark, docs, tmp_path):
+    import sentencepiece
+    from tokenizers import Tokenizer
+
+    model = sentencepiece.SentencePieceProcessor(model_file=located(tokens.MODEL))
+    want = {i: (len((t or "").encode()), len(model.encode(t or ""))) for i, t, *_ in corpus()}
+    cache = f"file://{tmp_path}/cache"
+    for _ in range(2):  # the second time from the cache
+        assert {r.doc_id: (r.n_bytes, r.n_tokens) for r in tokens.token_counts(docs, cache=cache).collect()} == want
+    texts = [t for _, t, *_ in corpus()]
+    assert spark.read.parquet(cache).count() == len({t or "" for t in texts})
+    other = Tokenizer.from_file(located(packing.MODEL))
+    got = {r.doc_id: r.n_tokens for r in tokens.token_counts(docs, packing.MODEL).collect()}
+    assert got == {i: len(other.encode(t or "", add_special_tokens=False).ids) for i, t in enumerate(texts)}
+
+
+def test_mixing(docs):
+    got = {r.doc_id: r for r in mixing.op3(docs).collect()}
+    sizes = {i: len(words(t)) for i, t, *_ in corpus()}
+    assert {i: r["size"] for i, r in got.items()} == sizes
+    by = {s: [r for i, r in got.items() if corpus()[i][3] == s] for s in ("a", "b", "c", None)}
+    weight, total = {"a": 5, "b": 2, "c": 1, None: 5}, 1.5 * sum(sizes.values())
+    limit = {s: 2 * rs[0].source_size for s, rs in by.items()}
+    target, open_ = {}, set(by)
+    while open_:  # share what is left by weight; who is above its limit stays there
+        left = total - sum(target.values())
+        share = {s: left * weight[s] / sum(weight[o] for o in open_) for s in open_}
+        over = {s for s in open_ if share[s] > limit[s]}
+        target |= {s: limit[s] for s in over} if over else share
+        open_ = open_ - over if over else set()
+    for s, rs in by.items():
+        assert rs[0].target == pytest.approx(target[s])
+        assert abs(sum(r.taken for r in rs) - target[s]) <= 1
+    assert all(0 <= r.taken <= 2 * r["size"] for r in got.values())
+    assert sorted(mixing.op3(docs).collect()) == sorted(mixing.op3(docs.repartition(5)).collect())
+    mixed = mixing.mix(docs).collect()
+    assert [r.finish for r in mixed] == sorted(r.finish for r in mixed)
+    assert sum(r.words for r in mixed) == sum(r.taken for r in got.values())
+
+
+def test_toxicity(spark):
+    r = random.Random(8)
+    bad, rows, marks = ["vile", "fool", "nasty"], [], []
+    for i in range(900):
+        w = [f"w{r.randrange(150)}" for _ in range(30)]
+        toxic = i % 6 == 0
+        if toxic:
+            for _ in range(3):
+                w[r.randrange(30)] = r.choice(bad) + r.choice(["", ",", "!"])
+        rows.append((i, " ".join(w)))
+        marks += [(i, 1, int(toxic))] if i % 3 else [(i, 1, int(toxic)), (i, None, None)]
+    rows += [(9001, None), (9002, ""), (None, "vile fool nasty")]
+    docs, labels = spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(marks, "doc_id long, quality int, toxic int")
+    got = toxicity.op4(docs, labels).collect()
+    assert len(got) == len(rows)
+    held = [x for x in got if x.doc_id is not None and x.doc_id < 900 and x.held_out]
+    assert all(x.held_out == (zlib.crc32(str(x.doc_id).encode()) % 4 == 2) for x in got if x.doc_id is not None)
+    assert sum(x.predicted == (x.doc_id % 6 == 0) for x in held) / len(held) > 0.95
+    assert all(0 <= x.score <= 1 and x.predicted == (x.score >= 0.3) for x in got)
+    assert {x.predicted for x in got if x.doc_id in (9001, 9002)} == {0}
+    assert toxicity.op4(docs, labels.filter("false")).count() == len(rows)
+
+
+def test_packing(docs):
+    from tokenizers import Tokenizer
+
+    other = Tokenizer.from_file(located(packing.MODEL))
+    ids = {i: [*other.encode(t or "", add_special_tokens=False).ids, 1] for i, t, *_ in corpus()}
+    pieces = packing.op5(docs).collect()
+    for i, want in ids.items():
+        own = sorted((p for p in pieces if p.doc_id == i), key=lambda p: p.start)
+        assert sum(p.length for p in own) == len(want) == own[0].doc_tokens
+        at = 0
+        for p in own:
+            assert p.start == at and p.ids_crc32 == zlib.crc32(np.array(want[at : at + p.length], "<u4").tobytes())
+            at += p.length
+    for s in {p.sequence_id for p in pieces}:
+        own, at = sorted((p for p in pieces if p.sequence_id == s), key=lambda p: p.offset), 0
+        for p in own:
+            assert p.offset == at
+            at += p.length
+        assert at & (at - 1) == 0 and at <= 2048
+
+
+def test_capacities():
+    r = random.Random(2)
+    for _ in range(30):
+        tree, open_ = packing.Capacities(50), []
+        for _ in range(200):
+            if r.random() < 0.5:
+                c = r.randint(0, 50)
+                tree.put(c, c)
+                open_.append(c)
+            else:
+                need = r.randint(0, 50)
+                want = min((c for c in open_ if c >= need), default=None)
+                got = tree.take(need)
+                assert (got and got[0]) == want
+                if got:
+                    open_.remove(want)
+
+
+def test_matrices(docs):
+    rows = binary.id_matrices(docs, window=64).collect()
+    ids, positions = binary.read_matrix(rows)
+    found = {}
+    for r, line, pos in zip(rows, ids, positions, strict=True):
+        assert (pos[r.position_resets] == 0).all()
+        for d, s, a, b in zip(r.doc_ids, r.starts, r.cu_seqlens[:-1], r.cu_seqlens[1:], strict=True):
+            found.setdefault(d, {})[s] = line[a:b]
+    for p in packing.packed_pieces(docs, window=1 << 20).collect():
+        assert b"".join(x.astype("<u4").tobytes() for _, x in sorted(found[p.doc_id].items()))[4 * p.start : 4 * (p.start + p.length)] == p.ids
+
+
+def test_top_k(spark):
+    r = np.random.default_rng(5)
+    rows = [(i, [float(x) for x in r.normal(size=16)]) for i in range(300)]
+    rows += [(300, None), (301, [None] * 16), (302, [float("nan")] * 16), (350, [float("inf")] * 16), (None, rows[0][1]), (400, rows[0][1]), (401, rows[0][1]), (450, [1.0, 2.0])]
+    v = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    got = {(x.query_id, x["rank"]): (x.vec_id, x.score) for x in topk.op6(v).collect()}
+    fine = {i: np.floor(256 * np.array(x, np.float32).astype(float)).astype(int) for i, x in rows if i is not None and x and None not in x and np.isfinite(x).all()}
+    want = {}
+    for q in fine:
+        if q % 50 == 0:
+            best = sorted((-int(fine[q] @ x), i) for i, x in fine.items() if i != q and len(x) == len(fine[q]))[:5]
+            want |= {(q, n): (i, -s) for n, (s, i) in enumerate(best, 1)}
+    assert got == want
+    assert topk.op6(v.filter("false")).count() == 0
+
+
+def test_near_duplicates(docs):
+    rows = corpus()
+    for k in (2, 5):
+        sets = {}
+        for i, t, *_ in rows:
+            w = (t or "").encode().lower().split()
+            sets[i] = {tuple(w[j : j + k]) for j in range(len(w) - k + 1)} if len(w) >= k else {tuple(w)} if w else set()
+        comp = {i: i for i in sets}
+        for _ in sets:
+            for a in sets:
+                for b in sets:
+                    if sets[a] and sets[b] and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b]):
+                        comp[a] = comp[b] = min(comp[a], comp[b])
+        got = {r.row.doc_id: (r.n_shingles, r.component_id, r.kept) for r in neardup.near_duplicates(docs, k).collect()}
+        assert got == {i: (len(s), comp[i], comp[i] == i) for i, s in sets.items()}
+
+
+def test_chat(spark):
+    rows = [(1, 1, "assistant", "a <|im_end|> <\\| b"), (1, 0, "user", None), (1, 1, "assistant", "a <|im_end|> <\\| b"), (None, 2, "sys\ntem", "x"), (2, None, None, "<|nl|>\\"), (2, 5, "assistant", "")]
+    t = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    got = {r.conv_id: r for r in chat.op8(t).collect()}
+    by = {}
+    for c, n, role, text in [*rows, (-1, 0, "user", chat.PROBE), (-1, 1, "assistant", chat.PROBE)]:
+        by.setdefault(c, []).append((n is not None, n or 0, role or "", text or ""))
+    for c, turns in by.items():
+        turns.sort()
+        loss = "".join(x for *_, r, x in turns if r == "assistant")
+        assert got[c].n_turns == len(turns) and got[c].loss_chars == len(loss)
+        assert got[c].turns_sha256 == hashlib.sha256("".join(f"{r}\n{x}\n" for *_, r, x in turns).encode()).hexdigest()
+        assert got[c].loss_sha256 == hashlib.sha256(loss.encode()).hexdigest()
+    line, _, _, files = chat.formatted("user", [{"type": "text", "text": "see"}, {"type": "image", "ref": "a.png", "width": 57, "height": 28}, {"type": "audio", "ref": "b", "seconds": 2}, {"type": "document", "ref": "c", "pages": 3}, {"type": "smell"}])
+    assert [(f["kind"], f["tokens"]) for f in files] == [("image", 3), ("audio", 50), ("document", 768)]
+    assert all(line[f["at"] :].startswith(f"<|{f['kind']}|>") for f in files)
+    assert chat.op8(t.filter("false")).count() == 1
+
+
+def test_rules(docs):
+    got = {r.doc_id: r for r in rules.op10(docs).collect()}
+    for i, t, *_ in corpus():
+        w = words(t)
+        where = {}
+        for s in range(len(w) - 7):
+            where.setdefault(tuple(w[s : s + 8]), []).append(s)
+        repeated = {s + j for ss in where.values() if len(ss) > 1 for s in ss for j in range(8)}
+        lines = [x for x in (t or "").split("\n") if x.encode().split()]
+        r = got[i]
+        assert (r.n_words, r.word_chars, r.n_repeat_words) == (len(w), sum(len(x.decode()) for x in w), len(repeated))
+        assert (r.n_symbols, r.n_dup_lines) == (sum((t or "").count(c) for c in "#*$%&|<>"), len(lines) - len(set(lines)))
+        assert r.base_failed == (len(w) < 20 or 100 * len(repeated) > 30 * len(w)) and (not r.base_failed or not r.kept)
+    entries = rules.ledger(docs)
+    table = {r["rule"]: r for r in rules.ablations(entries).collect()}
+    m = rules.mask(rules.CURRENT)
+    bits = [r.failed & m for r in entries.select("failed").collect()]
+    for n, name in enumerate(rules.RULES):
+        assert table[name].n_failed == sum(b >> n & 1 for b in bits) and table[name].n_only == sum(b == 1 << n for b in bits)
+
+
+def test_messy_and_empty(messy, empty):
+    n = messy.count()
+    assert substring.op1(messy).count() == n and tokens.token_counts(messy).count() == n
+    assert neardup.near_duplicates(messy).count() == n and rules.op10(messy).count() == n
+    assert len({r.sequence_id for r in packing.op5(messy).collect()}) > 1 and binary.op9(messy).count() > 0
+    assert mixing.op3(messy).count() == messy.select("doc_id", F.coalesce("text", F.lit(""))).distinct().count()
+    for f in (substring.op1, tokens.token_counts, neardup.op7, rules.op10, packing.op5, binary.op9, mixing.op3):
+        assert f(empty).count() == 0
+    assert mixing.mix(empty).count() == 0
+
+
+def test_pipeline(spark, docs, tmp_path):
+    import corpus_pipeline
+
+    plain = docs.select("doc_id", "text", "lang", "source", "n_chars")
+    os.makedirs(tmp_path / "sf")
+    plain.write.parquet(str(tmp_path / "sf" / "documents.parquet"))
+    now = plain
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        now = stage(spark, now, str(tmp_path / "sf"))
+        assert now.columns == plain.columns, name
+    out = corpus_pipeline.run(spark, f"file://{tmp_path}/sf")
+    assert out.count() > 0 and {"doc_id", "sequence_id"} <= set(out.columns)

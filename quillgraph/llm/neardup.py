@@ -5,9 +5,10 @@ zeros and a few mantissa bits, 16 bits in all.  Four registers side by side are
 set are one class and only its representative goes on.  Pairs that share a band are first judged by the estimate from
 their registers, corrected for the collisions that so few bits cause, and then on their full sets.
 
-Groups are never expanded into pairs.  In each of a few rounds, a band's documents are compared with one of them (the
-one nearest to the band's commonest registers, then others by a hash), and linked documents become one component.  What
-is compared in full at the end is only documents of different components that still share a band.
+Groups are never expanded into pairs.  In each of a few rounds, a band's documents are compared with one of them, chosen
+by a hash, and linked documents become one component.  At the end the documents outside a band's largest component are
+queries against the band's documents, dealt in blocks: a block compares the pairs that still lie in two components, each
+in the first band that they share, on their full sets, and gives a link for each query and component at most.
 """
 
 from __future__ import annotations
@@ -27,7 +28,9 @@ _BITS = REGISTERS.bit_length() - 1
 COLLISION = 0.169919487159739
 #: Standard deviations below the threshold at which the estimate alone rules a pair out.
 SIGMAS = 5.0
-ROUNDS = 3
+ROUNDS = 2
+#: A band's documents in a block of the last comparison.
+BLOCK = 1024
 #: Where a register without a shingle looks for one to copy, in order.
 _PROBES = (mix(np.arange(REGISTERS * 256, dtype=U)) % U(REGISTERS)).astype(np.int64).reshape(256, REGISTERS)
 
@@ -102,6 +105,39 @@ def _compared(k: int, percent: int):
     return run
 
 
+def _blocked(k: int, percent: int):
+    """Links between queries and a block's documents of other components."""
+    node = pa.struct([("did", pa.int64()), ("ver", pa.int64())])
+
+    def run(queries: pa.Table, members: pa.Table) -> pa.Table:
+        found: list[tuple[dict, dict]] = []
+        if queries.num_rows and members.num_rows:
+            band = queries.column("qband")[0].as_py()
+            sets = shingle_sets(members.column("text").to_pylist(), k)
+            size = np.array([len(x) for x in sets])
+            flat, ends = np.concatenate(sets), np.cumsum(size)
+            keys = np.array(members.column("bands").to_pylist(), np.int64)
+            nodes, comps = members.column("v").to_pylist(), members.column("comp").to_pylist()
+            number = {(c["did"], c["ver"]): i for i, c in enumerate(comps)}
+            comp = np.array([number[c["did"], c["ver"]] for c in comps])
+            own = shingle_sets(queries.column("qtext").to_pylist(), k)
+            for s, q, bands, c in zip(own, queries.column("qv").to_pylist(), queries.column("qbands").to_pylist(), queries.column("qcomp").to_pylist(), strict=True):
+                same = keys == np.array(bands, np.int64)
+                # 100 * least >= percent * greatest must hold for sizes already
+                able = 100 * np.minimum(size, len(s)) >= percent * np.maximum(size, len(s))
+                todo = np.flatnonzero((same.argmax(1) == band) & able & (comp != number.get((c["did"], c["ver"]), -1)))
+                if not len(todo):
+                    continue
+                place = np.minimum(np.searchsorted(s, flat), len(s) - 1)
+                both = np.diff(np.concatenate([[0], np.cumsum(s[place] == flat)])[np.concatenate([[0], ends])])[todo]
+                linked = todo[100 * both >= percent * (len(s) + size[todo] - both)]
+                _, first = np.unique(comp[linked], return_index=True)
+                found += [(q, nodes[j]) for j in linked[first].tolist()]
+        return pa.table([pa.array([x for x, _ in found], node), pa.array([y for _, y in found], node)], ["u", "v"])
+
+    return run
+
+
 #: A document's key in pairs and components.
 _V = "struct<did:long,ver:long>"
 
@@ -166,24 +202,33 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, id_col
         discard(p)
         return out
 
+    def apart(comp: DataFrame | None) -> DataFrame:
+        """Bands' rows with components, where a band still holds several: their number and one row by a hash too."""
+        now = keys.withColumn("comp", F.col("v")) if comp is None else keys.join(comp, "v", "left").withColumn("comp", F.coalesce("comp", "v"))
+        centre = F.min(F.struct(F.xxhash64(F.lit(r), "v.did", "v.ver").alias("x"), "v", "comp")).alias("c")
+        several = now.groupBy("band", "key").agg(F.min("comp").alias("low"), F.max("comp").alias("high"), F.count("*").alias("size"), centre)
+        return now.join(several.filter("low != high").drop("low", "high"), ["band", "key"])
+
     links, comp = None, None
-    for r in range(rounds + 1):
-        now = keys if comp is None else keys.join(comp, "v", "left").withColumn("comp", F.coalesce("comp", "v"))
-        now = now if comp is not None else now.withColumn("comp", F.col("v"))
-        apart = now.groupBy("band", "key").agg(F.min("comp").alias("low"), F.max("comp").alias("high"), F.min(F.struct(F.xxhash64(F.lit(r), "v.did", "v.ver").alias("x"), "v", "comp")).alias("c")).filter("low != high")
-        mixed = now.join(apart.select("band", "key", "c"), ["band", "key"])
-        if r < rounds:
-            pairs = mixed.filter("comp != c.comp").select(F.col("c.v").alias("u"), "v")
-        else:
-            other = mixed.select("band", "key", F.col("v").alias("u"), F.col("comp").alias("other"))
-            pairs = mixed.select("band", "key", "v", "comp").join(other, ["band", "key"]).filter("comp < other").select("u", "v")
-        new = verified(pairs)
-        if new.isEmpty():
-            if r < rounds:
-                continue
-            break
-        links = new if links is None else links.unionAll(new)
-        comp = components(links)
+
+    def linked(new: DataFrame) -> None:
+        nonlocal links, comp
+        if not new.isEmpty():
+            links = new if links is None else links.unionAll(new)
+            comp = components(links)
+
+    for r in range(rounds):
+        linked(verified(apart(comp).filter("comp != c.comp").select(F.col("c.v").alias("u"), "v")))
+    rest = written(apart(comp).select("band", "key", "v", "comp", F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks")), "rest")
+    by = ["band", "key"]
+    giant = rest.groupBy(*by, "comp").agg(F.count("*").alias("c")).groupBy(*by).agg(F.max(F.struct("c", "comp")).alias("g")).select(*by, "g.comp").withColumnRenamed("comp", "giant")
+    full = one.join(texts, "v").select(F.col("v").alias("w"), "bands", "text")
+    deal = F.pmod(F.xxhash64("v.did", "v.ver"), F.col("blocks")).cast("int").alias("block")
+    members = rest.select(*by, "v", "comp", deal).join(full, F.col("v") == F.col("w")).drop("w")
+    asks = rest.join(giant, by).filter("comp != giant").select(*by, "v", "comp", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"))
+    asks = asks.join(full, F.col("v") == F.col("w")).select(*[F.col(c).alias(f"q{c}") for c in (*by, "block", "v", "comp", "bands", "text")])
+    new = asks.groupBy("qband", "qkey", "qblock").cogroup(members.groupBy(*by, "block")).applyInArrow(_blocked(shingle, percent), f"u {_V}, v {_V}")
+    linked(written(new, "links"))
     n = F.col("n")
     members = signed.drop("bands").join(heads.select("d1", "d2", "v"), ["d1", "d2"], "left")
     if comp is not None:

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from .words import U, Words, hashes, sliced, words
 
 #: Bounds of the training sample, in texts; features kept at most, texts a feature must be in, and how clearly it tells.
-POSITIVES, UNLABELLED = 3000, 9000
+POSITIVES, UNLABELLED = 2000, 6000
 FEATURES, LEAST, SIGMAS = 2000, 8, 8.0
 EPOCHS, STEP, DECAY, BATCHES, SEED = 60, 0.05, 1e-3, 10, 11
 FOLDS, HELD = 4, 2
@@ -50,8 +50,8 @@ def features(texts: list[str]) -> tuple[np.ndarray, Words]:
 def _distinct(batches):
     for b in sliced(batches, "text"):
         h, w = features(b.column("text").to_pylist())
-        sets = [np.unique(h[x:y]).view(np.int64) for x, y in zip(w.first[:-1].tolist(), w.first[1:].tolist(), strict=True)]
-        yield pa.RecordBatch.from_arrays([b.column("toxic"), b.column("known"), pa.array(sets, pa.list_(pa.int64()))], ["toxic", "known", "f"])
+        sets = [np.unique(h[x:y]).tobytes() for x, y in zip(w.first[:-1].tolist(), w.first[1:].tolist(), strict=True)]
+        yield pa.RecordBatch.from_arrays([b.column("toxic"), b.column("known"), pa.array(sets, pa.binary())], ["toxic", "known", "f"])
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
@@ -180,9 +180,9 @@ def fitted(docs: DataFrame, labels: DataFrame, positives: int = POSITIVES, unlab
     chosen = take(F.col("toxic") == 1, positives).withColumn("p", F.lit(1)).unionAll(take(F.lit(True), unlabelled).withColumn("p", F.lit(0)))
     chosen = chosen.select("doc_id", "p", F.coalesce("toxic", F.lit(0)).alias("t"), F.col("toxic").isNotNull().alias("known"))
     texts = docs.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")).join(F.broadcast(chosen), "doc_id")
-    rows = texts.select("text", F.struct("p", "t").alias("toxic"), "known").mapInArrow(_distinct, "toxic struct<p:int,t:int>, known boolean, f array<long>").collect()
-    rows.sort(key=lambda r: (r.toxic.p, r.toxic.t, len(r.f), tuple(r.f[:4])))
-    sets = [np.array(r.f, np.int64).view(U) for r in rows]
+    rows = texts.select("text", F.struct("p", "t").alias("toxic"), "known").mapInArrow(_distinct, "toxic struct<p:int,t:int>, known boolean, f binary").collect()
+    rows.sort(key=lambda r: (r.toxic.p, r.toxic.t, len(r.f), bytes(r.f[:64])))
+    sets = [np.frombuffer(r.f, U) for r in rows]
     p, u = [s for s, r in zip(sets, rows, strict=True) if r.toxic.p], [s for s, r in zip(sets, rows, strict=True) if not r.toxic.p]
     if not p or not u:
         return Model(np.zeros(0, U), np.zeros(0), float(np.log(prior / (1 - prior))), 1.0, 0.0)

@@ -22,7 +22,7 @@ from .words import U, Words, hashes, sliced, words
 
 #: Bounds of the training sample, in texts; features kept at most, texts a feature must be in, and how clearly it tells.
 POSITIVES, UNLABELLED = 2000, 6000
-FEATURES, LEAST, SIGMAS = 2000, 8, 8.0
+FEATURES, LEAST, SIGMAS = 2000, 8, 7.0
 EPOCHS, STEP, DECAY, BATCHES, SEED = 60, 0.05, 1e-3, 10, 11
 FOLDS, HELD = 4, 2
 THRESHOLD = 0.3

@@ -41,8 +41,8 @@ def entities(xml: str | None) -> list[dict[str, str]]:
 
 def inherited(entities: DataFrame) -> DataFrame:
     """A derived cluster's empty fields from its base by (type, name), and the base's other entities added to it."""
-    base = entities.select(F.col("cluster").alias("b"), "entity_type", "name", *[F.col(c).alias(f"b_{c}") for c in ("code", "datatype", "conformance", "access")])
-    j = entities.join(base, (F.col("base") == F.col("b")) & (entities.entity_type == base.entity_type) & (entities.name == base.name), "left").drop(base.entity_type).drop(base.name)
+    base = entities.select(F.col("cluster").alias("b"), F.col("entity_type").alias("b_type"), F.col("name").alias("b_name"), *[F.col(c).alias(f"b_{c}") for c in ("code", "datatype", "conformance", "access")])
+    j = entities.join(base, (F.col("base") == F.col("b")) & (F.col("entity_type") == F.col("b_type")) & (F.col("name") == F.col("b_name")), "left")
     filled = j.select("cluster", "base", "entity_type", "name", *[F.coalesce(F.nullif(F.col(c), F.lit("")), F.col(f"b_{c}"), F.lit("")).alias(c) for c in ("code", "datatype", "conformance", "access")])
     derived = entities.filter("base <> ''").select(F.col("cluster").alias("d"), F.col("base").alias("of")).distinct()
     own = entities.select(F.col("cluster").alias("d2"), F.col("entity_type").alias("t2"), F.col("name").alias("n2"))

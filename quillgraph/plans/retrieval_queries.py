@@ -83,8 +83,8 @@ def best_chunk_per_doc(spark, sf_dir):
 @query(
     "rerank_breakdown",
     """with s as (select l.doc_id, quality, toxic, n_chars, lang, source from labels l join documents d using (doc_id)),
-    w as (select doc_id, round(quality * 0.25, 4) as w_entity, round(case when lang = 'en' then 1.0 when lang = 'de' then 0.7 else 0.25 end * 0.15, 4) as w_cluster,
-      round((1 - toxic) * 0.15, 4) as w_condition, round(least(n_chars / 5000.0, 1) * 0.08, 4) as w_lexical from s)
+    w as (select doc_id, round(quality * 0.25::double, 4) as w_entity, round(case when lang = 'en' then 1.0 when lang = 'de' then 0.7 else 0.25 end * 0.15::double, 4) as w_cluster,
+      round((1 - toxic) * 0.15::double, 4) as w_condition, round(least(n_chars / 5000.0::double, 1) * 0.08::double, 4) as w_lexical from s)
     select *, round(least(1.0, w_entity + w_cluster + w_condition + w_lexical), 4) as final_score from w""",
 )
 def rerank_breakdown(spark, sf_dir):

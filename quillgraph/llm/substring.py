@@ -18,7 +18,7 @@ No step gathers a key's rows in one task beyond one row a bucket; work and shuff
 
 from __future__ import annotations
 
-from itertools import compress
+from itertools import compress, islice
 
 import ahocorasick
 import numpy as np
@@ -31,8 +31,10 @@ from .words import MAX, grams, sliced, sliding, within, words
 
 ANCHOR = 8
 #: Bytes of text in a bucket, and phrases in an automaton: some 20 nodes of 50 bytes each.
-BUCKET = 4 << 20
+BUCKET = 2 << 20
 PHRASES = 50_000
+#: Hits of an automaton looked at together.
+HITS = 1 << 16
 
 
 def _anchors(texts: list[str], window: int):
@@ -155,7 +157,7 @@ def _located(bucket: _Bucket, routes: pa.Table, window: int):
     doc = bucket.find(routes.column("did").to_numpy(), routes.column("ver").to_numpy())
     at = routes.column("at").to_numpy()
     begin, place, lead = (marks[doc] + at).tolist(), (w.first[doc] + at).tolist(), routes.column("lead").to_numpy(False).tolist()
-    ends: list[int] = []
+    cover = np.zeros(len(w.start) + 1, np.int32)
     for low in range(0, len(begin), PHRASES):
         phrases: dict[str, list[tuple[bytes, int]]] = {}
         for s, i, first in zip(begin[low : low + PHRASES], place[low : low + PHRASES], lead[low : low + PHRASES], strict=True):
@@ -164,17 +166,18 @@ def _located(bucket: _Bucket, routes: pa.Table, window: int):
         for key, own in phrases.items():
             auto.add_word(key, own)
         auto.make_automaton()
-        hits = list(auto.iter(text))
-        documents = np.searchsorted(marks, [e for e, _ in hits], "right") - 1
-        for (e, own), d in zip(hits, documents.tolist(), strict=True):
-            i = e - d - window + 1
-            mine = raw[8 * i : 8 * (i + window)]
-            for words_of, s in own:
-                if words_of == mine and s != e - window + 1:
-                    ends.append(e - d)
-    cover = np.zeros(len(w.start) + 1, np.int32)
-    np.add.at(cover, np.array(ends, np.int64) - window + 1, 1)
-    np.add.at(cover, np.array(ends, np.int64) + 1, -1)
+        found = auto.iter(text)
+        while hits := list(islice(found, HITS)):
+            documents = np.searchsorted(marks, [e for e, _ in hits], "right") - 1
+            ends: list[int] = []
+            for (e, own), d in zip(hits, documents.tolist(), strict=True):
+                i = e - d - window + 1
+                mine = raw[8 * i : 8 * (i + window)]
+                for words_of, s in own:
+                    if words_of == mine and s != e - window + 1:
+                        ends.append(e - d)
+            np.add.at(cover, np.array(ends, np.int64) - window + 1, 1)
+            np.add.at(cover, np.array(ends, np.int64) + 1, -1)
     mask = np.cumsum(cover)[:-1] > 0
     return [mask[a:b] for a, b in zip(w.first[:-1].tolist(), w.first[1:].tolist(), strict=True)]
 

@@ -11,6 +11,7 @@ from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 U = np.uint64
 MAX = U(0xFFFFFFFFFFFFFFFF)
@@ -21,7 +22,7 @@ _MASK = np.array([(1 << (8 * k)) - 1 for k in range(9)], U)
 #: Longer words are hashed one by one.
 LONG = 256
 #: Bytes of text worked on at once.
-BATCH = 4 << 20
+BATCH = 1 << 20
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -119,9 +120,9 @@ def sliced(batches: Iterable[pa.RecordBatch], column: str, size: int = BATCH) ->
     for b in batches:
         if not b.num_rows:
             continue
-        lens = np.array([len(x) if x is not None else 0 for x in b.column(column).to_pylist()])
+        lens = pc.fill_null(pc.binary_length(b.column(column)), 0)
         cut, total = 0, 0
-        for i, n in enumerate(lens):
+        for i, n in enumerate(lens.to_pylist()):
             if total and total + n > size:
                 yield b.slice(cut, i - cut)
                 cut, total = i, 0

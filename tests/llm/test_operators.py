@@ -242,6 +242,7 @@ def test_rules(docs):
         assert (r.n_words, r.word_chars, r.n_repeat_words) == (len(w), sum(len(x.decode()) for x in w), len(repeated))
         assert (r.n_symbols, r.n_dup_lines) == (sum((t or "").count(c) for c in "#*$%&|<>"), len(lines) - len(set(lines)))
         assert r.base_failed == (len(w) < 20 or 100 * len(repeated) > 30 * len(w)) and (not r.base_failed or not r.kept)
+    assert sorted(r.doc_id for r in rules.stage(None, docs, "").collect()) == sorted(i for i, r in got.items() if r.kept)
     entries = rules.ledger(docs)
     table = {r["rule"]: r for r in rules.ablations(entries).collect()}
     m = rules.mask(rules.CURRENT)

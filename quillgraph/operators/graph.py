@@ -54,22 +54,28 @@ def reachable(seeds: DataFrame, edges: DataFrame, hops: int) -> DataFrame:
     return found
 
 
-def components(nodes: DataFrame, edges: DataFrame, rounds: int = 50) -> DataFrame:
-    """(node_id, comp): the least id reachable, by minimum labels with pointer jumping; lineage is cut each round."""
-    sym = undirected(edges.filter("src != dst"))
-    label = nodes.select("node_id", F.col("node_id").alias("comp"))
-    checkpoint = bool(label.sparkSession.conf.get("spark.checkpoint.dir", None))
-    for _ in range(rounds):
-        low = sym.join(label, sym.dst == label.node_id).groupBy("src").agg(F.min("comp").alias("low"))
-        new = label.join(low, label.node_id == low.src, "left").select("node_id", "comp", F.least("comp", F.coalesce("low", "comp")).alias("next"))
-        jump = new.select(F.col("node_id").alias("j"), F.col("next").alias("jumped"))
-        new = new.join(jump, new.next == jump.j, "left").select("node_id", "comp", F.least("next", F.coalesce("jumped", "next")).alias("next"))
-        new = new.checkpoint() if checkpoint else new.cache()
-        changed = new.filter("comp != next").limit(1).count()
-        label = new.select("node_id", F.col("next").alias("comp"))
-        if not changed:
-            break
-    return label
+def components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
+    """(node_id, comp): the least id reachable, by large and small stars in turn until only stars are left; lineage is cut each round."""
+    ids = nodes.select("node_id").distinct()
+    checkpoint = bool(nodes.sparkSession.conf.get("spark.checkpoint.dir", None))
+    cut = lambda df: df.checkpoint() if checkpoint else df.localCheckpoint()
+    now = edges.filter("src != dst").select(F.least("src", "dst").alias("u"), F.greatest("src", "dst").alias("v")).distinct()
+    for end in ("u", "v"):
+        now = now.join(ids.withColumnRenamed("node_id", end), end, "left_semi")
+    now = cut(now)
+    while not _stars(now):
+        both = now.select("u", "v").unionAll(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
+        low = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
+        large = cut(both.join(low, "u").filter("v > u").select(F.col("m").alias("u"), "v").distinct())
+        low = large.groupBy("v").agg(F.min("u").alias("m"))
+        now = cut(large.join(low, "v").select(F.col("m").alias("u"), F.explode(F.array("u", "v")).alias("v")).filter("u != v").distinct())
+    return nodes.select("node_id").join(now, F.col("node_id") == F.col("v"), "left").select("node_id", F.coalesce("u", "node_id").alias("comp"))
+
+
+def _stars(edges: DataFrame) -> bool:
+    """Whether each v of the edges (u, v) has one u only, which is no edge's v."""
+    ends = edges.select(F.col("v").alias("x"), F.lit(1).alias("below"), F.lit(0).alias("above")).unionAll(edges.select("u", F.lit(0), F.lit(1)))
+    return ends.groupBy("x").agg(F.sum("below").alias("below"), F.max("above").alias("above")).filter("below > 1 or (below = 1 and above = 1)").isEmpty()
 
 
 def impact(changes: DataFrame, edges: DataFrame, kinds: dict[str, list[str]]) -> DataFrame:

@@ -57,6 +57,16 @@ def test_graph(spark):
     assert graph.dangling(n.filter("node_id <> 'y'"), e).count() == 1
 
 
+def test_components_of_long_chains(spark):
+    """A chain 1-n-(n-1)-...-2, on which least labels move one edge a round; ends that are no nodes join nothing."""
+    n = 60
+    chain = ["a001", *[f"a{i:03}" for i in range(n, 1, -1)]]
+    e = spark.createDataFrame([*zip(chain, chain[1:]), ("b1", "lost"), ("lost", "b2"), ("c1", "c1")], "src string, dst string")
+    nodes = spark.createDataFrame([(x,) for x in [*chain, "b1", "b2", "c1"]], "node_id string")
+    want = {x: "a001" for x in chain} | {x: x for x in ("b1", "b2", "c1")}
+    assert sorted(map(tuple, graph.components(nodes, e).collect())) == sorted(want.items())
+
+
 def test_rerank_and_batches(spark):
     d = spark.createDataFrame([(1.0, 0.5)], "entity double, lexical double")
     r = d.select(*[c.alias(k) for k, c in rerank.combined({"entity": F.col("entity"), "lexical": F.col("lexical")}).items()]).first()

@@ -2,30 +2,41 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import tokens
 
-LONGEST = 6
+#: Names of at least so many letters need no cluster, if one cluster alone has them; shorter ones than LEAST never count.
+FREE, LEAST = 7, 3
+#: Names that are ordinary words in any text.
+BLOCKED = tuple("step description condition action expected type state mode status other order user basic start end stop next move auto open close delay pause previous extended messages application supported enabled fault energy count duration on off".split())
 
 
-def phrases(df: DataFrame, key: str, text: str, longest: int = LONGEST) -> DataFrame:
-    """(key, phrase): the distinct runs of up to ``longest`` tokens."""
-    t = df.select(F.col(key).alias("key"), tokens(F.col(text)).alias("t"))
-    runs = F.expr(f"flatten(transform(sequence(1, {longest}), k -> if(size(t) >= k, transform(sequence(0, size(t) - k), i -> array_join(slice(t, i + 1, k), ' ')), cast(array() as array<string>))))")
-    return t.select("key", F.explode(F.array_distinct(runs)).alias("phrase"))
+def phrases(df: DataFrame, key: str, text: str, lengths: Column, *more: str) -> DataFrame:
+    """(key, more, phrase): the distinct runs of as many tokens as ``lengths``, an array, has."""
+    t = df.select(F.col(key).alias("key"), *more, tokens(F.col(text)).alias("t"), lengths.alias("lengths"))
+    runs = F.expr("flatten(transform(lengths, k -> if(size(t) >= k, transform(sequence(0, size(t) - k), i -> array_join(slice(t, i + 1, k), ' ')), cast(array() as array<string>))))")
+    return t.select("key", *more, F.explode(F.array_distinct(runs)).alias("phrase"))
 
 
-def matched(df: DataFrame, key: str, text: str, names: DataFrame) -> DataFrame:
+def matched(df: DataFrame, key: str, text: str, names: DataFrame, context: str | None = None, never: tuple[str, ...] = ()) -> DataFrame:
     """(key, entity_id, cluster) for names found whole in a text, by an equi-join on phrases instead of a contains join.
 
-    ``names`` has entity_id, name and cluster.  A name of one short token counts only where one cluster has it.
+    ``names`` has entity_id, name and cluster; names may have any number of tokens.  Where the text's cluster (its column
+    ``context``) is the name's, in any case, names of LEAST letters count; elsewhere a name counts from FREE letters and
+    only if one cluster alone has it.  Names in ``never`` (lower-case, such as BLOCKED) don't count at all.
     """
-    n = names.withColumn("phrase", F.array_join(tokens(F.col("name")), " "))
-    shared = n.groupBy("phrase").agg(F.countDistinct("cluster").alias("clusters"))
-    n = n.join(shared, "phrase").filter((F.length("phrase") >= 10) | ((F.length("phrase") >= 7) & (F.col("clusters") == 1)))
-    return phrases(df, key, text).join(n, "phrase").select("key", "entity_id", "cluster").distinct()
+    n = names.select("entity_id", "name", "cluster", tokens(F.col("name")).alias("t"))
+    n = n.filter((F.size("t") > 0) & (F.length("name") >= LEAST) & ~F.lower("name").isin(*never))
+    n = n.select("entity_id", "cluster", F.array_join("t", " ").alias("phrase"), F.size("t").alias("k"), (F.length("name") >= FREE).alias("long"))
+    c, w = F.coalesce("cluster", F.lit("")), Window.partitionBy("phrase")
+    n = n.withColumn("unique", F.min(c).over(w) == F.max(c).over(w))
+    d = df.select(F.col(key).alias("key"), F.col(text).alias("text"), F.lower(F.col(context) if context else F.lit("")).alias("context"))
+    d = d.crossJoin(F.broadcast(n.agg(F.collect_set("k").alias("lengths"))))  # one row
+    same = (F.col("context") != "") & (F.lower("cluster") == F.col("context"))
+    found = phrases(d, "key", "text", F.col("lengths"), "context").join(n, "phrase")
+    return found.filter(F.coalesce(same, F.lit(False)) | (F.col("long") & F.col("unique"))).select("key", "entity_id", "cluster").distinct()
 
 
 def test_mode(text: Column, n_refs: Column, protocol: str, cluster: str) -> Column:

@@ -31,7 +31,7 @@ _PHRASE = "select doc_id, unnest(regexp_split_to_array(lower(regexp_replace(text
 @query("entity_dictionary_join", f"with w as (select distinct doc_id, w from ({_PHRASE}) where length(w) >= 7), n as (select token from (select w as token, count(*) as c from w group by 1) order by c desc, token limit 100) select doc_id as key, w as entity_id from w where w in (select token from n)")
 def entity_dictionary_join(spark, sf_dir):
     d = docs(spark, sf_dir)
-    words = E.phrases(d, "doc_id", "text", 1).filter(F.length("phrase") >= 7)
+    words = E.phrases(d, "doc_id", "text", F.array(F.lit(1))).filter(F.length("phrase") >= 7)
     names = words.groupBy("phrase").agg(F.count("*").alias("c")).orderBy(F.desc("c"), "phrase").limit(100).select(F.col("phrase").alias("entity_id"), F.col("phrase").alias("name"), F.lit("x").alias("cluster"))
     return E.matched(d, "doc_id", "text", names).select("key", "entity_id")
 

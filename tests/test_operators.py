@@ -1,4 +1,6 @@
 import json
+import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -84,6 +86,36 @@ def test_entities(spark):
     assert {(r.entity_id, r.edge_type) for r in got} == {("e", "reads"), ("c", "tests_command")}
 
 
+def test_entities_of_any_length(spark):
+    """A whole dictionary of several hundred names of 1 to 9 tokens against brute force, with and without clusters."""
+    r = random.Random(3)
+    vocabulary = "on off level minimum temperature setpoint week day schedules supported per user mode".split()
+    say = lambda n: [r.choice(vocabulary) for _ in range(n)]
+    texts = [(i, say(400), r.choice(["A", "b", "", None])) for i in range(12)]
+    texts.append((12, "the number of week day schedules supported per user".split(), ""))
+    names = [(f"E{i}", say(1 + i % 9) if i % 2 else (t := texts[i % 12][1])[(j := r.randrange(380)) : j + 1 + i % 9], "aBC"[i % 3]) for i in range(400)]
+    names = [(e, "".join(x.title() for x in w) if i % 3 else " ".join(w), c) for i, (e, w, c) in enumerate(names)]
+    names.append(("W", "NumberOfWeekDaySchedulesSupportedPerUser", "D"))
+    split = lambda x: " ".join(re.findall("[a-z0-9]+", re.sub("([a-z])([A-Z])", r"\1 \2", x).lower()))
+    clusters = {}
+    for _, n, c in names:
+        clusters.setdefault(split(n), set()).add(c)
+    d = spark.createDataFrame([(i, " ".join(w), c) for i, w, c in texts], "id int, text string, cluster string")
+    n = spark.createDataFrame(names, "entity_id string, name string, cluster string")
+    want = lambda with_cluster: {
+        (i, e, c)
+        for i, w, own in texts
+        for e, name, c in names
+        if f" {split(name)} " in f" {' '.join(w)} " and len(name) >= 3 and ((with_cluster and c.lower() == (own or "").lower()) or (len(name) >= 7 and len(clusters[split(name)]) == 1))
+    }
+    assert {tuple(x) for x in entities.matched(d, "id", "text", n).collect()} == want(False)
+    assert {tuple(x) for x in entities.matched(d, "id", "text", n, "cluster").collect()} == want(True) > want(False)
+    assert (12, "W", "D") in want(False)
+    blocked = entities.matched(d, "id", "text", n, "cluster", entities.BLOCKED).collect()
+    lower = {e: name.lower() for e, name, _ in names}
+    assert {tuple(x) for x in blocked} == {x for x in want(True) if lower[x[1]] not in entities.BLOCKED} < want(True)
+
+
 def test_html():
     page = "<style>x</style><p>intro<h1>A</h1><p>one<p>two<h2>B</h2><table><tr><td>1<td>2</table><ul><li>i<li>j</ul><h1>C</h1><p>x <del>old</del><ins class='diff-chg'>new</ins>"
     s = html.sections(page)

@@ -170,14 +170,15 @@ def components(edges: DataFrame) -> DataFrame:
         now, mark = new, (n, total)
 
 
-def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text", rounds: int = ROUNDS) -> DataFrame:
+def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text", rounds: int = ROUNDS, once: bool = False) -> DataFrame:
     """(row, n_shingles, component_id, kept), a row for each input row.
 
     Two documents are linked where 100 * |intersection| >= percent * |union| of their shingle sets; ``component_id`` is
     the least id reachable over links, and ``kept`` marks the document that has it.  Null and empty texts, and texts
     without words, have no shingles and no links.  Repeated or null ids: see :func:`shared.keyed`; of a component's rows
-    with its least id, the one with the least version is kept, and rows alike in id and text share a result.  Other
-    columns, clashing names too, travel in ``row``.  Empty input gives no rows.
+    with its least id, the one with the least version is kept, and rows alike in id and text share a result; with
+    ``once`` only the first of them as JSON is given.  Other columns, clashing names too, travel in ``row``.  Empty input
+    gives no rows.
     """
     base, alone = keyed(docs, id_col, text_col), keyed(docs, id_col, text_col, alone=True)
     signed = written(alone.select("did", "ver", "text").mapInArrow(_signed(shingle), "did long, ver long, n long, d1 long, d2 long, bands array<long>"), "signatures")
@@ -238,7 +239,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, id_col
     own = F.struct("did", "ver")
     root = F.when(n > 0, F.coalesce("comp", "v")).otherwise(own)
     found = members.select(F.col("did").alias("i"), F.col("ver").alias("r"), n.alias("n_shingles"), root.alias("root"), (root == own).alias("kept"))
-    out = base.select("row", "did", "ver").join(found, (F.col("did") == F.col("i")) & (F.col("ver") == F.col("r")))
+    out = (alone if once else base).select("row", "did", "ver").join(found, (F.col("did") == F.col("i")) & (F.col("ver") == F.col("r")))
     return out.select("row", "n_shingles", F.when(F.col("root.did") != NULL_ID, F.col("root.did")).alias("component_id"), "kept")
 
 
@@ -249,4 +250,4 @@ def op7(docs: DataFrame) -> DataFrame:
 
 def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates, on shingles of five words."""
-    return near_duplicates(docs).filter("kept").select("row.*")
+    return near_duplicates(docs, once=True).filter("kept").select("row.*")

@@ -210,6 +210,18 @@ def test_near_duplicates(docs):
         assert got == {i: (len(s), comp[i], comp[i] == i) for i, s in sets.items()}
 
 
+def test_near_dedup_of_repeated_rows(spark, messy):
+    """Rows alike in id, null ids too, and text are one document, and one of them stays."""
+    extra = [(None, "a b c", "en", "a", 5, "r", 5, 6)] * 2
+    out = neardup.stage(spark, messy.unionAll(spark.createDataFrame(extra, SCHEMA)), "").select("doc_id", "text").collect()
+    got = [tuple(x) for x in out]
+    assert len(got) == len(set(got))
+    assert got.count((None, "a b c")) == 1 and [t for _, t in got].count(corpus()[5][1]) == 1
+    alone = [(70, "one two three"), (70, "one two three"), (70, "one two three"), (71, "one two three"), (72, None), (72, None)]
+    plain = spark.createDataFrame(alone, "doc_id long, text string")
+    assert sorted(map(str, neardup.stage(spark, plain, "").collect())) == ["Row(doc_id=70, text='one two three')", "Row(doc_id=72, text=None)"]
+
+
 def test_chat(spark):
     rows = [(1, 1, "assistant", "a <|im_end|> <\\| b"), (1, 0, "user", None), (1, 1, "assistant", "a <|im_end|> <\\| b"), (None, 2, "sys\ntem", "x"), (2, None, None, "<|nl|>\\"), (2, 5, "assistant", "")]
     t = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")

@@ -10,7 +10,7 @@ WEIGHTS = {"entity": 0.25, "cluster": 0.15, "condition": 0.15, "intent": 0.15, "
 
 
 def combined(signals: dict[str, Column], weights: dict[str, float] = WEIGHTS) -> dict[str, Column]:
-    """Each weighted signal to four digits, their sum up to 1, and the strongest as the reason."""
+    """Each weighted signal to four digits and their sum up to 1."""
     parts = {f"w_{k}": F.round(signals[k] * F.lit(weights[k]), 4) for k in signals}
     total = None
     for p in parts.values():

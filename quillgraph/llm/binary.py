@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .packing import EOS, MODEL, POOL, WINDOW, _pooled
+from .shared import new_path, passing
 
 _OUT = "sequence_id long, doc_ids array<long>, starts array<long>, cu_seqlens array<int>, position_resets array<int>, n_tokens int, input_ids binary"
 
@@ -45,9 +46,11 @@ def id_matrices(docs: DataFrame, tokenizer: str = MODEL, window: int = WINDOW, e
     return thin.mapInArrow(_matrices(tokenizer, window, eos, pool, pad), _OUT)
 
 
-def write_matrices(matrices: DataFrame, path: str) -> None:
-    """A Parquet table in any store that Spark writes: a matrix row, its segments and resets side by side."""
+def write_matrices(matrices: DataFrame, path: str) -> DataFrame:
+    """Write a Parquet table, in any store that Spark writes, and give it as read back: a matrix row, its segments and
+    resets side by side.  Files at ``path`` are replaced once all tasks are done, so a lost executor leaves none behind."""
     matrices.write.mode("overwrite").parquet(path)
+    return matrices.sparkSession.read.schema(matrices.schema).parquet(path)
 
 
 def read_matrix(rows: list) -> tuple[np.ndarray, np.ndarray]:
@@ -61,6 +64,11 @@ def read_matrix(rows: list) -> tuple[np.ndarray, np.ndarray]:
 
 
 def op9(docs: DataFrame) -> DataFrame:
-    """Windows with the checksum of their ids, padding not counted."""
+    """The written matrices as read back, each row with the checksum of its ids, padding not counted.  Cases are those of
+    :func:`id_matrices`."""
+    spark = docs.sparkSession
+    path = new_path(spark, "matrices")
+    table = write_matrices(id_matrices(docs), path)
+    passing(spark, path)
     real = F.substring("input_ids", F.lit(1), F.col("n_tokens") * 4)
-    return id_matrices(docs).select("sequence_id", "doc_ids", "starts", "cu_seqlens", "position_resets", "n_tokens", F.crc32(real).alias("ids_crc32"))
+    return table.select("sequence_id", "doc_ids", "starts", "cu_seqlens", "position_resets", "n_tokens", F.crc32(real).alias("ids_crc32"))

@@ -44,8 +44,11 @@ class Flattener:
     length: int = 0
     attachments: list[dict] = field(default_factory=list)
 
-    def visit(self, part: dict) -> None:
-        getattr(self, f"visit_{part.get('type', 'text')}", self.visit_unknown)(part)
+    def visit(self, part) -> None:
+        if isinstance(part, str):
+            part = {"type": "text", "text": part}
+        kind = part.get("type", "text") if isinstance(part, dict) else None
+        {"text": self.visit_text, "image": self.visit_image, "audio": self.visit_audio, "document": self.visit_document}.get(kind if isinstance(kind, str) else None, self.visit_unknown)(part)
 
     def _put(self, text: str) -> None:
         self.pieces.append(text)
@@ -56,24 +59,46 @@ class Flattener:
         self._put(f"<|{kind}|>")
 
     def visit_text(self, part: dict) -> None:
-        self._put(escaped(str(part.get("text") or "")))
+        text = part.get("text")
+        self._put(escaped(text if isinstance(text, str) else "" if text is None else json.dumps(text, ensure_ascii=False)))
 
     def visit_image(self, part: dict) -> None:
-        w, h = (max(1, int(part.get(k) or PATCH)) for k in ("width", "height"))
+        w, h = (max(1.0, number(part.get(k), PATCH)) for k in ("width", "height"))
         self._attach("image", part, math.ceil(w / PATCH) * math.ceil(h / PATCH))
 
     def visit_audio(self, part: dict) -> None:
-        self._attach("audio", part, math.ceil(float(part.get("seconds") or 0) * AUDIO_RATE))
+        self._attach("audio", part, math.ceil(max(0.0, number(part.get("seconds"), 0)) * AUDIO_RATE))
 
     def visit_document(self, part: dict) -> None:
-        self._attach("document", part, max(1, int(part.get("pages") or 1)) * PAGE)
+        self._attach("document", part, max(1, int(number(part.get("pages"), 1))) * PAGE)
 
-    def visit_unknown(self, part: dict) -> None:
-        """A kind we don't know stands as its own JSON text, so nothing is lost."""
+    def visit_unknown(self, part) -> None:
+        """A kind we don't know, or what isn't a part, stands as its own JSON text, so nothing is lost."""
         self.visit_text({"text": json.dumps(part, sort_keys=True, ensure_ascii=False)})
 
 
-def formatted(role: str, parts: list[dict]) -> tuple[str, int, int, list[dict]]:
+def number(value, default: float) -> float:
+    """A finite number up to 1e9 from JSON, else the default."""
+    try:
+        out = float(value)
+    except (TypeError, ValueError, OverflowError):
+        return float(default)
+    return min(out, 1e9) if math.isfinite(out) else float(default)
+
+
+def parts_of(parts: str | None, text: str) -> list:
+    """The typed parts of a turn: of a JSON list its items; what isn't such a list is the content itself as text; null
+    leaves the content to ``text``."""
+    if parts is None:
+        return [text]
+    try:
+        found = json.loads(parts)
+    except (ValueError, RecursionError):
+        return [parts]
+    return found if isinstance(found, list) else [parts]
+
+
+def formatted(role: str, parts: list) -> tuple[str, int, int, list[dict]]:
     """A turn's text, where its content starts and ends in it, and its attachments (places count from the turn's start)."""
     head = f"{START}{escaped(role).replace(chr(10), LINE)}\n"
     f = Flattener(length=len(head))
@@ -99,7 +124,7 @@ def _formatted(trained: tuple[str, ...]):
         for b in batches:
             rows = []
             for role, text, parts in zip(*(b.column(c).to_pylist() for c in ("role", "text", "parts")), strict=True):
-                line, start, end, files = formatted(role, json.loads(parts) if parts else [{"type": "text", "text": text}])
+                line, start, end, files = formatted(role, parts_of(parts, text))
                 if role not in trained:
                     start = end = 0
                 rows.append((line, start, end, sum(f["tokens"] for f in files), files))
@@ -114,8 +139,10 @@ def format_chat(turns: DataFrame, conv_col: str = "conv_id", turn_col: str = "tu
     """A row for each turn: its formatted text, the part of it under the loss mask as [loss_start, loss_end), how many
     tokens its placeholders stand for, and its attachments.
 
-    ``parts_col`` holds a JSON list of typed parts, or null where ``text_col`` is the content.  A null role or text is
-    empty; null conversations and turns are kept.  Other columns are left out.  Empty input gives no rows.
+    ``parts_col`` holds a JSON list of typed parts, or null where ``text_col`` is the content.  What isn't a JSON list
+    is the content as text; an item that isn't a known part stands as its JSON; measures that aren't finite numbers take
+    their defaults.  A null role or text is empty; null conversations and turns are kept, repeated ones too.  Other
+    columns are left out.  Empty input gives no rows.
     """
     parts = F.col(parts_col).cast("string") if parts_col else F.lit(None).cast("string")
     thin = turns.select(

@@ -1,112 +1,130 @@
 """Mixing sources to target weights by weighted fair queueing.
 
-Each source is served its shuffled documents, again from the start once they are through.  A copy of a document
-finishes at the virtual time (words its source has been served by then) / (the source's target), so all sources reach
-their targets at time 1, when the words served are the budget.  The mix is the copies by finish time, up to time 1; the
-copy a source is being served just then is cut there.
+Each source serves its shuffled documents, again from the start once they are through.  A copy of a document finishes at
+the virtual time (words its source has served by then) / (the source's target), so sources reach their targets together,
+at time 1.  All copies are range-sorted by finish time, running sums over the ranges find where the total budget is
+spent, and the queue is cut there.
+
+A copy that its source is serving at time 1, one a source, is queued in packets of PACKET words with finish times of
+their own, as long messages are in packet networks; so the cut leaves each source within a packet of its target, however
+long its documents are.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .shared import WORD, keyed, written
+from .shared import WORD, discard, running, written
 
 WEIGHTS = (5.0, 2.0, 1.0)
 SHARE, REPEATS, SEED = 1.5, 2, 17
-#: Documents whose order in the queue one task settles at a time.
-GROUP = 2000
-#: Sources up to which their table is broadcast; more are joined by a shuffle.
-FEW = 20_000
+PACKET = 16
+_KEY = ["id", "key", "twin"]
 
 
-def _targets(sizes: DataFrame, weights: tuple[float, ...], share: float, repeats: float) -> DataFrame:
-    """Water filling: a row for each source with its target.
+def _targets(sizes: DataFrame, weights: tuple[float, ...], share: float, repeats: int) -> tuple[DataFrame, int]:
+    """Water filling: a row for each source with its target and the words of the sources before it; and the budget.
 
     Sources, in the order of limit / weight, reach their limits one after another as the common level rises; the level
-    at which the budget is spent follows from running sums.  One row a source, so one task is enough.
+    at which the budget is spent follows from running sums.
     """
-    n = F.row_number().over(Window.orderBy(F.col("source").isNull(), F.col("source"))) - 1
-    weight = F.element_at(F.array(*[F.lit(float(w)) for w in weights]), (n % len(weights) + 1).cast("int"))
-    limit = F.col("source_size") * F.lit(float(repeats))
-    s = sizes.withColumn("weight", weight).withColumn("limit", limit).withColumn("level", F.col("limit") / F.col("weight"))
-    everything = Window.partitionBy()
-    upto = Window.orderBy("level", F.col("source").isNull(), "source").rowsBetween(Window.unboundedPreceding, -1)
-    s = s.withColumn("budget", F.sum("source_size").over(everything) * F.lit(share))
-    spent = F.coalesce(F.sum("limit").over(upto), F.lit(0.0))
-    left = F.sum("weight").over(everything) - F.coalesce(F.sum("weight").over(upto), F.lit(0.0))
-    s = s.withColumn("at", (F.col("budget") - spent) / left)
+    n, total = sizes.agg(F.count("*"), F.coalesce(F.sum("source_size"), F.lit(0))).first()
+    last = F.col("source").isNull()
+    s = running(sizes.withColumns({"last": last, "one": F.lit(1)}), ["last", "source"], ["one", "source_size"], n, "sources")
+    weight = F.element_at(F.array(*[F.lit(float(w)) for w in weights]), (F.col("before_one") % len(weights) + 1).cast("int"))
+    s = s.withColumn("weight", weight).withColumn("limit", F.col("source_size") * F.lit(float(repeats)))
+    s = s.select("last", "source", "source_size", F.col("before_source_size").alias("ahead"), "weight", "limit", (F.col("limit") / F.col("weight")).alias("level"))
+    s = running(s, ["level", "last", "source"], ["limit", "weight"], n, "levels")
+    every = s.agg(F.sum("weight")).first()[0] or 0.0
+    s = s.withColumn("at", (F.lit(total * float(share)) - F.col("before_limit")) / (F.lit(every) - F.col("before_weight")))
     # the first source whose limit lies above the level that the rest would share
-    s = s.withColumn("final", F.min(F.when(F.col("at") <= F.col("level"), F.struct("level", "at"))).over(everything))
-    fill = F.when(F.col("final").isNull(), F.col("limit")).otherwise(F.least("limit", F.col("weight") * F.col("final.at")))
-    return s.select("source", "source_size", "n_docs", fill.alias("target"))
+    final = s.filter("at <= level").agg(F.min(F.struct("level", "last", "source", "at"))).first()[0]
+    target = F.col("limit") if final is None else F.least("limit", F.col("weight") * F.lit(final["at"]))
+    # the targets' sum, but for rounding: the budget is shared out unless every source is at its limit
+    return written(s.select("source", "source_size", "ahead", target.cast("double").alias("target")), "targets"), int(total * min(share, repeats))
 
 
-def schedule(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: float = SHARE, repeats: int = REPEATS, seed: int = SEED, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
-    """(did, ver, source, size, source_size, target, before): each document's place in its source's queue.
+def _keyed(docs: DataFrame, id_col: str, text_col: str, *more: Column) -> DataFrame:
+    """(id, key, twin, more): a row for each input row, and key and twin tell rows apart whose ids repeat or are null.
 
-    ``before`` is how many words of its source come before it.  Null texts have size 0.  The null source comes last in
-    the order of weights.  Repeated and null ids: see :func:`shared.keyed`; of rows alike in id and text there is one here.
+    Rows alike in all that is asked for are counted, not ordered, and numbered by unfolding the count.
+    """
+    i = F.col(id_col).cast("long")
+    repeats = not docs.groupBy(i.alias("i")).count().filter("i is null or count > 1").isEmpty()
+    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
+    out = docs.select(i.alias("id"), (F.xxhash64(text) if repeats else F.lit(0).cast("long")).alias("key"), *more)
+    if not repeats:
+        return out.withColumn("twin", F.lit(0).cast("long"))
+    counted = out.groupBy(*out.columns).agg(F.count("*").alias("n"))
+    return counted.withColumn("twin", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1))).drop("n")
+
+
+def queue(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: float = SHARE, repeats: int = REPEATS, seed: int = SEED, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", more: tuple[Column, ...] = ()) -> DataFrame:
+    """(id, key, twin, source, size, source_size, target, copy, packet, words, finish, taken): the sorted queue, and of
+    each of its entries the words before the cut.
+
+    The shuffle is by md5 of seed and id, then by the key.  Null texts and texts without words have size 0 and one entry
+    without words.  Each input row is a document, those alike too; the null source comes last in the order of weights.
     Empty input gives no rows.
     """
-    base = keyed(docs, id_col, text_col, alone=True)
-    order = F.xxhash64(F.lit(seed), "did", "ver")
-    thin = base.select("did", "ver", F.col("row")[source_col].alias("source"), F.regexp_count("text", F.lit(WORD)).cast("long").alias("size"), order.alias("order"))
-    thin = written(thin, "queue")
-    sizes = thin.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("n_docs"))
-    targets = written(_targets(sizes, weights, share, repeats), "targets")
+    size = F.regexp_count(F.coalesce(F.col(text_col).cast("string"), F.lit("")), F.lit(WORD)).cast("long")
+    thin = written(_keyed(docs, id_col, text_col, F.col(source_col).alias("source"), size.alias("size"), *more), "queue")
+    place = F.conv(F.left(F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("id").cast("string"), F.lit("")))), F.lit(15)), 16, 10).cast("long")
+    n = thin.count()
+    ordered = thin.withColumns({"last": F.col("source").isNull(), "place": place})
+    ordered = running(ordered, ["last", "source", "place", *_KEY], ["size"], n, "shuffled").drop("last", "place", "range")
+    targets, budget = _targets(thin.groupBy("source").agg(F.sum("size").alias("source_size")), weights, share, repeats)
     side = targets.withColumnRenamed("source", "s")
-    side = F.broadcast(side) if targets.count() <= FEW else side
-    # the order's place in 0 to 1, so groups follow each other as their documents do
-    place = F.col("order") / F.lit(2.0**64) + F.lit(0.5)
-    groups = F.ceil(F.col("n_docs") / GROUP)
-    q = thin.join(side, F.col("source").eqNullSafe(F.col("s"))).drop("s").withColumn("group", F.least(groups - 1, F.floor(place * groups)))
-    by = Window.partitionBy("source").orderBy("group").rowsBetween(Window.unboundedPreceding, -1)
-    heads = q.groupBy("source", "group").agg(F.sum("size").alias("words")).withColumn("head", F.coalesce(F.sum("words").over(by), F.lit(0)))
-    inner = Window.partitionBy("source", "group").orderBy("order", "did", "ver").rowsBetween(Window.unboundedPreceding, -1)
-    q = q.withColumn("inside", F.coalesce(F.sum("size").over(inner), F.lit(0)))
-    heads = heads.select(F.col("source").alias("s"), F.col("group").alias("g"), "head")
-    q = q.join(heads, F.col("source").eqNullSafe(F.col("s")) & (F.col("group") == F.col("g")))
-    return q.select("did", "ver", "source", "size", "source_size", "target", (F.col("head") + F.col("inside")).alias("before"))
-
-
-def _served(copy: int) -> Column:
-    """Words of a document's copy that its source is served up to time 1."""
-    start = F.col("before") + F.lit(copy) * F.col("source_size")
-    return F.greatest(F.lit(0), F.least("size", F.round("target").cast("long") - start))
-
-
-def copies(queue: DataFrame, repeats: int = REPEATS) -> DataFrame:
-    """A row for each copy that the mix takes: its words (fewer than size where the mix ends in it) and finish time."""
-    each = F.array(*[F.struct(F.lit(c).alias("copy"), _served(c).alias("words"), ((F.col("before") + F.lit(c) * F.col("source_size") + F.col("size")) / F.col("target")).alias("finish")) for c in range(repeats)])
-    out = queue.filter("target > 0 and size > 0").withColumn("c", F.explode(each)).select("*", "c.*").drop("c")
-    return out.filter("words > 0")
+    q = ordered.join(side, F.col("source").eqNullSafe(F.col("s"))).withColumn("before", F.col("before_size") - F.col("ahead")).drop("s", "ahead", "before_size")
+    q = q.withColumn("copy", F.explode(F.when(F.col("size") > 0, F.sequence(F.lit(0), F.lit(repeats - 1))).otherwise(F.array(F.lit(0)))))
+    start = F.col("before") + F.col("copy") * F.col("source_size")
+    q = q.withColumn("start", start).drop("before")
+    open_ = (F.col("start") < F.col("target")) & (F.col("start") + F.col("size") > F.col("target"))
+    cuts = F.when(open_, F.sequence(F.lit(0).cast("long"), F.col("size") - 1, F.lit(PACKET).cast("long"))).otherwise(F.array(F.lit(0).cast("long")))
+    q = q.select("*", open_.alias("open"), F.explode(cuts).alias("packet"))
+    words = F.when(F.col("open"), F.least(F.lit(PACKET), F.col("size") - F.col("packet"))).otherwise(F.col("size"))
+    q = q.withColumn("words", words).drop("open")
+    finish = F.when(F.col("target") > 0, (F.col("start") + F.col("packet") + F.col("words")) / F.col("target")).otherwise(0.0)
+    q = q.withColumn("finish", finish).drop("start")
+    q = running(q, ["finish", *_KEY, "copy", "packet"], ["words"], repeats * n, "finished")
+    discard(thin, targets, ordered)
+    return q.withColumn("taken", F.greatest(F.lit(0), F.least("words", F.lit(budget) - F.col("before_words")))).drop("before_words", "range")
 
 
 def mix(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: float = SHARE, repeats: int = REPEATS, seed: int = SEED, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
-    """(row, copy, words, finish): the mix itself, range-sorted by finish time and cut at the budget.
+    """(row, copy, words, finish): the mix itself, a row for each copy before the cut (words: those of it that are
+    before the cut), range-sorted by finish time.
 
-    Cases are those of :func:`schedule`; documents without words are not in it.
+    Cases are those of :func:`queue`; documents without words are not in it.
     """
-    base = keyed(docs, id_col, text_col, alone=True)
-    queue = copies(schedule(docs, weights, share, repeats, seed, id_col, text_col, source_col), repeats)
-    queue = queue.select("did", "ver", "copy", "words", "finish").withColumnsRenamed({"did": "i", "ver": "v"})
-    out = base.join(queue, (F.col("did") == F.col("i")) & (F.col("ver") == F.col("v"))).select("row", "copy", "words", "finish", "did")
-    return out.repartitionByRange("finish", "did", "copy").sortWithinPartitions("finish", "did", "copy").drop("did")
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    # rows that share id and text are told apart by the rest of the row
+    mark = F.xxhash64(F.to_json(row)).alias("mark")
+    served = queue(docs, weights, share, repeats, seed, id_col, text_col, source_col, (mark,)).filter("taken > 0")
+    key = [*_KEY, "mark"]
+    served = served.groupBy(*key, "copy").agg(F.sum("taken").alias("words"), F.max("finish").alias("finish"))
+    base = _keyed(docs, id_col, text_col, row.alias("row"), mark)
+    left = base.select("row", *[F.col(c).alias(f"_{c}") for c in key])
+    same = F.lit(True)
+    for c in key:
+        same = same & (F.col(f"_{c}").eqNullSafe(F.col(c)) if c == "id" else F.col(f"_{c}") == F.col(c))
+    out = left.join(served, same)
+    return out.repartitionByRange("finish", *key, "copy").sortWithinPartitions("finish", *key, "copy").select("row", "copy", "words", "finish")
 
 
 def op3(docs: DataFrame) -> DataFrame:
-    """The contract's columns of the mix: each document's words over all its copies."""
-    taken = sum((_served(c) for c in range(REPEATS)), F.lit(0))
-    return schedule(docs).select(F.when(F.col("did") != -(1 << 63), F.col("did")).alias("doc_id"), "size", "source_size", "target", taken.cast("long").alias("taken"))
+    """The contract's columns: each document's words before the cut, over all its entries in the queue."""
+    out = queue(docs).groupBy(*_KEY, "source", "size", "source_size", "target").agg(F.sum("taken").cast("long").alias("taken"))
+    return out.select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken")
 
 
 def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The mix as documents: a row for each copy; one that the mix ends in keeps its first words only."""
+    """The mix as documents: a row for each copy; one that the cut goes through keeps its first words only,
+    joined by blanks.  Cases are those of :func:`mix`."""
     out = mix(docs)
-    size = F.regexp_count(F.col("row.text"), F.lit(WORD))
-    cut = F.array_join(F.slice(F.regexp_extract_all(F.col("row.text"), F.lit(f"({WORD})"), 1), 1, F.col("words").cast("int")), " ")
-    text = F.when(F.col("words") < size, cut).otherwise(F.col("row.text"))
-    out = out.withColumn("mixed", text)
+    text = F.coalesce(F.col("row.text"), F.lit(""))
+    size = F.regexp_count(text, F.lit(WORD))
+    cut = F.array_join(F.slice(F.regexp_extract_all(text, F.lit(f"({WORD})"), 1), 1, F.col("words").cast("int")), " ")
+    out = out.withColumn("mixed", F.when(F.col("words") < size, cut).otherwise(text))
     return out.select(*[F.col("mixed").alias(c) if c == "text" else F.length("mixed").cast(docs.schema[c].dataType).alias(c) if c == "n_chars" else F.col("row")[c].alias(c) for c in docs.columns])

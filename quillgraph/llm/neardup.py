@@ -7,8 +7,10 @@ their registers, corrected for the collisions that so few bits cause, and then o
 
 Groups are never expanded into pairs.  In each of a few rounds, a band's documents are compared with one of them, chosen
 by a hash, and linked documents become one component.  At the end the documents outside a band's largest component are
-queries against the band's documents, dealt in blocks: a block compares the pairs that still lie in two components, each
-in the first band that they share, on their full sets, and gives a link for each query and component at most.
+queries against the band's documents.  Both are dealt in blocks, and a block of queries meets a block of documents twice:
+first as registers only, which rule out most documents; what remains comes with its text, and the pairs that still lie in
+two components, each in the first band that they share, are compared on their full sets.  That gives a link for each
+query and component at most.
 """
 
 from __future__ import annotations
@@ -18,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import NULL_ID, discard, keyed, written
+from .shared import HOT, NULL_ID, discard, keyed, some, spread_join, written
 from .words import U, grams, mix, sliced, within, words
 
 REGISTERS, MANTISSA, ROWS = 128, 10, 4
@@ -29,8 +31,8 @@ COLLISION = 0.169919487159739
 #: Standard deviations below the threshold at which the estimate alone rules a pair out.
 SIGMAS = 5.0
 ROUNDS = 2
-#: A band's documents in a block of the last comparison.
-BLOCK = 1024
+#: A band's documents, and their shingles, in a block of the last comparison.
+BLOCK, SHINGLES = 1024, 1 << 20
 #: Where a register without a shingle looks for one to copy, in order.
 _PROBES = (mix(np.arange(REGISTERS * 256, dtype=U)) % U(REGISTERS)).astype(np.int64).reshape(256, REGISTERS)
 
@@ -105,34 +107,68 @@ def _compared(k: int, percent: int):
     return run
 
 
+def _estimated(percent: int, own: np.ndarray, n: int, others: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Whether the registers' estimate leaves pairs of one document (registers, shingles) with others possible."""
+    accidents = COLLISION * 2.0 ** (_BITS - MANTISSA + 1) * 4.0 * n * sizes / (n + sizes) ** 2
+    t, least = percent / 100, np.minimum(sizes, n)
+    slack = SIGMAS * (t * (1 - t)) ** 0.5 / np.sqrt(np.minimum(REGISTERS, least / 2.0))
+    able = least * 100 >= percent * np.maximum(sizes, n)
+    return able & (((others == own).sum(1) - accidents) / REGISTERS >= t - slack)
+
+
+class _Pair:
+    """A block of queries and a block of documents of one band key: which pairs are still to be compared."""
+
+    def __init__(self, t: pa.Table, percent: int):
+        self.percent = percent
+        asks = t.column("asks").to_numpy()
+        self.q, self.m = np.flatnonzero(asks), np.flatnonzero(~asks)
+        self.bands = np.array(t.column("bands").to_pylist(), np.int64)
+        self.registers = self.bands.view(np.uint16)
+        self.n = t.column("n").to_numpy()
+        comps = [(c["did"], c["ver"]) for c in t.column("comp").to_pylist()]
+        number = {c: i for i, c in enumerate(dict.fromkeys(comps))}
+        self.comp = np.array([number[c] for c in comps])
+        self.band = t.column("band")[0].as_py()
+
+    def todo(self):
+        """(query row, rows of documents) for each query with any."""
+        m = self.m
+        for i in self.q.tolist():
+            other = m[self.comp[m] != self.comp[i]]
+            # a pair belongs to the first band that it shares
+            other = other[(self.bands[other] == self.bands[i]).argmax(1) == self.band]
+            other = other[_estimated(self.percent, self.registers[i], self.n[i], self.registers[other], self.n[other])]
+            if len(other):
+                yield i, other
+
+
+def _possible(percent: int):
+    """The rows of a block pair that are in any pair still to be compared."""
+
+    def run(t: pa.Table) -> pa.Table:
+        keep = np.zeros(t.num_rows, bool)
+        for i, other in _Pair(t, percent).todo():
+            keep[i] = True
+            keep[other] = True
+        return t.filter(pa.array(keep))
+
+    return run
+
+
 def _blocked(k: int, percent: int):
-    """Links between queries and a block's documents of other components."""
+    """Links between a block pair's queries and its documents of other components."""
     node = pa.struct([("did", pa.int64()), ("ver", pa.int64())])
 
-    def run(queries: pa.Table, members: pa.Table) -> pa.Table:
+    def run(t: pa.Table) -> pa.Table:
         found: list[tuple[dict, dict]] = []
-        if queries.num_rows and members.num_rows:
-            band = queries.column("qband")[0].as_py()
-            sets = shingle_sets(members.column("text").to_pylist(), k)
-            size = np.array([len(x) for x in sets])
-            flat, ends = np.concatenate(sets), np.cumsum(size)
-            keys = np.array(members.column("bands").to_pylist(), np.int64)
-            nodes, comps = members.column("v").to_pylist(), members.column("comp").to_pylist()
-            number = {(c["did"], c["ver"]): i for i, c in enumerate(comps)}
-            comp = np.array([number[c["did"], c["ver"]] for c in comps])
-            own = shingle_sets(queries.column("qtext").to_pylist(), k)
-            for s, q, bands, c in zip(own, queries.column("qv").to_pylist(), queries.column("qbands").to_pylist(), queries.column("qcomp").to_pylist(), strict=True):
-                same = keys == np.array(bands, np.int64)
-                # 100 * least >= percent * greatest must hold for sizes already
-                able = 100 * np.minimum(size, len(s)) >= percent * np.maximum(size, len(s))
-                todo = np.flatnonzero((same.argmax(1) == band) & able & (comp != number.get((c["did"], c["ver"]), -1)))
-                if not len(todo):
-                    continue
-                place = np.minimum(np.searchsorted(s, flat), len(s) - 1)
-                both = np.diff(np.concatenate([[0], np.cumsum(s[place] == flat)])[np.concatenate([[0], ends])])[todo]
-                linked = todo[100 * both >= percent * (len(s) + size[todo] - both)]
-                _, first = np.unique(comp[linked], return_index=True)
-                found += [(q, nodes[j]) for j in linked[first].tolist()]
+        pair, sets, nodes = _Pair(t, percent), shingle_sets(t.column("text").to_pylist(), k), t.column("v").to_pylist()
+        for i, other in pair.todo():
+            s = sets[i]
+            both = np.array([len(np.intersect1d(s, sets[j], assume_unique=True)) for j in other.tolist()])
+            linked = other[100 * both >= percent * (len(s) + pair.n[other] - both)]
+            _, first = np.unique(pair.comp[linked], return_index=True)
+            found += [(nodes[i], nodes[j]) for j in linked[first].tolist()]
         return pa.table([pa.array([x for x, _ in found], node), pa.array([y for _, y in found], node)], ["u", "v"])
 
     return run
@@ -170,6 +206,30 @@ def components(edges: DataFrame) -> DataFrame:
         now, mark = new, (n, total)
 
 
+def _settled(rest: DataFrame, texts: DataFrame, by: list[str], hot: DataFrame | None, shingle: int, percent: int) -> DataFrame:
+    """Links among the bands' documents that still lie in several components, by blocks of queries and of documents."""
+    weight = rest.groupBy(*by).agg(F.sum("n").alias("words"), F.max("size").alias("size"))
+    blocks = F.greatest(F.ceil(F.col("size") / BLOCK), F.ceil(F.col("words") / SHINGLES)).cast("int")
+    giant = rest.groupBy(*by, "comp").agg(F.count("*").alias("c")).groupBy(*by).agg(F.max(F.struct("c", "comp")).alias("g")).select(*by, F.col("g.comp").alias("giant"))
+    facts = weight.select(*by, blocks.alias("blocks")).join(giant, by)
+    own = F.pmod(F.xxhash64("v.did", "v.ver"), F.col("blocks")).cast("int")
+    dealt = spread_join(rest.drop("size"), facts, by, hot, ["v"]).withColumn("own", own)
+    every = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+    cols = ["v", "comp", "n", "bands"]
+    asks = dealt.filter("comp != giant").select(*by, F.col("own").alias("q"), every.alias("m"), F.lit(True).alias("asks"), *cols)
+    # documents go only to the blocks in which there are queries
+    meets = asks.select(*by, "q", "m").distinct()
+    members = dealt.select(*by, F.col("own").alias("m"), F.lit(False).alias("asks"), *cols)
+    members = members.join(meets, [*by, "m"]).select(*by, "q", "m", "asks", *cols)
+    shape = f"band int, key long, q int, m int, asks boolean, v {_V}, comp {_V}, n long, bands array<long>"
+    pairs = asks.unionByName(members).select(*[x.split()[0] for x in shape.split(", ")])
+    open_ = written(pairs.groupBy(*by, "q", "m").applyInArrow(_possible(percent), shape), "open")
+    full = open_.join(texts, "v")
+    out = written(full.groupBy(*by, "q", "m").applyInArrow(_blocked(shingle, percent), f"u {_V}, v {_V}"), "links")
+    discard(open_)
+    return out
+
+
 def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text", rounds: int = ROUNDS, once: bool = False) -> DataFrame:
     """(row, n_shingles, component_id, kept), a row for each input row.
 
@@ -184,31 +244,45 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, id_col
     signed = written(alone.select("did", "ver", "text").mapInArrow(_signed(shingle), "did long, ver long, n long, d1 long, d2 long, bands array<long>"), "signatures")
     heads = signed.filter("n > 0").groupBy("d1", "d2").agg(F.min(F.struct("did", "ver", "n", "bands")).alias("h"))
     heads = written(heads.select(F.struct("h.did", "h.ver").alias("v"), "h.n", "h.bands", "d1", "d2"), "classes")
+    by = ["band", "key"]
     keys = heads.select("v", F.posexplode("bands").alias("band", "key"))
-    shared = keys.groupBy("band", "key").agg(F.count("*").alias("c")).filter("c > 1").drop("c")
-    keys = written(keys.join(shared, ["band", "key"]), "bands")
-    some = keys.select("v").distinct()
+    shared = written(keys.groupBy(*by).agg(F.count("*").alias("c")).filter("c > 1"), "shared")
+    # of each band's keys at most 1 / HOT are so frequent: the bound of what is broadcast
+    hot = some(shared.filter(F.col("c") > max(100, HOT * heads.count())).select(*by), "hot")
+    keys = written(spread_join(keys, shared.drop("c"), by, hot, ["v"]), "bands")
+    banded = keys.select("v").distinct()
     at = (F.col("did") == F.col("v.did")) & (F.col("ver") == F.col("v.ver"))
-    texts = written(alone.select("did", "ver", "text").join(some, at).select("v", "text"), "texts")
-    one = heads.join(some, "v").select("v", "n", "bands")
+    texts = written(alone.select("did", "ver", "text").join(banded, at).select("v", "text"), "texts")
+    one = heads.join(banded, "v").select("v", "n", "bands")
 
     def verified(pairs: DataFrame) -> DataFrame:
-        """Pairs (u, v) that are links."""
-        p = pairs.filter("u != v").select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
-        p = p.join(one.select(F.col("v").alias("u"), F.col("n").alias("n1"), F.col("bands").alias("b1")), "u")
-        p = p.join(one.select("v", F.col("n").alias("n2"), F.col("bands").alias("b2")), "v")
-        p = written(p.filter(_likely(percent)).select("u", "v"), "pairs")
-        t = p.join(texts.select(F.col("v").alias("u"), F.col("text").alias("t1")), "u").join(texts.select("v", F.col("text").alias("t2")), "v")
+        """Pairs (u, v) that are links; ``pairs`` as written, where there are none."""
+        p = written(pairs.filter("u != v").select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct(), "met")
+        if p.isEmpty():
+            return p
+        # a document that very many are compared with, as the one chosen from a large band
+        ends = p.select(F.explode(F.array("u", "v")).alias("w")).groupBy("w").agg(F.count("*").alias("c"))
+        often = some(ends.filter(F.col("c") > max(100, HOT * p.count())).select("w"), "often")
+
+        def with_(df: DataFrame, end: str, facts: DataFrame) -> DataFrame:
+            return spread_join(df, facts.withColumnRenamed("w", end), [end], often and often.withColumnRenamed("w", end), ["v" if end == "u" else "u"])
+
+        node, text = F.col("v").alias("w"), F.col("text")
+        q = with_(p, "u", one.select(node, F.col("n").alias("n1"), F.col("bands").alias("b1")))
+        q = with_(q, "v", one.select(node, F.col("n").alias("n2"), F.col("bands").alias("b2")))
+        q = written(q.filter(_likely(percent)).select("u", "v"), "pairs")
+        t = with_(q, "u", texts.select(node, text.alias("t1")))
+        t = with_(t, "v", texts.select(node, text.alias("t2")))
         out = written(t.mapInArrow(_compared(shingle, percent), f"u {_V}, v {_V}"), "links")
-        discard(p)
+        discard(p, q)
         return out
 
-    def apart(comp: DataFrame | None) -> DataFrame:
+    def apart(comp: DataFrame | None, r: int = 0) -> DataFrame:
         """Bands' rows with components, where a band still holds several: their number and one row by a hash too."""
         now = keys.withColumn("comp", F.col("v")) if comp is None else keys.join(comp, "v", "left").withColumn("comp", F.coalesce("comp", "v"))
         centre = F.min(F.struct(F.xxhash64(F.lit(r), "v.did", "v.ver").alias("x"), "v", "comp")).alias("c")
-        several = now.groupBy("band", "key").agg(F.min("comp").alias("low"), F.max("comp").alias("high"), F.count("*").alias("size"), centre)
-        return now.join(several.filter("low != high").drop("low", "high"), ["band", "key"])
+        several = now.groupBy(*by).agg(F.min("comp").alias("low"), F.max("comp").alias("high"), F.count("*").alias("size"), centre)
+        return spread_join(now, several.filter("low != high").drop("low", "high"), by, hot, ["v"])
 
     links, comp = None, None
 
@@ -219,17 +293,11 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, id_col
             comp = components(links)
 
     for r in range(rounds):
-        linked(verified(apart(comp).filter("comp != c.comp").select(F.col("c.v").alias("u"), "v")))
-    rest = written(apart(comp).select("band", "key", "v", "comp", F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks")), "rest")
-    by = ["band", "key"]
-    giant = rest.groupBy(*by, "comp").agg(F.count("*").alias("c")).groupBy(*by).agg(F.max(F.struct("c", "comp")).alias("g")).select(*by, "g.comp").withColumnRenamed("comp", "giant")
-    full = one.join(texts, "v").select(F.col("v").alias("w"), "bands", "text")
-    deal = F.pmod(F.xxhash64("v.did", "v.ver"), F.col("blocks")).cast("int").alias("block")
-    members = rest.select(*by, "v", "comp", deal).join(full, F.col("v") == F.col("w")).drop("w")
-    asks = rest.join(giant, by).filter("comp != giant").select(*by, "v", "comp", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"))
-    asks = asks.join(full, F.col("v") == F.col("w")).select(*[F.col(c).alias(f"q{c}") for c in (*by, "block", "v", "comp", "bands", "text")])
-    new = asks.groupBy("qband", "qkey", "qblock").cogroup(members.groupBy(*by, "block")).applyInArrow(_blocked(shingle, percent), f"u {_V}, v {_V}")
-    linked(written(new, "links"))
+        linked(verified(apart(comp, r).filter("comp != c.comp").select(F.col("c.v").alias("u"), "v")))
+    rest = written(apart(comp).select(*by, "v", "comp", "size").join(one, "v"), "rest")
+    if not rest.isEmpty():
+        linked(_settled(rest, texts, by, hot, shingle, percent))
+    discard(shared, keys, texts, rest)
     n = F.col("n")
     members = signed.drop("bands").join(heads.select("d1", "d2", "v"), ["d1", "d2"], "left")
     if comp is not None:
@@ -249,5 +317,6 @@ def op7(docs: DataFrame) -> DataFrame:
 
 
 def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates, on shingles of five words."""
+    """One document of each group of near duplicates, on shingles of five words.  Cases are those of
+    :func:`near_duplicates` with ``once``."""
     return near_duplicates(docs, once=True).filter("kept").select("row.*")

@@ -2,7 +2,8 @@
 
 Overlong documents are first cut into full windows; what is left of each, longest first, goes to the open window with
 the least room that still holds it, which the tree finds in log2(window) steps.  A task packs a pool of bounded size at
-a time, so no row moves between tasks; what doesn't fill a window goes on to the next pool.
+a time, so no row moves between tasks.  Where documents may be cut, what doesn't fill a window goes on to the next pool;
+else a pool's open windows are given out with padding.
 """
 
 from __future__ import annotations
@@ -225,5 +226,5 @@ def op5(docs: DataFrame) -> DataFrame:
 
 
 def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The last stage: the packed pieces with their ids' checksums."""
+    """The last stage: the packed pieces with their ids' checksums.  Cases are those of :func:`packed_pieces`."""
     return op5(docs)

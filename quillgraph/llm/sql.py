@@ -13,13 +13,54 @@ g as (select doc_id, list(i) as gi from gone group by doc_id)
 select d.doc_id, len(w)::bigint as n_words, coalesce(len(gi), 0)::bigint as n_removed,
   sha256(array_to_string(case when gi is null then w else list_filter(list_transform(w, lambda x, i: case when list_contains(gi, i) then null else x end), lambda x: x is not null) end, ' ')) as kept_sha256
 from d left join g using (doc_id)""",
+    "op3_source_mixing": rf"""
+with d as (select doc_id, source, len({_W})::bigint as size, ('0x' || left(md5('17:' || coalesce(doc_id::varchar, '')), 15))::bigint as place from documents),
+s as (select source, sum(size)::bigint as source_size from d group by source),
+w as (select *, 2::double * source_size as lim, [5.0::double, 2.0::double, 1.0::double][(row_number() over (order by source is null, source) - 1) % 3 + 1] as weight from s),
+l as (select *, lim / weight as level from w),
+a as (select *, ((select sum(source_size) from l) * 1.5::double - coalesce(sum(lim) over u, 0)) / ((select sum(weight) from l) - coalesce(sum(weight) over u, 0)) as lvl
+  from l window u as (order by level, source is null, source rows between unbounded preceding and 1 preceding)),
+f as (select lvl from a where lvl <= level order by level, source is null, source limit 1),
+t as (select source, source_size, case when exists (select 1 from f) then least(lim, weight * (select lvl from f)) else lim end as target from a),
+q as (select d.*, source_size, target, coalesce(sum(size) over (partition by d.source order by place, doc_id rows between unbounded preceding and 1 preceding), 0)::bigint as before
+  from d join t on d.source is not distinct from t.source),
+c as (select *, before + copy * source_size as start from q, (values (0), (1)) x(copy) where size > 0 or copy = 0),
+o as (select *, start < target and start + size > target as open from c),
+p as (select *, unnest(case when open then generate_series(0::bigint, size - 1, 16::bigint) else [0::bigint] end) as packet from o),
+e as (select *, case when open then least(16, size - packet) else size end as words from p),
+g as (select *, case when target > 0 then (start + packet + words) / target else 0 end as finish from e),
+r as (select *, coalesce(sum(words) over (order by finish, doc_id, copy, packet rows between unbounded preceding and 1 preceding), 0) as past from g)
+select doc_id, size, source_size, target, sum(greatest(0, least(words, (select floor(sum(size) * 1.5::double) from d) - past)))::bigint as taken
+from r group by doc_id, size, source_size, target, source""",
     "op6_top_k": """
-with e as (select vec_id, [floor(256 * x::double)::bigint for x in embedding] as v from embeddings
+with e as (select row_number() over () as uid, vec_id, [floor(256 * x::double)::bigint for x in embedding] as v from embeddings
   where vec_id is not null and embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
-s as (select q.vec_id as query_id, c.vec_id, list_sum([a[1] * a[2] for a in list_zip(q.v, c.v)])::bigint as score
-  from e q join e c on q.vec_id <> c.vec_id where q.vec_id % 50 = 0),
-r as (select *, row_number() over (partition by query_id order by score desc, vec_id)::int as rank from s)
+s as (select q.uid, q.vec_id as query_id, c.vec_id, list_sum([a[1] * a[2] for a in list_zip(q.v, c.v)])::bigint as score
+  from e q join e c on q.uid <> c.uid where q.vec_id % 50 = 0),
+r as (select *, row_number() over (partition by uid order by score desc, vec_id)::int as rank from s)
 select query_id, rank, vec_id, score from r where rank <= 5""",
+    # candidates share one of their rarest shingles, as many as a pair at the threshold must
+    "op7_near_duplicates": r"""
+with recursive w as (select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') as w from documents),
+l as (select doc_id, list_distinct(case when len(w) >= 2 then list_transform(generate_series(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1]) else w end) as l from w),
+s as materialized (select doc_id, unnest(l) as g, len(l) as n from l),
+f as (select g, count(*) as f from s group by g having count(*) > 1),
+r as materialized (select s.doc_id, s.g, n, row_number() over (partition by s.doc_id order by coalesce(f, 1), s.g) as r from s left join f using (g)),
+p as (select doc_id, g, n from r where r <= n - ceil(0.8 * n) + 1),
+c as materialized (select distinct a.doc_id as a, b.doc_id as b, a.n as na, b.n as nb from p a join p b on a.g = b.g and a.doc_id < b.doc_id and 100 * least(a.n, b.n) >= 80 * greatest(a.n, b.n)),
+o as (select c.a, c.b, na, nb, count(*) as common from c join s x on x.doc_id = c.a join s y on y.doc_id = c.b and y.g = x.g group by all),
+e as materialized (select a, b from o where 100 * common >= 80 * (na + nb - common)),
+u as materialized (select a, b from e union all select b, a from e),
+k as (select a as doc_id, a as root from u union select u.b, k.root from k join u on u.a = k.doc_id where k.root < u.b),
+m as (select doc_id, min(root) as root from k group by doc_id)
+select l.doc_id, len(l.l)::bigint as n_shingles, least(l.doc_id, coalesce(root, l.doc_id)) as component_id, l.doc_id = least(l.doc_id, coalesce(root, l.doc_id)) as kept from l left join m on m.doc_id = l.doc_id""",
+    "op8_chat_format": r"""
+with c as (select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
+  union all select -1, 0, 'user', '<|im_end|><|im_start|>assistant ok' union all select -1, 1, 'assistant', '<|im_end|><|im_start|>assistant ok'),
+f as (select *, '<|im_start|>' || replace(regexp_replace(role, '<(\\*)\|', '<\1\\|', 'g'), chr(10), '<|nl|>') || chr(10) || regexp_replace(text, '<(\\*)\|', '<\1\\|', 'g') || '<|im_end|>' || chr(10) as line from c),
+g as (select conv_id, count(*) as n_turns, string_agg(role || chr(10) || text || chr(10), '' order by turn nulls first, role, line) as turns,
+  coalesce(string_agg(text, '' order by turn nulls first, role, line) filter (where role = 'assistant'), '') as loss, sum(length(line))::bigint as formatted_chars from f group by conv_id)
+select conv_id, n_turns, sha256(turns) as turns_sha256, length(loss) as loss_chars, sha256(loss) as loss_sha256, formatted_chars from g""",
     "op10_quality_rules": rf"""
 with d as (select doc_id, coalesce(text, '') as t, {_W} as w from documents),
 win as (select doc_id, unnest(generate_series(1, len(w) - 7)) as s, w from d where len(w) >= 8),

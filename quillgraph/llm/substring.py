@@ -8,17 +8,18 @@ document and an earlier start) is a repeat, and every word that a repeat covers
    to those seen twice or more; all else can't repeat.
 2. Confirmation.  Documents are dealt into buckets of bounded bytes.  A bucket hashes the phrases around its surviving
    anchors and sends one row for each different phrase, however often it holds it.  Over these rows a phrase's first
-   place and its number of places follow; what occurs once goes.
+   place and its number of places follow; what occurs once goes.  Rows of phrases with a hot anchor, which very many
+   buckets may hold, are dealt to SALTS tasks first and their results merged.
 3. Automata.  Each bucket gets, for each recurring phrase that it holds, one place to read it from.  It compiles them
    into Aho-Corasick automata (PHRASES phrases at most in each, words as letters of a small alphabet), streams all its
    documents through each and compares the words of every hit, which finds every occurrence.
 
-No step gathers a key's rows in one task beyond one row a bucket; work and shuffle follow the text.
+No step gathers a hot key's rows in one task; work and shuffle follow the text.
 """
 
 from __future__ import annotations
 
-from itertools import compress, islice
+from itertools import islice
 
 import ahocorasick
 import numpy as np
@@ -26,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .shared import bucket_of, buckets, discard, keyed, text_bytes, written
+from .shared import HOT, SALTS, bucket_of, buckets, discard, keyed, some, spread_join, text_bytes, written
 from .words import MAX, grams, sliced, sliding, within, words
 
 ANCHOR = 8
@@ -109,18 +110,20 @@ class _Bucket:
 
 
 def _phrases(window: int):
-    """One row for each different phrase of a bucket whose anchor survives: its hash, its first place there, and ``p``:
-    24 more bits of hash, whether the bucket holds it more than once, and the place's word, in one number."""
-    names = ["h", "p", "did", "ver"]
+    """One row for each different phrase of a bucket whose anchor survives: its hash, its first place there, ``p``: 24
+    more bits of hash, whether the bucket holds it more than once, and the place's word, in one number; and ``salt``,
+    which is 0 unless its anchor is hot."""
+    names = ["h", "p", "did", "ver", "salt"]
 
     def run(docs: pa.Table, places: pa.Table) -> pa.Table:
         if not docs.num_rows or not places.num_rows:
-            return pa.table([pa.array([], pa.int64())] * 4, names)
+            return pa.table([*[pa.array([], pa.int64())] * 4, pa.array([], pa.int32())], names)
         bucket = _Bucket(docs)
         w, g, least, real, k = _anchors(bucket.texts, window)
         kept = np.full(len(g), MAX)
         at = w.first[bucket.find(places.column("did").to_numpy(), places.column("ver").to_numpy())] + places.column("at").to_numpy()
         kept[at] = g[at]
+        hot = np.unique(g[at[places.column("hot").to_numpy()]])
         i = np.flatnonzero(real & (sliding(kept, window - k + 1) == least))
         h, check = grams(w.hash, window)[i], grams(w.hash, window, 77)[i] >> np.uint64(40)
         order = np.lexsort((i, check, h))
@@ -133,8 +136,10 @@ def _phrases(window: int):
         back = np.argsort(i[lead], kind="stable")
         lead, many = lead[back], many[back]
         t = np.searchsorted(w.first, i[lead], "right") - 1
+        own = docs.column("b")[0].as_py() % SALTS + 1
+        salt = np.where(np.isin(least[i[lead]], hot), own, 0).astype(np.int32)
         p = (check[lead].astype(np.int64) << 40) | (many.astype(np.int64) << 39) | (i[lead] - w.first[t])
-        return pa.table([pa.array(c) for c in (h[lead].view(np.int64), p, bucket.did[t], bucket.ver[t])], names)
+        return pa.table([pa.array(c) for c in (h[lead].view(np.int64), p, bucket.did[t], bucket.ver[t], salt)], names)
 
     return run
 
@@ -182,7 +187,25 @@ def _located(bucket: _Bucket, routes: pa.Table, window: int):
     return [mask[a:b] for a, b in zip(w.first[:-1].tolist(), w.first[1:].tolist(), strict=True)]
 
 
-def _results(window: int, row_type: pa.DataType, text_col: str):
+def _without(text: str, mask: np.ndarray, layout: bool) -> str:
+    """A text without the masked words: the rest as it stands, white space after a word going with it; or, where
+    ``layout`` isn't wanted, the other words joined by one blank."""
+    raw = text.encode("utf-8", "surrogatepass")
+    if not layout:
+        return b" ".join(x for x, gone in zip(raw.split(), mask.tolist(), strict=True) if not gone).decode("utf-8", "surrogatepass")
+    if not mask.any():
+        return text
+    w = words([text])
+    start = np.append(w.start, len(raw))
+    edge = np.flatnonzero(np.diff(mask.view(np.int8), prepend=0, append=0)).tolist()
+    out, at = [], 0
+    for a, b in zip(edge[::2], edge[1::2], strict=True):
+        out.append(raw[at : start[a]])
+        at = int(start[b])
+    return b"".join([*out, raw[at:]]).decode("utf-8", "surrogatepass")
+
+
+def _results(window: int, row_type: pa.DataType, text_col: str, layout: bool):
     span = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
 
     def run(docs: pa.Table, routes: pa.Table) -> pa.Table:
@@ -193,12 +216,11 @@ def _results(window: int, row_type: pa.DataType, text_col: str):
         bucket = _Bucket(docs.append_column("text", text))
         n, gone, spans, kept = [], [], [], []
         for mask, text in zip(_located(bucket, routes, window), bucket.texts, strict=True):
-            ws = text.encode("utf-8", "surrogatepass").split()
-            n.append(len(ws))
+            n.append(len(mask))
             gone.append(int(mask.sum()))
             edge = np.flatnonzero(np.diff(mask.view(np.int8), prepend=0, append=0)).tolist()
             spans.append([{"start": a, "end": b} for a, b in zip(edge[::2], edge[1::2], strict=True)])
-            kept.append(b" ".join(compress(ws, ~mask) if edge else ws).decode("utf-8", "surrogatepass"))
+            kept.append(_without(text, mask, layout))
         rows = docs.column("row").take(pa.array(bucket.order)).combine_chunks()
         rows = rows.cast(row_type) if rows.type != row_type else rows
         pick = bucket.doc
@@ -208,9 +230,9 @@ def _results(window: int, row_type: pa.DataType, text_col: str):
     return run
 
 
-def substring_dedup(docs: DataFrame, window: int = 20, id_col: str = "doc_id", text_col: str = "text", bucket_bytes: int = BUCKET) -> DataFrame:
+def substring_dedup(docs: DataFrame, window: int = 20, id_col: str = "doc_id", text_col: str = "text", bucket_bytes: int = BUCKET, layout: bool = True) -> DataFrame:
     """(row, n_words, n_removed, spans, kept): each input row as a struct, its words, how many go, the removed runs of
-    words as [start, end), and the kept words joined by one blank.
+    words as [start, end), and the text without them: as it stands, or with ``layout`` off its words joined by one blank.
 
     A null or empty text has no words.  Texts shorter than ``window`` words keep all.  Repeated or null ids: see
     :func:`shared.keyed`.  Any other columns travel untouched in ``row``.  Empty input gives no rows.
@@ -220,33 +242,50 @@ def substring_dedup(docs: DataFrame, window: int = 20, id_col: str = "doc_id", t
     base = keyed(docs, id_col, text_col)
     n = buckets(text_bytes(docs, text_col), bucket_bytes)
     thin = base.select("did", "ver", "text")
-    anchors = thin.mapInArrow(_counts(window), "fp long, n long").groupBy("fp").agg(F.sum("n").alias("n")).filter("n > 1").select("fp")
-    places = thin.mapInArrow(_places(window), "fp long, did long, ver long, at int").join(anchors, "fp")
+    counts = thin.mapInArrow(_counts(window), "fp long, n long").groupBy("fp").agg(F.sum("n").alias("n")).filter("n > 1")
+    counts = written(counts, "counts")
+    # at most 1 / HOT anchors hold more than that share of the places: the bound of what is broadcast
+    frequent = max(1000, HOT * (counts.agg(F.sum("n")).first()[0] or 0))
+    hot = some(counts.filter(F.col("n") > frequent).select("fp"), "hot")
+    anchors = counts.select("fp", (F.col("n") > frequent).alias("hot"))
+    places = spread_join(thin.mapInArrow(_places(window), "fp long, did long, ver long, at int"), anchors, ["fp"], hot, ["did", "ver", "at"])
     b = bucket_of(n, "did", "ver").alias("b")
-    places = written(places.select(b, "did", "ver", "at"), "anchors")
+    places = written(places.select(b, "did", "ver", "at", "hot"), "anchors")
     dealt = thin.select(b, "did", "ver", "text")
-    phrases = dealt.groupBy("b").cogroup(places.groupBy("b")).applyInArrow(_phrases(window), "h long, p long, did long, ver long").repartition("h")
+    phrases = dealt.groupBy("b").cogroup(places.groupBy("b")).applyInArrow(_phrases(window), "h long, p long, did long, ver long, salt int").repartition("h", "salt")
     bits = lambda shift, size: F.shiftright("p", shift).bitwiseAND(F.lit((1 << size) - 1))
-    phrases = phrases.select("h", bits(40, 24).alias("k"), "did", "ver", bits(0, 39).cast("int").alias("at"), (bits(39, 1) == 1).alias("many"))
-    same = Window.partitionBy("h", "k")
+    phrases = phrases.select("h", bits(40, 24).alias("k"), "did", "ver", bits(0, 39).cast("int").alias("at"), (bits(39, 1) == 1).alias("many"), "salt")
+    same = Window.partitionBy("h", "salt", "k")
     here = F.struct("did", "ver", "at")
-    routes = phrases.select("*", F.min(here).over(same).alias("lead"), F.count("*").over(same).alias("places")).filter("many or places > 1")
-    routes = routes.select(b, "did", "ver", "at", (here == F.col("lead")).alias("lead"), "many").filter("many or not lead").drop("many")
+    routes = phrases.select("*", F.min(here).over(same).alias("lead"), F.count("*").over(same).alias("places"))
+    lead = here == F.col("lead")
+    once = F.when(F.col("salt") > 0, F.lit(True)).otherwise((F.col("many") | (F.col("places") > 1)) & (F.col("many") | ~lead))
+    routes = routes.filter(once).select(b, "did", "ver", "at", lead.alias("lead"), "many", "salt", *[F.when(F.col("salt") > 0, F.col(c)).alias(c) for c in ("h", "k")])
     routes = written(routes, "phrases")
-    discard(places)
+    discard(places, counts)
+    cols = ["b", "did", "ver", "at", "lead"]
+    cold = routes.filter("salt = 0").select(*cols)
+    if hot is not None:
+        salted = routes.filter("salt > 0")
+        merged = salted.groupBy("h", "k").agg(F.min(here).alias("first"), F.count("*").alias("places"))
+        merged = merged.withColumn("salt", F.explode(F.sequence(F.lit(1), F.lit(SALTS))))
+        salted = salted.drop("lead").join(merged, ["h", "k", "salt"]).withColumn("lead", here == F.col("first"))
+        cold = cold.unionAll(salted.filter("many or (places > 1 and not lead)").select(*cols))
+    routes = cold
     dealt = base.select(b, "did", "ver", "row")
     row_type = to_arrow_type(base.schema["row"].dataType)
     out = f"row {base.schema['row'].dataType.simpleString()}, n_words long, n_removed long, spans array<struct<start:long,end:long>>, kept string"
-    return dealt.groupBy("b").cogroup(routes.groupBy("b")).applyInArrow(_results(window, row_type, text_col), out)
+    return dealt.groupBy("b").cogroup(routes.groupBy("b")).applyInArrow(_results(window, row_type, text_col, layout), out)
 
 
 def op1(docs: DataFrame) -> DataFrame:
     """The contract's digest of :func:`substring_dedup` with 20 words."""
-    return substring_dedup(docs.select("doc_id", "text")).select("row.doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+    return substring_dedup(docs.select("doc_id", "text"), layout=False).select("row.doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
 def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents with repeated passages taken out; an untouched text stays as it is, and one with nothing left goes."""
+    """The documents with repeated passages taken out, the rest of a text as it stands; one with nothing left goes, one
+    that had no words stays.  Cases are those of :func:`substring_dedup`."""
     out = substring_dedup(docs).filter("n_removed = 0 or n_removed < n_words")
     text = F.when(F.col("n_removed") > 0, F.col("kept")).otherwise(F.col("row.text"))
     cols = [text.alias("text") if c == "text" else (F.when(F.col("n_removed") > 0, F.length("kept")).otherwise(F.col("row.n_chars")).cast(docs.schema[c].dataType).alias(c) if c == "n_chars" else F.col("row")[c].alias(c)) for c in docs.columns]

@@ -6,13 +6,11 @@ joined to the texts; of what the cache lacks, each different content is encoded
 
 from __future__ import annotations
 
-import uuid
-
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .shared import shared_dir, tidy
+from .shared import new_path, passing, tidy
 from .tokenize import loaded, version
 from .words import sliced
 
@@ -49,7 +47,8 @@ def token_counts(docs: DataFrame, tokenizer: str = MODEL, cache: str | None = No
     they are; equal texts are encoded once.  Empty input gives no rows.
     """
     spark = docs.sparkSession
-    cache = cache or f"{shared_dir(spark)}/token-counts-{uuid.uuid4().hex}"
+    own = cache is None
+    cache = cache or new_path(spark, "token-counts")
     tag = version(tokenizer)
     text = normalised(F.col(text_col))
     digest = F.unhex(F.sha2(text, 256)).alias("digest")
@@ -64,5 +63,7 @@ def token_counts(docs: DataFrame, tokenizer: str = MODEL, cache: str | None = No
     misses = found.dropDuplicates(["digest"]).mapInArrow(_encoded(tokenizer, tag), _SCHEMA)
     with tidy(spark):
         misses.write.mode("append").parquet(cache)
+    if own:
+        passing(spark, cache)
     keys = docs.select(F.col(id_col).alias("doc_id"), F.octet_length(text).cast("long").alias("n_bytes"), digest)
     return keys.join(stored(), "digest").select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"))

@@ -3,11 +3,11 @@
 A vector is cut into 1, 4, 16, ... segments; of each segment its mean and the length of what deviates from the mean are
 kept.  From them follows a lower bound of a distance: squared, at least the sum over segments of
 size * (mean - mean)^2 + (deviation - deviation)^2.  With both lengths known, a lower bound of the distance is an upper
-bound of the inner product.  Candidates are dropped from coarse to fine where that lies under the k-th best so far;
-survivors get their exact product in integers.
+bound of the inner product, namely the inner product of the statistics.  Candidates are dropped from coarse to fine
+where that lies under the k-th best so far; survivors get their exact product in integers.
 
 Queries are a set of rows and meet all rows in blocks: both sides are dealt to keyed blocks of bounded size, each block
-pair gives k rows a query, and these are merged.
+pair gives k rows a query, and these are merged.  Vectors travel as they are stored; a block scales them.
 """
 
 from __future__ import annotations
@@ -20,18 +20,21 @@ from pyspark.sql import functions as F
 from .shared import written
 
 SCALE, TOP, EVERY = 256, 5, 50
-#: Rows in a block of candidates and of queries.
-ROWS, QUERIES = 4096, 1024
+#: Rows in a block of candidates and of queries at most, and bytes of a block's scaled vectors.
+ROWS, QUERIES, BYTES = 8192, 2048, 64 << 20
+#: Queries of a block judged together, and pairs whose products are worked out together.
+SLICE, PAIRS = 256, 1 << 16
 #: Partial lists of a query merged at a time.
 MERGE = 64
 #: Room for rounding in the bounds, relative to the vectors' lengths.
 SLACK = 1e-9
+_LIMIT = (1 << 63) - 1
 
 
-def whole(vector: Column, scale: int = SCALE) -> Column:
-    """floor(scale * x) of each component as long; null where the vector is null or holds a null or non-finite one."""
-    fine = vector.isNotNull() & ~F.exists(vector, lambda x: x.isNull() | F.isnan(x) | (F.abs(x.cast("double")) == F.lit(float("inf"))))
-    return F.when(fine, F.transform(vector, lambda x: F.floor(x.cast("double") * F.lit(float(scale))).cast("long")))
+def fine(vector: Column) -> Column:
+    """Whether a vector is there and holds no null and no non-finite component."""
+    bad = F.exists(vector, lambda x: x.isNull() | F.isnan(x) | (F.abs(x.cast("double")) == F.lit(float("inf"))))
+    return F.coalesce(vector.isNotNull() & ~bad, F.lit(False))
 
 
 def statistics(x: np.ndarray, segments: int) -> np.ndarray:
@@ -43,69 +46,71 @@ def statistics(x: np.ndarray, segments: int) -> np.ndarray:
     return np.hstack([mean, rest])
 
 
-def _levels(d: int) -> list[int]:
-    out = [1]
-    while out[-1] * 4 <= d // 2:
+def levels(d: int) -> list[int]:
+    """Numbers of segments, coarse to fine; none for vectors without components."""
+    out = [1] if d else []
+    while out and out[-1] * 4 <= d // 2:
         out.append(out[-1] * 4)
     return out
 
 
-def best(q_ids: np.ndarray, q: np.ndarray, ids: np.ndarray, x: np.ndarray, k: int):
-    """(query place, candidate place, score) of each query's k highest integer products, ties to the smaller id; a row
-    with the query's id and vector is the query itself."""
+def _products(q: np.ndarray, x: np.ndarray, i: np.ndarray, j: np.ndarray, exact: bool) -> np.ndarray:
+    if exact:
+        parts = [(q[i[a : a + PAIRS]] * x[j[a : a + PAIRS]]).sum(1) for a in range(0, len(i), PAIRS)]
+        return np.concatenate(parts) if parts else np.zeros(0)
+    return np.array([sum(int(a) * int(b) for a, b in zip(q[u].tolist(), x[v].tolist(), strict=True)) for u, v in zip(i, j, strict=True)], object)
+
+
+def best(q_uid: np.ndarray, q: np.ndarray, uid: np.ndarray, ids: np.ndarray, x: np.ndarray, k: int):
+    """(query places, candidate places, scores) of each query's k highest integer products, ties to the smaller id.
+
+    ``q`` and ``x`` hold whole numbers as float64; where their products may pass 2**53, Python integers take over.  A
+    candidate with the query's uid is the query itself.
+    """
     exact = float(np.abs(q).max(initial=0)) * float(np.abs(x).max(initial=0)) * x.shape[1] < 2**53
-    qf, xf = q.astype(np.float64), x.astype(np.float64)
-    qn, xn = (qf * qf).sum(1), (xf * xf).sum(1)
-    tables = [(statistics(qf, s), statistics(xf, s)) for s in _levels(x.shape[1])]
-    bounds = []
-    for a, b in tables[:2]:
-        # |q|^2 + |x|^2 - (lower bound of the squared distance), halved, is the product of the statistics
-        bounds.append(a @ b.T)
-    for i in range(len(q)):
-        loose = SLACK * (np.sqrt(qn[i] * xn) + 1)
-        own = (ids == q_ids[i]) & (x == q[i]).all(1)
-        score = (lambda c: xf[c] @ qf[i]) if exact else (lambda c: np.array([sum(a * b for a, b in zip(r, q[i].tolist(), strict=True)) for r in x[c].tolist()], object))
-        coarse = bounds[-1][i] + loose
-        first = np.argpartition(-coarse, min(4 * k, len(x) - 1))[: 4 * k + 1]
-        first = first[~own[first]]
-        got = np.sort(score(first))[::-1]
-        floor = got[k - 1] if len(got) >= k else -np.inf
-        live = np.flatnonzero((bounds[0][i] + loose >= floor) & ~own)
-        for level, (a, b) in enumerate(tables[1:], 1):
-            bound = bounds[1][i][live] if level == 1 else b[live] @ a[i]
-            live = live[bound + loose[live] >= floor]
-        values = score(live)
-        top = sorted(zip((-values).tolist(), ids[live].tolist(), live.tolist(), strict=True))[:k]
-        for v, _, j in top:
-            yield i, j, int(-v)
-
-
-def _blocks(k: int):
-    names = ["query_id", "query_key", "vec_id", "score", "s"]
-    types = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64()]
-
-    def matrix(t: pa.Table, name: str = "v") -> np.ndarray:
-        flat = t.column(name).combine_chunks().flatten().to_numpy(False)
-        return flat.reshape(t.num_rows, -1)
+    qn, xn = np.sqrt((q * q).sum(1)), np.sqrt((x * x).sum(1))
+    tables = [(statistics(q, s), statistics(x, s)) for s in levels(x.shape[1])]
+    found = []
+    for low in range(0, len(q), SLICE):
+        part = slice(low, low + SLICE)
+        room = SLACK * (np.outer(qn[part], xn) + 1)
+        live = uid[None, :] != q_uid[part, None]
+        if tables:
+            # a floor: the k-th best exact product among the candidates that a coarse level puts first
+            a, b = tables[min(1, len(tables) - 1)]
+            n = min(4 * k + 1, len(x))
+            first = np.argpartition(-(a[part] @ b.T), n - 1, axis=1)[:, :n]
+            i = np.repeat(np.arange(len(first)), n)
+            sample = _products(q[part], x, i, first.ravel(), exact).astype(float).reshape(len(first), n)
+            sample[~np.take_along_axis(live, first, 1)] = -np.inf
+            floor = -np.sort(-sample, axis=1)[:, k - 1] if n >= k else np.full(len(first), -np.inf)
+            for a, b in tables:
+                live &= a[part] @ b.T + room >= floor[:, None]
+        i, j = np.nonzero(live)
+        score = _products(q[part], x, i, j, exact)
+        order = np.lexsort((ids[j], -score, i)) if exact else np.array(sorted(range(len(i)), key=lambda t: (i[t], -score[t], ids[j[t]])), np.int64)
+        i, j, score = i[order], j[order], score[order]
+        rank = np.arange(len(i)) - np.searchsorted(i, i)
+        keep = rank < k
+        found.append((i[keep] + low, j[keep], score[keep]))
+    return (np.concatenate([f[n] for f in found]) for n in range(3))
+
+
+def _blocks(k: int, scale: float):
+    names = ["query_uid", "query_id", "vec_id", "score", "s"]
+
+    def matrix(t: pa.Table, name: str) -> np.ndarray:
+        flat = t.column(name).combine_chunks().flatten().to_numpy(False).astype(np.float64)
+        return np.floor(scale * flat).reshape(t.num_rows, len(flat) // t.num_rows)
 
     def run(queries: pa.Table, rows: pa.Table) -> pa.Table:
-        out = []
-        if queries.num_rows and rows.num_rows:
-            q_ids, ids = queries.column("qid").to_numpy(), rows.column("vec_id").to_numpy()
-            keys, s = queries.column("qkey").to_numpy().tolist(), rows.column("s")[0].as_py()
-            bound = (1 << 63) - 1
-            if not matrix(rows).shape[1]:
-                pairs = ((i, j, 0) for i in range(len(q_ids)) for j in sorted(range(len(ids)), key=lambda j: ids[j]) if ids[j] != q_ids[i])
-                seen: dict[int, int] = {}
-                for i, j, v in pairs:
-                    if seen.setdefault(i, 0) < k:
-                        seen[i] += 1
-                        out.append((int(q_ids[i]), keys[i], int(ids[j]), v, s))
-            else:
-                for i, j, v in best(q_ids, matrix(queries, "qv"), ids, matrix(rows), k):
-                    out.append((int(q_ids[i]), keys[i], int(ids[j]), max(-bound - 1, min(bound, v)), s))
-        cols = list(zip(*out, strict=True)) if out else [[]] * 5
-        return pa.table([pa.array(c, t) for c, t in zip(cols, types, strict=True)], names)
+        if not queries.num_rows or not rows.num_rows:
+            return pa.table([pa.array([], pa.int64())] * 5, names)
+        ids, q_uid = rows.column("vec_id").to_numpy(), queries.column("quid").to_numpy()
+        i, j, score = best(q_uid, matrix(queries, "qv"), rows.column("uid").to_numpy(), ids, matrix(rows, "v"), k)
+        score = [max(-_LIMIT - 1, min(_LIMIT, int(v))) for v in score.tolist()]
+        cols = [q_uid[i], queries.column("qid").to_numpy()[i], ids[j], score, np.full(len(i), rows.column("s")[0].as_py())]
+        return pa.table([pa.array(c, pa.int64()) for c in cols], names)
 
     return run
 
@@ -113,28 +118,33 @@ def _blocks(k: int):
 def top_k(vectors: DataFrame, queries: Column, k: int = TOP, scale: int = SCALE, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
     """(query_id, rank, vec_id, score): each query's k highest products, ties to the smaller id; all if there are fewer.
 
-    ``queries`` is a condition on the rows of ``vectors``.  Rows with a null id, and vectors null or with a null or
-    non-finite component, take no part.  Rows alike in id and vector are one row; rows that share an id only are
-    different ones, and such queries are ranked apart.  Only vectors of the query's length are its candidates.  A score
-    beyond 64 bits stays at the limit.  Empty input gives no rows.
+    ``queries`` is a condition on the rows of ``vectors``.  Each row is a vector of its own, rows alike too: a query's
+    candidates are all rows but its own, and rows that share a query's id are queries apart, each with its list.  Rows
+    with a null id, and vectors null or with a null or non-finite component, take no part.  Only vectors of the query's
+    length are its candidates; without components every score is 0.  A score beyond 64 bits stays at the limit.  Other
+    columns are left out.  Empty input gives no rows.
     """
-    thin = vectors.select(F.col(id_col).cast("long").alias("vec_id"), whole(F.col(vector_col), scale).alias("v"), queries.alias("asks"))
-    thin = written(thin.filter("vec_id is not null and v is not null").distinct().withColumn("n", F.size("v")).withColumn("key", F.xxhash64("v")), "vectors")
-    n_rows, n_queries = thin.agg(F.count("*"), F.count_if(F.col("asks"))).first()
-    spread, turns = max(1, -(-n_rows // ROWS)), max(1, -(-n_queries // QUERIES))
-    part = lambda n: F.pmod(F.xxhash64("vec_id", "key", F.lit(7)), F.lit(n))
+    v = F.col(vector_col)
+    v = v if vectors.schema[vector_col].dataType.simpleString() == "array<float>" else v.cast("array<double>")
+    thin = vectors.filter(fine(F.col(vector_col)) & F.col(id_col).isNotNull())
+    thin = thin.select(F.monotonically_increasing_id().alias("uid"), F.col(id_col).cast("long").alias("vec_id"), v.alias("v"), F.coalesce(queries, F.lit(False)).alias("asks"))
+    thin = written(thin.withColumn("n", F.size("v")), "vectors")
+    n_rows, n_queries, width = thin.agg(F.count("*"), F.count_if(F.col("asks")), F.coalesce(F.max("n"), F.lit(0))).first()
+    most = max(1, BYTES // (8 * max(1, width)))
+    spread, turns = max(1, -(-n_rows // min(ROWS, most))), max(1, -(-n_queries // min(QUERIES, most)))
+    part = lambda n: F.pmod(F.xxhash64("uid", F.lit(7)), F.lit(n))
     # each side's rows go to every block of the other side, whose number follows the other side's size
-    rows = thin.select("vec_id", "v", "n", part(spread).alias("s"), F.explode(F.sequence(F.lit(0), F.lit(turns - 1))).alias("q"))
+    rows = thin.select("uid", "vec_id", "v", "n", part(spread).alias("s"), F.explode(F.sequence(F.lit(0), F.lit(turns - 1))).alias("q"))
     every = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(spread - 1).cast("long")))
-    asks = thin.filter("asks").select(F.col("vec_id").alias("qid"), F.col("v").alias("qv"), F.col("n").alias("qn"), F.col("key").alias("qkey"), part(turns).cast("int").alias("qq"), every.alias("qs"))
-    found = asks.groupBy("qn", "qq", "qs").cogroup(rows.groupBy("n", "q", "s")).applyInArrow(_blocks(k), "query_id long, query_key long, vec_id long, score long, s long")
+    asks = thin.filter("asks").select(F.col("uid").alias("quid"), F.col("vec_id").alias("qid"), F.col("v").alias("qv"), F.col("n").alias("qn"), part(turns).cast("int").alias("qq"), every.alias("qs"))
+    found = asks.groupBy("qn", "qq", "qs").cogroup(rows.groupBy("n", "q", "s")).applyInArrow(_blocks(k, float(scale)), "query_uid long, query_id long, vec_id long, score long, s long")
     order = [F.desc("score"), F.asc("vec_id")]
     while spread > 1:
         spread = -(-spread // MERGE)
         found = found.withColumn("s", F.floor(F.col("s") / MERGE))
-        found = found.withColumn("rank", F.row_number().over(Window.partitionBy("query_id", "query_key", "s").orderBy(*order))).filter(F.col("rank") <= k)
+        found = found.withColumn("rank", F.row_number().over(Window.partitionBy("query_uid", "s").orderBy(*order))).filter(F.col("rank") <= k)
     if "rank" not in found.columns:
-        found = found.withColumn("rank", F.row_number().over(Window.partitionBy("query_id", "query_key").orderBy(*order)))
+        found = found.withColumn("rank", F.row_number().over(Window.partitionBy("query_uid").orderBy(*order)))
     return found.select("query_id", "rank", "vec_id", "score")
 
 

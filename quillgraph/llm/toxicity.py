@@ -5,6 +5,10 @@ share of the class prior.  The risk is prior * R+(P) + max(0, R-(U) - prior * R-
 the step goes against it, which keeps a flexible model from explaining the positives among the unlabelled away.  The
 model is linear in the presence of words; a last fit of slope and offset on labelled rows makes its score a probability.
 
+A feature is a word without the punctuation around it, or its first bytes, as stems have many endings; met twice or three
+times in a text, it leaves further features.  How clearly a feature must tell is chosen among SIGMAS by the log loss on inner folds of the rows that aren't
+held out, so the held-out rows have no part in any choice.
+
 The sample is bounded (POSITIVES and UNLABELLED, by a hash of the id); scoring goes over every whole text.
 """
 
@@ -18,11 +22,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .words import U, Words, hashes, sliced, words
+from .words import U, hashes, mix, sliced, words
 
 #: Bounds of the training sample, in texts; features kept at most, texts a feature must be in, and how clearly it tells.
 POSITIVES, UNLABELLED = 2000, 6000
-FEATURES, LEAST, SIGMAS = 2000, 8, 7.0
+FEATURES, LEAST = 2000, 8
+#: What to choose from, in standard errors, and bytes of a stem.
+SIGMAS, STEM = (4.0, 5.0, 6.0, 8.0, 12.0), 5
 EPOCHS, STEP, DECAY, BATCHES, SEED = 60, 0.05, 1e-3, 10, 11
 FOLDS, HELD = 4, 2
 THRESHOLD = 0.3
@@ -35,8 +41,12 @@ def held_out(id_: Column) -> Column:
     return F.coalesce(F.crc32(id_.cast("string").cast("binary")) % FOLDS == HELD, F.lit(False))
 
 
-def features(texts: list[str]) -> tuple[np.ndarray, Words]:
-    """A hash of each lower-cased word without the punctuation around it."""
+def features(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """(text, feature) of each distinct feature of each text, in the order of the texts.
+
+    Features are hashes: of a lower-cased word without the punctuation around it, of its first STEM bytes where it is
+    longer, and of either once more where the text holds it at least twice, and at least three times.
+    """
     w = words(texts, lower=True)
     raw = np.frombuffer(w.data, np.uint8)
     start, end = w.start.copy(), w.end.copy()
@@ -44,14 +54,32 @@ def features(texts: list[str]) -> tuple[np.ndarray, Words]:
         start[cut] += 1
     while (cut := (start < end) & _PUNCTUATION[raw[end - 1]]).any():
         end[cut] -= 1
-    return hashes(w.data, start, end), w
+    long = np.flatnonzero(end - start > STEM)
+    row = w.text_of()
+    row = np.concatenate([row, row[long]])
+    value = np.concatenate([hashes(w.data, start, end), mix(hashes(w.data, start[long], start[long] + STEM) ^ U(1))])
+    order = np.lexsort((value, row))
+    row, value = row[order], value[order]
+    new = np.ones(len(row), bool)
+    new[1:] = (row[1:] != row[:-1]) | (value[1:] != value[:-1])
+    lead = np.flatnonzero(new)
+    n = np.diff(np.append(lead, len(row)))
+    row, value = row[lead], value[lead]
+    row, value = (np.concatenate([x, y[n > 1], z[n > 2]]) for x, y, z in ((row, row, row), (value, mix(value ^ U(77)), mix(value ^ U(78)))))
+    order = np.argsort(row, kind="stable")
+    return row[order], value[order]
+
+
+def feature_sets(texts: list[str]) -> list[np.ndarray]:
+    row, value = features(texts)
+    at = np.searchsorted(row, np.arange(len(texts) + 1))
+    return [np.sort(value[a:b]) for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)]
 
 
 def _distinct(batches):
     for b in sliced(batches, "text"):
-        h, w = features(b.column("text").to_pylist())
-        sets = [np.unique(h[x:y]).tobytes() for x, y in zip(w.first[:-1].tolist(), w.first[1:].tolist(), strict=True)]
-        yield pa.RecordBatch.from_arrays([b.column("toxic"), b.column("known"), pa.array(sets, pa.binary())], ["toxic", "known", "f"])
+        sets = [s.tobytes() for s in feature_sets(b.column("text").to_pylist())]
+        yield pa.RecordBatch.from_arrays([b.column("mark"), pa.array(sets, pa.binary())], ["mark", "f"])
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
@@ -93,39 +121,48 @@ class Model:
         self.vocabulary, self.weights, self.offset, self.slope, self.shift = vocabulary, weights, offset, slope, shift
 
     def scores(self, texts: list[str]) -> np.ndarray:
-        h, w = features(texts)
-        n = len(texts)
-        margin = np.full(n, self.offset)
-        if len(self.vocabulary) and len(h):
-            i = np.minimum(np.searchsorted(self.vocabulary, h), len(self.vocabulary) - 1)
-            hit = np.flatnonzero(self.vocabulary[i] == h)
-            # each feature of a text counts once
-            pair = np.unique(w.text_of()[hit] * len(self.vocabulary) + i[hit])
-            margin += np.bincount(pair // len(self.vocabulary), self.weights[pair % len(self.vocabulary)], n)
+        row, value = features(texts)
+        margin = np.full(len(texts), self.offset)
+        if len(self.vocabulary) and len(value):
+            i = np.minimum(np.searchsorted(self.vocabulary, value), len(self.vocabulary) - 1)
+            hit = np.flatnonzero(self.vocabulary[i] == value)
+            margin += np.bincount(row[hit], self.weights[i[hit]], len(texts))
         return _sigmoid(self.slope * margin + self.shift)
 
 
+def _as_negative(s: np.ndarray) -> float:
+    """The mean loss -log(1 - s) of scores taken as the negative class's."""
+    return float(-np.log1p(-np.minimum(s, 1 - 1e-12)).mean())
+
+
+def risk(positive: np.ndarray, unlabelled: np.ndarray, prior: float) -> float:
+    """The non-negative risk of scores of positives and of unlabelled texts."""
+    as_positive = float(-np.log(np.maximum(positive, 1e-12)).mean())
+    return prior * as_positive + max(0.0, _as_negative(unlabelled) - prior * _as_negative(positive))
+
+
+def _gradient(p: Sparse, u: Sparse, w: np.ndarray, n: int, prior: float) -> np.ndarray:
+    """The risk's gradient by weights and offset; where the bracket is negative, the step that undoes the overfit."""
+    sp, su = _sigmoid(p.times(w[:n]) + w[n]), _sigmoid(u.times(w[:n]) + w[n])
+    gu, gp = su / u.rows, -prior * sp / p.rows
+    if _as_negative(su) - prior * _as_negative(sp) < 0:
+        gu, gp = -gu, -gp
+    else:
+        gp = gp + prior * (sp - 1) / p.rows
+    return np.concatenate([p.gradient(gp, n) + u.gradient(gu, n), [gp.sum() + gu.sum()]])
+
+
 def nn_pu(positive: Sparse, unlabelled: Sparse, n: int, prior: float) -> tuple[np.ndarray, float]:
     """Weights and offset by Adam on the non-negative risk with logistic losses."""
     rng = np.random.default_rng(SEED)
-    w, b = np.zeros(n + 1), 0.0
+    w = np.zeros(n + 1)
     m, v, t = np.zeros(n + 1), np.zeros(n + 1), 0
     for _ in range(EPOCHS):
         p_order, u_order = rng.permutation(positive.rows), rng.permutation(unlabelled.rows)
         for ps, us in zip(np.array_split(p_order, BATCHES), np.array_split(u_order, BATCHES), strict=True):
             if not len(ps) or not len(us):
                 continue
-            p, u = positive.part(ps), unlabelled.part(us)
-            sp, su = _sigmoid(p.times(w[:n]) + w[n]), _sigmoid(u.times(w[:n]) + w[n])
-            # losses: -log s for the positive class, -log(1 - s) for the negative
-            as_negative = lambda s: -np.log1p(-np.minimum(s, 1 - 1e-12)).mean()
-            bracket = as_negative(su) - prior * as_negative(sp)
-            gu, gp = su / len(us), -prior * sp / len(ps)
-            if bracket < 0:
-                gu, gp = -gu, -gp  # only undo the overfit
-            else:
-                gp = gp + prior * (sp - 1) / len(ps)
-            g = np.concatenate([p.gradient(gp, n) + u.gradient(gu, n), [gp.sum() + gu.sum()]]) + DECAY * w
+            g = _gradient(positive.part(ps), unlabelled.part(us), w, n, prior) + DECAY * w
             t += 1
             m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
             w = w - STEP * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.999**t)) + 1e-8)
@@ -154,45 +191,78 @@ def _probability(margin: np.ndarray, toxic: np.ndarray) -> tuple[float, float]:
     return (float(c[0] / spread), float(c[1] - c[0] * mean / spread)) if c[0] > 0 else (1.0, 0.0)
 
 
-def _telling(p: list[np.ndarray], u: list[np.ndarray]) -> np.ndarray:
-    """Features in which positives and unlabelled texts differ by SIGMAS standard errors, the FEATURES clearest, sorted."""
+def _telling(p: list[np.ndarray], u: list[np.ndarray], sigmas: float) -> np.ndarray:
+    """Features in which positives and unlabelled texts differ by ``sigmas`` standard errors, the FEATURES clearest, sorted."""
     value, n = np.unique(np.concatenate([*p, *u]), return_counts=True)
     value, n = value[n >= LEAST], n[n >= LEAST]
     own, m = np.unique(np.concatenate(p), return_counts=True)
-    i = np.minimum(np.searchsorted(own, value), len(own) - 1)
-    inside = np.where(own[i] == value, m[i], 0)
+    i = np.minimum(np.searchsorted(own, value), max(0, len(own) - 1))
+    inside = np.where(own[i] == value, m[i], 0) if len(own) else np.zeros(len(value), np.int64)
     a, b = inside / len(p), (n - inside) / len(u)
     rate = n / (len(p) + len(u))
     z = np.abs(a - b) / np.sqrt(rate * (1 - rate) * (1 / len(p) + 1 / len(u)) + 1e-12)
     order = np.lexsort((value, -z))[:FEATURES]
-    return np.sort(value[order[z[order] >= SIGMAS]])
+    return np.sort(value[order[z[order] >= sigmas]])
+
+
+#: A sampled text: its features, whether it is there as a positive, its label or None, its fold.
+Text = tuple[np.ndarray, bool, int | None, int]
+
+
+def learnt(texts: list[Text], prior: float, sigmas: float) -> Model:
+    """A model from sampled texts; without positives or unlabelled ones every score is the prior."""
+    p, u = [f for f, pos, *_ in texts if pos], [f for f, pos, *_ in texts if not pos]
+    if not p or not u:
+        return Model(np.zeros(0, U), np.zeros(0), float(np.log(prior / (1 - prior))), 1.0, 0.0)
+    vocabulary = _telling(p, u, sigmas)
+    w, b = nn_pu(Sparse(p, vocabulary), Sparse(u, vocabulary), len(vocabulary), prior)
+    known = [(f, label) for f, pos, label, _ in texts if label is not None and not pos]
+    slope, shift = 1.0, 0.0
+    if len({label for _, label in known}) == 2:
+        margin = Sparse([f for f, _ in known], vocabulary).times(w) + b
+        slope, shift = _probability(margin, np.array([label for _, label in known], float))
+    return Model(vocabulary, w, b, float(slope), float(shift))
+
+
+def chosen_sigmas(texts: list[Text], prior: float, choices: tuple[float, ...] = SIGMAS) -> float:
+    """The choice with the least log loss on labelled texts of inner folds, each scored by a model of the other folds;
+    the first of equals."""
+    folds = sorted({fold for *_, fold in texts})
+    loss = {}
+    for sigmas in choices:
+        total = 0.0
+        for fold in folds:
+            model = learnt([t for t in texts if t[3] != fold], prior, sigmas)
+            known = [(f, label) for f, _, label, x in texts if x == fold and label is not None]
+            if known:
+                s = Sparse([f for f, _ in known], model.vocabulary).times(model.weights) + model.offset
+                s, y = np.clip(_sigmoid(model.slope * s + model.shift), 1e-6, 1 - 1e-6), np.array([label for _, label in known])
+                total -= float((y * np.log(s) + (1 - y) * np.log(1 - s)).sum())
+        loss[sigmas] = round(total, 6)
+    return min(choices, key=lambda c: loss[c])
 
 
 def fitted(docs: DataFrame, labels: DataFrame, positives: int = POSITIVES, unlabelled: int = UNLABELLED) -> Model:
-    """Fit on rows that aren't held out.  Without positives or unlabelled texts every score is the prior."""
+    """Fit on rows that aren't held out.
+
+    Labels that are null are none; of several for an id the highest counts.  Rows without an id are never learnt from.
+    """
     marks = labels.filter("doc_id is not null and toxic is not null").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    ids = docs.select(F.col("doc_id").cast("long").alias("doc_id")).filter(F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id"))).distinct()
+    i = F.col("doc_id").cast("long").alias("doc_id")
+    ids = docs.select(i).filter(F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id"))).distinct()
     ids = ids.join(marks, "doc_id", "left").withColumn("x", F.xxhash64(F.lit(SEED), "doc_id"))
     counts = ids.agg(F.count_if(F.col("toxic") == 1), F.count("toxic")).first()
     prior = min(0.5, max(1e-3, counts[0] / counts[1])) if counts[1] else 0.5
     take = lambda cond, n: ids.filter(cond).orderBy("x", "doc_id").limit(n)
     # at most positives + unlabelled ids: a proven bound, so they are broadcast
-    chosen = take(F.col("toxic") == 1, positives).withColumn("p", F.lit(1)).unionAll(take(F.lit(True), unlabelled).withColumn("p", F.lit(0)))
-    chosen = chosen.select("doc_id", "p", F.coalesce("toxic", F.lit(0)).alias("t"), F.col("toxic").isNotNull().alias("known"))
-    texts = docs.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")).join(F.broadcast(chosen), "doc_id")
-    rows = texts.select("text", F.struct("p", "t").alias("toxic"), "known").mapInArrow(_distinct, "toxic struct<p:int,t:int>, known boolean, f binary").collect()
-    rows.sort(key=lambda r: (r.toxic.p, r.toxic.t, len(r.f), bytes(r.f[:64])))
-    sets = [np.frombuffer(r.f, U) for r in rows]
-    p, u = [s for s, r in zip(sets, rows, strict=True) if r.toxic.p], [s for s, r in zip(sets, rows, strict=True) if not r.toxic.p]
-    if not p or not u:
-        return Model(np.zeros(0, U), np.zeros(0), float(np.log(prior / (1 - prior))), 1.0, 0.0)
-    vocabulary = _telling(p, u)
-    w, b = nn_pu(Sparse(p, vocabulary), Sparse(u, vocabulary), len(vocabulary), prior)
-    known = [(s, r.toxic.t) for s, r in zip(sets, rows, strict=True) if r.known and not r.toxic.p]
-    slope, shift = 1.0, 0.0
-    if len({t for _, t in known}) == 2:
-        slope, shift = _probability(Sparse([s for s, _ in known], vocabulary).times(w) + b, np.array([t for _, t in known], float))
-    return Model(vocabulary, w, b, float(slope), float(shift))
+    chosen = take(F.col("toxic") == 1, positives).withColumn("p", F.lit(True)).unionAll(take(F.lit(True), unlabelled).withColumn("p", F.lit(False)))
+    fold = (F.crc32(F.col("doc_id").cast("string").cast("binary")) % FOLDS).cast("int")
+    chosen = chosen.select("doc_id", F.struct("p", F.col("toxic").cast("int").alias("t"), fold.alias("fold"), "x").alias("mark"))
+    texts = docs.select(i, F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")).join(F.broadcast(chosen), "doc_id")
+    rows = texts.select("text", "mark").mapInArrow(_distinct, "mark struct<p:boolean,t:int,fold:int,x:long>, f binary").collect()
+    rows.sort(key=lambda r: (r.mark.p, r.mark.x, len(r.f), bytes(r.f[:64])))
+    sample = [(np.frombuffer(r.f, U), r.mark.p, r.mark.t, r.mark.fold) for r in rows]
+    return learnt(sample, prior, chosen_sigmas(sample, prior))
 
 
 def _scored(model):
@@ -208,8 +278,8 @@ def toxicity(docs: DataFrame, labels: DataFrame, positives: int = POSITIVES, unl
     """(doc_id, held_out, score, predicted), a row for each input row.
 
     Null and empty texts get the score of a text without known words.  Ids only choose folds: null ids are never
-    learnt from, repeated ones keep a row each.  Labels that are null are none; of several for an id the highest counts.
-    Empty input gives no rows.
+    learnt from, repeated ones keep a row each.  Labels: see :func:`fitted`; without any, every score is the prior's.
+    Other columns are left out.  Empty input gives no rows.
     """
     model = docs.sparkSession.sparkContext.broadcast(fitted(docs, labels, positives, unlabelled))
     thin = docs.select(F.col("doc_id").cast("long").alias("doc_id"), held_out(F.col("doc_id")).alias("held_out"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))

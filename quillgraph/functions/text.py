@@ -49,14 +49,14 @@ def drop_ends(text: Column, first: int = 0, last: int = 0) -> Column:
 
 def drop_block(text: Column, start: str, end: str) -> Column:
     """Lines from one that contains ``start`` up to one that contains ``end``, both included; an open block goes to the end."""
-    state = F.struct(F.lit(False).alias("inside"), F.array().cast("array<string>").alias("kept"))
+    s, e, line = _exactly(start), _exactly(end), r"[^\n]*"
+    block = rf"\n(?:{line}{e}{line}{s}{line}|{line}{s}{line}{e}{line}|{line}{s}(?s:.*?)(?:{e}{line}|\z))"
+    return F.substring(F.regexp_replace(F.concat(F.lit("\n"), text), block, ""), 2, 2**31 - 1)
 
-    def step(s: Column, line: Column) -> Column:
-        opens = ~s.inside & line.contains(start)
-        inside = s.inside | opens
-        return F.struct((inside & ~line.contains(end)).alias("inside"), F.when(inside, s.kept).otherwise(F.concat(s.kept, F.array(line))).alias("kept"))
 
-    return F.aggregate(F.split(text, "\n", -1), state, step, lambda s: F.array_join(s.kept, "\n"))
+def _exactly(text: str) -> str:
+    """A pattern for the text itself, in any regex flavour."""
+    return "".join(c if c.isalnum() or c in " _" else f"\\{c}" for c in text)
 
 
 def squeeze(text: Column) -> Column:
@@ -119,3 +119,44 @@ def noisy(text: Column, marks: str = r"[{}#;:]", share: float = 0.10, least: int
 
 def dice(a: Column, b: Column) -> Column:
     return F.when(F.size(a) + F.size(b) == 0, 0.0).otherwise(2.0 * F.size(F.array_intersect(a, b)) / (F.size(a) + F.size(b)))
+
+
+def without_word(name: Column, word: str = "cluster") -> Column:
+    """A name without a word, wherever it stands."""
+    return F.trim(F.regexp_replace(F.regexp_replace(name, rf"(?i)\b{word}\b", " "), r"\s+", " "))
+
+
+def without_suffix(name: Column, suffix: str = "cluster") -> Column:
+    return F.trim(F.regexp_replace(name, rf"(?i)\s*\b{suffix}\s*$", ""))
+
+
+def camel_key(name: Column) -> Column:
+    """Words put together, each with a capital: one spelling of a name."""
+    words = F.filter(F.split(F.regexp_replace(name, r"([a-z])([A-Z])", "$1 $2"), "[^A-Za-z0-9]+"), lambda w: w != "")
+    return F.array_join(F.transform(words, lambda w: F.concat(F.upper(F.left(w, F.lit(1))), F.substring(w, 2, 2**31 - 1))), "")
+
+
+def initials(name: Column, overrides: dict[str, str] | None = None) -> Column:
+    """A prefix for a name: a given one, else the capitals of its words, the first four letters of a single word."""
+    words = F.filter(F.split(F.regexp_replace(name, r"([a-z])([A-Z])", "$1 $2"), "[^A-Za-z0-9]+"), lambda w: w != "")
+    own = F.when(F.size(words) == 1, F.upper(F.left(words[0], F.lit(4)))).otherwise(F.upper(F.array_join(F.transform(words, lambda w: F.left(w, F.lit(1))), "")))
+    if not overrides:
+        return own
+    pairs = [F.lit(x) for k, v in overrides.items() for x in (k.lower(), v)]
+    return F.coalesce(F.try_element_at(F.create_map(*pairs), F.lower(name)), own)
+
+
+def encoded(metadata: Column, lists: list[str]) -> Column:
+    """A struct as a map of strings, its lists as JSON, for stores that hold no lists."""
+    return F.from_json(F.to_json(metadata), "map<string,string>") if lists else metadata
+
+
+def decoded(value: Column) -> Column:
+    """A list from its JSON; null where it is none."""
+    return F.from_json(value, "array<string>")
+
+
+def front_loaded(text: Column, most: int = 30, context: int = 4000) -> Column:
+    """A change's marks first, ``most`` at most, then the beginning of its text."""
+    marks = F.slice(F.regexp_extract_all(text, F.lit(r"(\[(?:ADDED|REMOVED|CHANGED): [^\]]*\])"), F.lit(1)), 1, most)
+    return F.when(F.size(marks) > 0, F.concat(F.array_join(marks, "\n"), F.lit("\n\n"), F.left(text, F.lit(context)))).otherwise(F.left(text, F.lit(context)))

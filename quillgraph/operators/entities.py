@@ -5,12 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .. import vocab as V
 from ..functions.text import tokens
 
-#: Names of at least so many letters need no cluster, if one cluster alone has them; shorter ones than LEAST never count.
-FREE, LEAST = 7, 3
-#: Names that are ordinary words in any text.
-BLOCKED = tuple("step description condition action expected type state mode status other order user basic start end stop next move auto open close delay pause previous extended messages application supported enabled fault energy count duration on off".split())
+BLOCKED = V.BLOCKED
+#: Bytes up to which a dictionary is broadcast.
+SMALL = 64 << 20
 
 
 def phrases(df: DataFrame, key: str, text: str, lengths: Column, *more: str) -> DataFrame:
@@ -20,36 +20,58 @@ def phrases(df: DataFrame, key: str, text: str, lengths: Column, *more: str) ->
     return t.select("key", *more, F.explode(F.array_distinct(runs)).alias("phrase"))
 
 
-def matched(df: DataFrame, key: str, text: str, names: DataFrame, context: str | None = None, never: tuple[str, ...] = ()) -> DataFrame:
+def matched(df: DataFrame, key: str, text: str, names: DataFrame, context: str | None = None, never: tuple[str, ...] = BLOCKED) -> DataFrame:
     """(key, entity_id, cluster) for names found whole in a text, by an equi-join on phrases instead of a contains join.
 
-    ``names`` has entity_id, name and cluster; names may have any number of tokens.  Where the text's cluster (its column
-    ``context``) is the name's, in any case, names of LEAST letters count; elsewhere a name counts from FREE letters and
-    only if one cluster alone has it.  Names in ``never`` (lower-case, such as BLOCKED) don't count at all.
+    ``names`` has entity_id, name and cluster; names may have any number of tokens.  A name counts, in this order: never
+    if it is in ``never``; where the text's cluster (its column ``context``) is the name's, in any case; not if it needs
+    its cluster, or if several clusters have it; from FREE_LENGTH letters; from UNIQUE_LENGTH letters, as one cluster
+    alone has it.  Null texts and names match nothing.
+
+    Runs that no name has are dropped before any shuffle where the dictionary is small enough to be broadcast, which its
+    measured size decides; beyond that the join is by shuffle.
     """
-    n = names.select("entity_id", "name", "cluster", tokens(F.col("name")).alias("t"))
-    n = n.filter((F.size("t") > 0) & (F.length("name") >= LEAST) & ~F.lower("name").isin(*never))
-    n = n.select("entity_id", "cluster", F.array_join("t", " ").alias("phrase"), F.size("t").alias("k"), (F.length("name") >= FREE).alias("long"))
-    c, w = F.coalesce("cluster", F.lit("")), Window.partitionBy("phrase")
+    n = names.select("entity_id", "name", "cluster", F.lower("name").alias("low"), tokens(F.col("name")).alias("t"))
+    n = n.filter((F.size("t") > 0) & ~F.col("low").isin(*never))
+    c, w = F.coalesce("cluster", F.lit("")), Window.partitionBy("low")
     n = n.withColumn("unique", F.min(c).over(w) == F.max(c).over(w))
-    d = df.select(F.col(key).alias("key"), F.col(text).alias("text"), F.lower(F.col(context) if context else F.lit("")).alias("context"))
-    d = d.crossJoin(F.broadcast(n.agg(F.collect_set("k").alias("lengths"))))  # one row
+    free = F.col("unique") & ~F.col("low").isin(*V.NEEDS_CLUSTER) & (F.length("name") >= V.UNIQUE_LENGTH)
+    n = n.select("entity_id", "cluster", F.array_join("t", " ").alias("phrase"), F.size("t").alias("k"), free.alias("free"))
+    if context is None:
+        n = n.filter("free")  # no text has a cluster
+    size = n.agg(F.sum(F.octet_length("phrase") + F.octet_length(F.col("entity_id").cast("string")) + 64).alias("bytes"), F.collect_set("k").alias("lengths")).first()
+    lengths = sorted(size["lengths"] or [])
+    d = df.select(F.col(key).alias("key"), F.col(text).alias("text"), F.lower(F.coalesce(F.col(context), F.lit("")) if context else F.lit("")).alias("context"))
+    found = phrases(d, "key", "text", F.array(*[F.lit(k) for k in lengths]) if lengths else F.array().cast("array<int>"), "context")
+    side = F.broadcast(n) if (size["bytes"] or 0) <= SMALL else n
+    found = found.join(side, "phrase")
     same = (F.col("context") != "") & (F.lower("cluster") == F.col("context"))
-    found = phrases(d, "key", "text", F.col("lengths"), "context").join(n, "phrase")
-    return found.filter(F.coalesce(same, F.lit(False)) | (F.col("long") & F.col("unique"))).select("key", "entity_id", "cluster").distinct()
+    return found.filter(F.coalesce(same, F.lit(False)) | F.col("free")).select("key", "entity_id", "cluster").distinct()
+
 
+def test_mode(tc_id: Column, text: Column, refs: Column, prefixes: Column | None = None) -> Column:
+    """cluster_centric, protocol_behavior_centric, mixed or ambiguous.
 
-def test_mode(text: Column, n_refs: Column, protocol: str, cluster: str) -> Column:
-    """cluster, protocol or mixed by the share of matching words and references."""
-    c, p = F.regexp_count(text, F.lit(cluster)) + 0.5 * n_refs, F.regexp_count(text, F.lit(protocol))
-    share = F.when(c + p > 0, c / (c + p)).otherwise(0.5)
-    return F.when(share >= 0.65, "cluster").when(share <= 0.35, "protocol").otherwise("mixed")
+    A protocol prefix of the id decides, as does a prefix outside ``prefixes``, the known ones of clusters, where they are
+    given.  Else hits in the text and half a point for each reference, canonical or protocol, give a share.
+    """
+    prefix = F.upper(F.regexp_extract(tc_id, r"(?i)^TC-([A-Z0-9]+)-", 1))
+    protocol = prefix.isin(*V.PROTOCOL_PREFIXES)
+    if prefixes is not None:
+        protocol = protocol | ((F.size(prefixes) > 0) & ~F.array_contains(prefixes, prefix))
+    p_refs = F.size(F.filter(refs, lambda r: r.startswith("PROTO::")))
+    c = F.regexp_count(text, F.lit(V.CLUSTER_MODE)) + 0.5 * (F.size(refs) - p_refs)
+    p = F.regexp_count(text, F.lit(V.PROTOCOL_MODE)) + 0.5 * p_refs
+    share = c / (c + p)
+    by_text = F.when(c + p == 0, "ambiguous").when(share >= V.MODE_HIGH, "cluster_centric").when(share <= V.MODE_LOW, "protocol_behavior_centric").otherwise("mixed")
+    return F.when((prefix != "") & protocol, "protocol_behavior_centric").otherwise(by_text)
 
 
 def areas(breadcrumb: Column) -> Column:
-    """Slugs of a breadcrumb's segments, section numbers taken off."""
-    parts = F.transform(F.split(breadcrumb, " > "), lambda x: F.regexp_replace(F.regexp_replace(x, r"^[0-9.]+\s*", ""), "[^A-Za-z0-9]+", "-"))
-    return F.filter(F.transform(parts, lambda x: F.lower(F.btrim(x, F.lit("-")))), lambda x: x != "")
+    """Nodes of a breadcrumb's segments of three letters or more, section numbers taken off, outermost first."""
+    parts = F.transform(F.split(breadcrumb, ">"), lambda x: F.trim(F.regexp_replace(F.trim(x), V.SECTION_NUMBER, "")))
+    slugs = F.transform(F.filter(parts, lambda x: F.length(x) >= 3), lambda x: F.btrim(F.regexp_replace(x, "[^A-Za-z0-9]+", "_"), F.lit("_")))
+    return F.transform(F.filter(slugs, lambda x: x != ""), lambda x: F.concat(F.lit("PROTOCOL_AREA::"), x))
 
 
 def typed_edges(tests: DataFrame, table: dict[str, dict[str, str]], fallback: dict[str, str]) -> DataFrame:

@@ -7,6 +7,9 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .. import vocab as V
+from ..functions.text import keywords, sentences
+
 
 @dataclass(frozen=True)
 class RuleCatalog:
@@ -23,8 +26,8 @@ class RuleCatalog:
     def flags(self, text: Column) -> dict[str, Column]:
         return {name: text.rlike(p) for name, p in self.signals.items()}
 
-    def scores(self, text: Column) -> dict[str, Column]:
-        flags = self.flags(text)
+    def scores(self, text: Column, flags: dict[str, Column] | None = None) -> dict[str, Column]:
+        flags = flags or self.flags(text)
         out = {}
         for kind, (signal, weight) in self.types.items():
             score = F.when(flags[signal], weight).otherwise(0.0)
@@ -39,22 +42,8 @@ class RuleCatalog:
         return out
 
 
-#: Signals of the specification domain.  Fixed values: weights and boosts.
-DOMAIN = RuleCatalog(
-    signals={
-        "timing": r"(?i)\b(within|after|before|timeout|interval)\b.*\b([0-9]+|ms|seconds?|minutes?)\b",
-        "state": r"(?i)\b(state|transition|become|enter|remain)s?\b",
-        "definition": r"(?i)\b(is defined as|means|denotes|represents)\b",
-        "value": r"(?i)\b(range|minimum|maximum|default|value)\b",
-        "conditional": r"(?i)\b(if|when|unless|while)\b",
-        "protocol": r"(?i)\b(message|command|response|session|packet)s?\b",
-        "lifecycle": r"(?i)\b(reboot|factory reset|startup|shutdown)\b",
-        "normative": r"(?i)\b(shall|must|should|may not)\b",
-    },
-    types={"timing": ("timing", 4.0), "state": ("state", 3.5), "definition": ("definition", 3.5), "value": ("value", 3.5), "conditional": ("conditional", 3.0)},
-    boosts=((("timing", "protocol"), "timing", 0.5), (("timing", "conditional"), "timing", 1.0), (("lifecycle",), "state", 1.0), (("value", "definition"), "value", 0.5)),
-    reject={"too_short": "length(text) < 30", "table_fragment": "text like '%|%|%'", "lowercase_fragment": "text rlike '^[a-z]'", "not_normative": "not text rlike '(?i)\\\\b(shall|must|should)\\\\b'"},
-)
+#: The specification domain.
+DOMAIN = RuleCatalog(signals=V.SIGNALS, types=V.TYPES, boosts=V.BOOSTS, baseline=V.BASELINE, certain=V.CERTAIN)
 
 #: A catalogue whose patterns use ASCII classes only and occur in the test tables.
 GENERIC = RuleCatalog(
@@ -101,3 +90,137 @@ def intents(text: Column, patterns: dict[str, str]) -> Column:
 def clauses(text: Column, opener: str) -> Column:
     """What follows ``opener`` up to a comma or sentence end, each time."""
     return F.regexp_extract_all(text, F.lit(f"(^|[^A-Za-z]){opener} ([^,.!?\n]+)"), F.lit(2))
+
+
+def clause_texts(text: Column) -> dict[str, Column]:
+    """Conditions, effects and constraints of a requirement, trimmed."""
+    found = {"conditions": V.CONDITION_CLAUSE, "effects": V.EFFECT_CLAUSE, "constraints": V.CONSTRAINT_CLAUSE}
+    return {k: F.transform(F.regexp_extract_all(text, F.lit(p), F.lit(1)), F.trim) for k, p in found.items()}
+
+
+def test_intents(text: Column) -> Column:
+    return intents(text, V.INTENTS)
+
+
+def behaviours(text: Column) -> Column:
+    """Nodes of the behaviours that a text names."""
+    return F.transform(intents(text, V.BEHAVIOURS), lambda n: F.concat(F.lit("BEHAVIOR::"), n))
+
+
+def anchors(text: Column) -> Column:
+    """Protocol anchors that a text names."""
+    return intents(text, V.ANCHORS)
+
+
+def candidates(df: DataFrame, text: str) -> DataFrame:
+    """A row for each sentence with a normative trigger: (other columns, pos, sentence)."""
+    each = df.select("*", F.posexplode(sentences(F.col(text))).alias("pos", "sentence"))
+    return each.filter(F.col("sentence").rlike(V.NORMATIVE))
+
+
+def filtered(df: DataFrame, sentence: str = "sentence", section: str | None = None) -> DataFrame:
+    """Add ``verdict``, 'valid' or the first of nine reasons to reject, and ``requirement``, the sentence as it is used.
+
+    A short sentence with a modal verb and four words is rescued; one that starts with the modal verb, short or long, is
+    completed with the section's title, its number taken off; and of a table row whose last cell is a requirement that
+    cell is used.
+    """
+    s = F.trim(F.col(sentence))
+    title = F.trim(F.regexp_replace(F.coalesce(F.col(section), F.lit("")), V.SECTION_NUMBER, "")) if section else F.lit("")
+    short = F.length(s) < V.LEAST_LENGTH
+    enough = ~s.contains("|") & (F.size(F.split(s, r"\s+")) >= V.LEAST_WORDS)
+    modal = s.rlike(V.STARTS_MODAL)
+    tail = F.trim(F.substring_index(s, "|", -1))
+    row, rescued = s.rlike(V.TABLE_ROW), (F.length(tail) >= V.LEAST_LENGTH) & tail.rlike(V.NORMATIVE_WORD)
+    completed = F.concat(title, F.lit(": "), s)
+    ladder = [
+        (short & s.rlike(V.MODAL) & ~modal & enough, "valid", F.col(sentence)),
+        (short & modal & enough & (title != ""), "valid", completed),
+        (short, "too_short", s),
+        (s.rlike(V.GLOSSARY_ROW), "glossary_row", s),
+        (row & rescued, "valid", tail),
+        (row, "table_fragment", s),
+        (s.rlike(V.CONFORMANCE_CELL), "conformance_table_cell", s),
+        (s.rlike(V.NUMERIC_ROW), "numeric_table_row", s),
+        (s.rlike(V.STARTS_LOWER), "lowercase_fragment", s),
+        (modal & (title != ""), "valid", completed),
+        (modal, "modal_fragment_no_subject", s),
+        (s.rlike(V.OPEN_END), "incomplete_tail_fragment", s),
+        (s.rlike(V.FIELD_DEFINITION), "entity_definition", s),
+    ]
+    verdict_, used = F.lit("valid"), F.col(sentence)
+    for cond, name, text in reversed(ladder):
+        verdict_, used = F.when(cond, name).otherwise(verdict_), F.when(cond, text).otherwise(used)
+    return df.withColumns({"verdict": verdict_, "requirement": used})
+
+
+def clusters_of(refs: Column) -> Column:
+    """The distinct clusters that entity ids TYPE::cluster::name point to."""
+    return F.array_distinct(F.transform(F.filter(refs, lambda r: r.contains("::")), lambda r: F.split_part(r, F.lit("::"), F.lit(2))))
+
+
+def typed(df: DataFrame, text: str, refs: str | None = None, rules: RuleCatalog = DOMAIN) -> DataFrame:
+    """:func:`classify` with ``score_breakdown``, ``signals`` and ``alternatives``; references to two clusters or more are
+    a signal of the dependency type too."""
+    flags = rules.flags(F.col(text))
+    if refs:
+        flags["cross_entity_dep"] = flags["cross_entity_dep"] | (F.size(clusters_of(F.col(refs))) >= 2)
+    df = df.withColumns({f"_f_{k}": v for k, v in flags.items()})
+    scores = rules.scores(F.col(text), {k: F.col(f"_f_{k}") for k in flags})
+    df = df.withColumns({f"_s_{k}": v for k, v in scores.items()})
+    names = list(scores)
+    ranked = F.sort_array(F.array(*[F.struct(F.col(f"_s_{k}").alias("score"), F.lit(-i).alias("prio"), F.lit(k).alias("kind")) for i, k in enumerate(names)]), asc=False)
+    df = df.withColumn("_r", ranked)
+    top, second = F.col("_r")[0], F.col("_r")[1]
+    total = F.aggregate("_r", F.lit(0.0), lambda n, x: n + x.score)
+    base = rules.baseline
+    others = F.filter(F.slice("_r", 2, len(names)), lambda x: (x.score > base[1]) & (x.kind != base[0]))
+    out = df.withColumns(
+        {
+            "requirement_type": top.kind,
+            "confidence": F.greatest(F.lit(V.LEAST_CONFIDENCE), F.least(F.lit(1.0), top.score / F.greatest(total, F.lit(1.0)))),
+            "ambiguous": (second.score > 0) & (top.score / (top.score + second.score) < rules.certain),
+            "score_breakdown": F.create_map(*[x for k in names for x in (F.lit(k), F.round(F.col(f"_s_{k}"), 3))]),
+            "signals": F.filter(F.array(*[F.when(F.col(f"_f_{k}"), F.lit(k)) for k in flags]), lambda x: x.isNotNull()),
+            "alternatives": F.transform(others, lambda x: x.kind),
+        }
+    )
+    return out.drop("_r", *[f"_s_{k}" for k in names], *[f"_f_{k}" for k in flags])
+
+
+def change_requirements(df: DataFrame, text: str, key: str, names: DataFrame | None = None) -> DataFrame:
+    """Requirements that a changed text states: (key, pos, sentence, entity_refs, inferred_cluster, requirement_type,
+    confidence, ambiguous, signals, alternatives, keywords).
+
+    ``names``: entity_id, name, cluster, as for :func:`entities.matched`; without them only protocol anchors are found.
+    The cluster is that of the first entity id with one.
+    """
+    from .entities import matched
+
+    c = candidates(df.select(key, text), text).drop(text)
+    c = c.withColumn("_id", F.struct(key, "pos"))
+    found = c.select("_id", F.lit(None).cast("array<struct<entity_id:string,cluster:string>>").alias("own"))
+    if names is not None:
+        m = matched(c, "_id", "sentence", names)
+        found = m.groupBy(F.col("key").alias("_id")).agg(F.array_sort(F.collect_set(F.struct("entity_id", "cluster"))).alias("own"))
+    c = c.join(found, "_id", "left")
+    own = F.coalesce("own", F.array().cast("array<struct<entity_id:string,cluster:string>>"))
+    c = c.withColumn("entity_refs", F.concat(F.transform(own, lambda x: x.entity_id), anchors(F.col("sentence"))))
+    c = c.withColumn("inferred_cluster", F.try_element_at(F.transform(F.filter(own, lambda x: x.cluster != ""), lambda x: x.cluster), F.lit(1)))
+    c = typed(c, "sentence", "entity_refs").withColumn("keywords", keywords(F.col("sentence"), list(V.KEYWORD_STOP)))
+    return c.select(key, "pos", "sentence", "entity_refs", "inferred_cluster", "requirement_type", "confidence", "ambiguous", "signals", "alternatives", "keywords")
+
+
+def validation_edge(text: Column, name: Column) -> Column:
+    """Which property of an attribute a test checks, by the sentences that name it, or by the whole text without any."""
+    parts = F.filter(F.split(text, r"\."), lambda s: F.lower(s).contains(F.lower(name)))
+    where = F.when(F.size(parts) > 0, F.array_join(parts, " ")).otherwise(text)
+    out = F.lit("verifies_attribute")
+    for edge, pattern in reversed(V.VALIDATION_EDGES.items()):
+        out = F.when(where.rlike(pattern), edge).otherwise(out)
+    return out
+
+
+def gates(text: Column) -> Column:
+    """Codes that gate a test, as node ids."""
+    return F.array_distinct(F.transform(F.regexp_extract_all(text, F.lit(V.GATE), F.lit(1)), lambda c: F.concat(F.lit("PICS::"), c)))

@@ -1,12 +1,16 @@
-"""Exact vector retrieval by inner product, one blocked join for a whole batch of queries."""
+"""Exact vector retrieval by inner product, a whole batch of queries in blocks."""
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Queries of a batch up to which they are broadcast; more go in turns of this many, salted over the partitions.
-FEW = 10_000
+#: Rows of a block of vectors and of queries.
+ROWS, QUERIES = 8192, 2048
+#: Blocks whose best lists are merged at a time.
+MERGE = 64
 
 
 def inner(a: Column, b: Column) -> Column:
@@ -18,17 +22,52 @@ def normalised(v: Column) -> Column:
     return F.when(size > 0, F.transform(v, lambda x: x.cast("double") / size)).otherwise(F.transform(v, lambda x: x.cast("double")))
 
 
+def _best(k: int, digits: int, id_type: pa.DataType, q_type: pa.DataType):
+    def matrix(t: pa.Table, name: str) -> np.ndarray:
+        flat = t.column(name).combine_chunks().flatten().to_numpy(False)
+        return flat.reshape(t.num_rows, len(flat) // t.num_rows)
+
+    def run(queries: pa.Table, rows: pa.Table) -> pa.Table:
+        names = ["query_id", "vec_id", "score", "s"]
+        if not queries.num_rows or not rows.num_rows:
+            return pa.table([pa.array([], x) for x in (q_type, id_type, pa.float64(), pa.int32())], names)
+        rows = rows.sort_by("vec_id")  # so that equals come by id
+        score = np.round(matrix(queries, "q") @ matrix(rows, "v").T, digits) + 0.0
+        n = min(k, rows.num_rows)
+        order = np.argsort(-score, axis=1, kind="stable")[:, :n]
+        i = np.repeat(np.arange(queries.num_rows), n)
+        s = rows.column("s")[0].as_py()
+        return pa.table([queries.column("query_id").take(pa.array(i)), rows.column("vec_id").take(pa.array(order.ravel())), pa.array(np.take_along_axis(score, order, 1).ravel()), pa.array(np.full(len(i), s, np.int32))], names)
+
+    return run
+
+
 def search(queries: DataFrame, vectors: DataFrame, k: int = 10, threshold: float | None = None, digits: int = 6) -> DataFrame:
     """(query_id, vec_id, score, rank) from (query_id, q) and (vec_id, v): k best each, ties to the smaller id; the
-    threshold applies after ranking, as ranks are those before it."""
-    n = queries.count()
-    turns = max(1, -(-n // FEW))
-    queries = queries.withColumn("turn", F.pmod(F.xxhash64("query_id"), F.lit(turns)).cast("int"))
-    vectors = vectors.withColumn("turn", F.explode(F.sequence(F.lit(0), F.lit(turns - 1))))
-    side = F.broadcast(queries) if turns == 1 else queries
-    scored = vectors.join(side, "turn").select("query_id", "vec_id", F.round(inner(F.col("q"), F.col("v")), digits).alias("score"))
-    best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    ranked = scored.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k)
+    threshold applies after ranking, as ranks are those before it.
+
+    Both sides are dealt to blocks by a hash, each block pair gives k rows a query, and these are merged; no task holds
+    more than two blocks.  Null vectors, those that hold a null, and vectors of another length than the query's take no
+    part.
+    """
+    from pyspark.sql.pandas.types import to_arrow_type
+
+    fine = lambda c: F.col(c).isNotNull() & ~F.exists(c, lambda x: x.isNull())
+    q = queries.filter(fine("q")).select("query_id", F.col("q").cast("array<double>").alias("q"), F.size("q").alias("qn"))
+    v = vectors.filter(fine("v")).select("vec_id", F.col("v").cast("array<double>").alias("v"), F.size("v").alias("n"))
+    spread, turns = max(1, -(-v.count() // ROWS)), max(1, -(-q.count() // QUERIES))
+    part = lambda c, n: F.pmod(F.xxhash64(c), F.lit(n)).cast("int")
+    q = q.withColumns({"qt": part("query_id", turns), "qs": F.explode(F.sequence(F.lit(0), F.lit(spread - 1)))})
+    v = v.withColumns({"s": part("vec_id", spread), "t": F.explode(F.sequence(F.lit(0), F.lit(turns - 1)))})
+    types = [to_arrow_type(df.schema[c].dataType) for df, c in ((v, "vec_id"), (q, "query_id"))]
+    shape = f"query_id {q.schema['query_id'].dataType.simpleString()}, vec_id {v.schema['vec_id'].dataType.simpleString()}, score double, s int"
+    found = q.groupBy("qn", "qt", "qs").cogroup(v.groupBy("n", "t", "s")).applyInArrow(_best(k, digits, *types), shape)
+    order = [F.desc("score"), F.asc("vec_id")]
+    while spread > 1:
+        spread = -(-spread // MERGE)
+        found = found.withColumn("s", F.floor(F.col("s") / MERGE).cast("int"))
+        found = found.withColumn("rank", F.row_number().over(Window.partitionBy("query_id", "s").orderBy(*order))).filter(F.col("rank") <= k).drop("rank")
+    ranked = found.withColumn("rank", F.row_number().over(Window.partitionBy("query_id").orderBy(*order))).filter(F.col("rank") <= k).drop("s")
     return ranked.filter(F.col("score") >= threshold) if threshold is not None else ranked
 
 

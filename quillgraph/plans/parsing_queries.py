@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from .. import vocab as V
+from ..functions.text import tokens
 from ..operators import entities as E
 from ..operators import model as M
 from ..sources import html as H
@@ -19,21 +21,29 @@ def html_section_tree(spark, sf_dir):
 
 @query("html_clean_text")
 def html_clean_text(spark, sf_dir):
-    s = H.heading_sections(table(spark, sf_dir, "pages"), "page_id", "html")
-    parts = F.array_sort(F.collect_list(F.struct("position", "title", "text")))
-    text = F.array_join(F.transform(parts, lambda x: F.concat_ws("\n", x.title, x.text)), "\n")
-    return s.groupBy("id").agg(text.alias("text"))
+    return H.clean_text(table(spark, sf_dir, "pages"), "page_id", "html")
 
 
-_PHRASE = "select doc_id, unnest(regexp_split_to_array(lower(regexp_replace(text, '([a-z])([A-Z])', '\\1 \\2', 'g')), '[^a-z0-9]+')) as w from documents where text is not null"
+_TOKENS = "regexp_split_to_array(lower(regexp_replace({t}, '([a-z])([A-Z])', '\\1 \\2', 'g')), '[^a-z0-9]+')"
+_NAMES = "select distinct token as name from (select unnest(list_filter(" + _TOKENS.format(t="text") + ", lambda x: length(x) >= 7)) as token from benchmark) union select name from (select array_to_string(w[i:i + k - 1], ' ') as name from (select list_filter(" + _TOKENS.format(t="text") + ", lambda x: x <> '') as w from benchmark), (select unnest(range(2, 9)) as k), (select unnest([1, 5, 9]) as i) where i + k - 1 <= len(w)) where length(name) >= 7"
 
 
-@query("entity_dictionary_join", f"with w as (select distinct doc_id, w from ({_PHRASE}) where length(w) >= 7), n as (select token from (select w as token, count(*) as c from w group by 1) order by c desc, token limit 100) select doc_id as key, w as entity_id from w where w in (select token from n)")
+@query(
+    "entity_dictionary_join",
+    f"""with n as ({_NAMES}), d as (select doc_id, list_filter({_TOKENS.format(t="coalesce(text, '')")}, lambda x: x <> '') as w from documents),
+    k as (select distinct len(string_split(name, ' ')) as k from n),
+    r as (select distinct doc_id, array_to_string(w[i:i + k - 1], ' ') as name from (select doc_id, w, k, unnest(range(1, len(w) - k + 2)) as i from d, k where len(w) >= k))
+    select doc_id as key, name as entity_id from r join n using (name) where name not in ({", ".join(repr(x) for x in (*E.BLOCKED, *V.NEEDS_CLUSTER))})""",
+)
 def entity_dictionary_join(spark, sf_dir):
-    d = docs(spark, sf_dir)
-    words = E.phrases(d, "doc_id", "text", F.array(F.lit(1))).filter(F.length("phrase") >= 7)
-    names = words.groupBy("phrase").agg(F.count("*").alias("c")).orderBy(F.desc("c"), "phrase").limit(100).select(F.col("phrase").alias("entity_id"), F.col("phrase").alias("name"), F.lit("x").alias("cluster"))
-    return E.matched(d, "doc_id", "text", names).select("key", "entity_id")
+    """Names of one to eight tokens from the benchmark items, met in all documents."""
+    t = F.col("t")
+    b = table(spark, sf_dir, "benchmark").select(tokens(F.col("text")).alias("t"))
+    one = b.select(F.explode("t").alias("name"))
+    runs = F.flatten(F.array(*[F.array(*[F.when(F.size(t) >= i + k - 1, F.array_join(F.slice(t, i, k), " ")) for i in (1, 5, 9)]) for k in range(2, 9)]))
+    names = one.union(b.select(F.explode(runs))).filter("length(name) >= 7").distinct()
+    names = names.select(F.col("name").alias("entity_id"), "name", F.lit("x").alias("cluster"))
+    return E.matched(docs(spark, sf_dir), "doc_id", "text", names).select("key", "entity_id")
 
 
 @query("model_column")

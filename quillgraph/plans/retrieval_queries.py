@@ -13,13 +13,13 @@ from .catalog import query
 from .text_queries import _D, _TOK, docs, table
 
 _DOT = "round(list_dot_product(q.embedding::double[], c.embedding::double[]), 6)"
-_PAIRS = f"(select q.vec_id as query_id, c.vec_id, q.label as ql, c.label as cl, {_DOT} as score from embeddings q cross join embeddings c where q.vec_id % 25 = 0)"
+_PAIRS = f"(select q.vec_id as query_id, c.vec_id, q.label as ql, c.label as cl, {_DOT} as score from embeddings q cross join embeddings c where q.vec_id % 100 = 0)"
 _RANKED = f"(select *, row_number() over (partition by query_id order by score desc, vec_id)::int as rank from {_PAIRS})"
 
 
 def _vectors(spark, sf_dir):
     e = table(spark, sf_dir, "embeddings")
-    return e.filter("vec_id % 25 = 0").select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("q")), e.select("vec_id", F.col("embedding").alias("v"))
+    return e.filter("vec_id % 100 = 0").select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("q")), e.select("vec_id", F.col("embedding").alias("v"))
 
 
 @query("vec_topk_self", f"select query_id, vec_id, score, rank from {_RANKED} where rank <= 10")
@@ -82,13 +82,13 @@ def best_chunk_per_doc(spark, sf_dir):
 
 @query(
     "rerank_breakdown",
-    """with s as (select l.doc_id, quality, toxic, n_chars, lang, source from labels l join documents d using (doc_id)),
+    """with s as (select d.doc_id, coalesce(quality, 0) as quality, coalesce(toxic, 0) as toxic, n_chars, lang, source from documents d left join labels l using (doc_id)),
     w as (select doc_id, round(quality * 0.25::double, 4) as w_entity, round(case when lang = 'en' then 1.0 when lang = 'de' then 0.7 else 0.25 end * 0.15::double, 4) as w_cluster,
       round((1 - toxic) * 0.15::double, 4) as w_condition, round(least(n_chars / 5000.0::double, 1) * 0.08::double, 4) as w_lexical from s)
     select *, round(least(1.0, w_entity + w_cluster + w_condition + w_lexical), 4) as final_score from w""",
 )
 def rerank_breakdown(spark, sf_dir):
-    d = table(spark, sf_dir, "labels").join(table(spark, sf_dir, "documents"), "doc_id")
+    d = table(spark, sf_dir, "documents").join(table(spark, sf_dir, "labels"), "doc_id", "left").fillna(0, ["quality", "toxic"])
     signals = {
         "entity": F.col("quality"),
         "cluster": F.when(F.col("lang") == "en", 1.0).when(F.col("lang") == "de", 0.7).otherwise(0.25),
@@ -108,9 +108,7 @@ def rerank_breakdown(spark, sf_dir):
 )
 def budget_bin_pack(spark, sf_dir):
     d = table(spark, sf_dir, "documents")
-    items = F.transform(F.array_sort(F.collect_list(F.struct("doc_id", "n_chars"))), lambda x: F.struct(x.n_chars.alias("size"), x.doc_id.alias("id")))
-    bins = d.groupBy("source").agg(items.alias("items")).select("source", F.explode(B.packed(F.col("items"), 12000)).alias("b"))
-    return bins.select("source", F.col("b.id").alias("doc_id"), "b.bin")
+    return B.packed(d, "source", ["doc_id"], "n_chars", 12000, "doc_id")
 
 
 @query("prompt_paging", "select doc_id, floor((row_number() over (partition by source order by doc_id) - 1) / 10)::bigint as page from documents")

@@ -63,10 +63,9 @@ def strip_lines_regex(spark, sf_dir):
     return docs(spark, sf_dir).select("doc_id", T.drop_lines(F.col("text"), "[0-9]").alias("text"))
 
 
-@query("strip_first_last_lines", f"select doc_id, array_to_string(string_split(text, chr(10))[2:greatest(len(string_split(text, chr(10))) - 1, 1)], chr(10)) as text from {_D} where len(string_split(text, chr(10))) > 2")
+@query("strip_first_last_lines", f"select doc_id, array_to_string(string_split(text, chr(10))[2:greatest(len(string_split(text, chr(10))) - 1, 1)], chr(10)) as text from {_D}")
 def strip_first_last_lines(spark, sf_dir):
-    d = docs(spark, sf_dir).filter(F.size(F.split("text", "\n", -1)) > 2)
-    return d.select("doc_id", T.drop_ends(F.col("text"), 1, 1).alias("text"))
+    return docs(spark, sf_dir).select("doc_id", T.drop_ends(F.col("text"), 1, 1).alias("text"))
 
 
 @query("squeeze_and_replace", f"select doc_id, regexp_replace(regexp_replace(text, '\\n{{3,}}', chr(10) || chr(10), 'g'), '[0-9]+', '#', 'g') as text from {_D}")
@@ -74,7 +73,7 @@ def squeeze_and_replace(spark, sf_dir):
     return docs(spark, sf_dir).select("doc_id", F.regexp_replace(T.squeeze(F.col("text")), "[0-9]+", "#").alias("text"))
 
 
-@query("strip_block_between")
+@query("strip_block_between", f"select doc_id, substr(regexp_replace(chr(10) || text, '\\n(?:[^\\n]*\\.[^\\n]*\\|[^\\n]*|[^\\n]*\\|[^\\n]*\\.[^\\n]*|[^\\n]*\\|(?s:.*?)(?:\\.[^\\n]*|\\z))', '', 'g'), 2) as text from {_D}")
 def strip_block_between(spark, sf_dir):
     return docs(spark, sf_dir).select("doc_id", T.drop_block(F.col("text"), "|", ".").alias("text"))
 

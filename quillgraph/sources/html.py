@@ -121,3 +121,13 @@ def _sections(batches):
 def heading_sections(pages: DataFrame, id_col: str, html_col: str) -> DataFrame:
     """A row for each section of each page."""
     return pages.selectExpr(f"cast({id_col} as long) as id", f"{html_col} as html").mapInArrow(_sections, _OUT)
+
+
+def clean_text(pages: DataFrame, id_col: str, html_col: str) -> DataFrame:
+    """(id, text): the text of each page without noise; null and empty pages have an empty one."""
+
+    def run(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([b.column("id"), pa.array([clean(h) for h in b.column("html").to_pylist()], pa.string())], ["id", "text"])
+
+    return pages.selectExpr(f"cast({id_col} as long) as id", f"{html_col} as html").mapInArrow(run, "id long, text string")

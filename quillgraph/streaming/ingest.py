@@ -15,16 +15,22 @@ def changed(batch: DataFrame, store: DataFrame | None, key: str, content: str) -
 
 
 def ingest(spark: SparkSession, path: str, schema: str, target: str, checkpoint: str, key: str = "doc_id", content: str = "text") -> StreamingQuery:
-    """Append what is new under ``path`` to the table at ``target``; a batch that is run again adds nothing."""
+    """Append what is new under ``path`` to the table at ``target``; a batch that is run again adds nothing.
+
+    The table is partitioned by the first two digits of the digest, and a batch reads the digest column of the
+    partitions only that its own digests fall into.
+    """
 
     def each(batch: DataFrame, _: int) -> None:
+        batch = batch.withColumn("digest", F.sha2(F.coalesce(F.col(content), F.lit("")), 256)).withColumn("shard", F.left("digest", F.lit(2)))
         try:
-            store = batch.sparkSession.read.parquet(target)
+            shards = [r.shard for r in batch.select("shard").distinct().collect()]  # 256 at most
+            store = batch.sparkSession.read.parquet(target).filter(F.col("shard").cast("string").isin(*shards)).select("digest") if shards else None
         except Exception as e:
             if "PATH_NOT_FOUND" not in str(e):
                 raise
             store = None
-        changed(batch, store, key, content).write.mode("append").parquet(target)
+        changed(batch, store, key, content).write.mode("append").partitionBy("shard").parquet(target)
 
     stream = spark.readStream.schema(schema).parquet(path)
     return stream.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

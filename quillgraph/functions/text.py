@@ -97,7 +97,7 @@ def char_windows(text: Column, size: int = 1000, overlap: int = 200) -> Column:
 def sentences(text: Column) -> Column:
     """Cut after . ! ? before white space and an ASCII capital, and at line ends."""
     marked = F.regexp_replace(text, r"([.!?])[ \t\n]+([A-Z])", "$1\u0001$2")
-    return F.filter(F.transform(F.split(marked, "[\u0001\n]"), F.trim), lambda s: s != "")
+    return F.filter(F.transform(F.split(marked, "[\u0001\n]"), lambda x: F.trim(x)), lambda s: s != "")
 
 
 def first_sentence(text: Column, cap: int = 800) -> Column:

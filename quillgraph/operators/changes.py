@@ -192,7 +192,8 @@ def structured(df: DataFrame, text: str = "text", cluster: str | None = None, se
         both = F.arrays_zip(_all(t, pattern, 1).alias("o"), _all(t, pattern, 2).alias("n"))
         if name == "access":
             both = F.filter(both, lambda x: (F.length(x.o) <= 10) & (F.length(x.n) <= 10))
-        pairs.append(F.transform(both, lambda x, name=name: F.concat(F.lit(f"{name}: "), F.trim(x.o), F.lit(" → "), F.trim(x.n))))
+        said = F.transform(both, lambda x: F.concat(F.trim(x.o), F.lit(" → "), F.trim(x.n)))
+        pairs.append(F.filter(F.split(F.concat(F.lit(f"{name}: "), F.array_join(said, f"\n{name}: ")), "\n"), lambda x: x.contains("→")))
         olds.append(F.transform(both, lambda x: F.trim(x.o)))
         news.append(F.transform(both, lambda x: F.trim(x.n)))
         seen.append(F.size(both) > 0)

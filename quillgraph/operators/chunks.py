@@ -49,7 +49,7 @@ def step_actions(steps: Column, cap: int = 20) -> Column:
         return F.array_join(F.slice(F.filter(plain, lambda w: w.rlike(r"^[a-z]+$") & ~w.isin(*V.TRIVIAL)), 1, 2), " ")
 
     every = F.concat(per_step, titles, F.transform(steps, first_two))
-    return F.when(low == "", F.array().cast("array<string>")).otherwise(F.slice(F.array_distinct(F.filter(F.transform(every, F.trim), lambda p: F.length(p) > 3)), 1, cap))
+    return F.when(low == "", F.array().cast("array<string>")).otherwise(F.slice(F.array_distinct(F.filter(F.transform(every, lambda x: F.trim(x)), lambda p: F.length(p) > 3)), 1, cap))
 
 
 def texts(df: DataFrame) -> dict[str, Column]:

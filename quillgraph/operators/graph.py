@@ -158,9 +158,9 @@ def resolved(names: DataFrame, nodes: DataFrame) -> DataFrame:
     """(name, node_id, tier): the node that a name means: its id, its id in any case, the letters of its last part; the
     shortest of equals."""
     last = F.element_at(F.split("node_id", "::"), -1)
-    ids = nodes.select("node_id", F.array(F.struct(F.lit(1).alias("tier"), F.col("node_id").alias("k")), F.struct(F.lit(2), F.lower("node_id")), F.struct(F.lit(3), flat_name(last))).alias("ks"))
+    ids = nodes.select("node_id", F.array(F.struct(F.lit(1).alias("tier"), F.col("node_id").alias("k")), F.struct(F.lit(2).alias("tier"), F.lower("node_id").alias("k")), F.struct(F.lit(3).alias("tier"), flat_name(last).alias("k"))).alias("ks"))
     keys = ids.select("node_id", F.inline("ks"))
-    asked = names.select("name", F.inline(F.array(F.struct(F.lit(1).alias("tier"), F.col("name").alias("k")), F.struct(F.lit(2), F.lower("name")), F.struct(F.lit(3), flat_name(F.col("name"))))))
+    asked = names.select("name", F.inline(F.array(F.struct(F.lit(1).alias("tier"), F.col("name").alias("k")), F.struct(F.lit(2).alias("tier"), F.lower("name").alias("k")), F.struct(F.lit(3).alias("tier"), flat_name(F.col("name")).alias("k")))))
     best = asked.join(keys, ["tier", "k"]).groupBy("name").agg(F.min(F.struct("tier", F.length("node_id").alias("l"), "node_id")).alias("m"))
     return names.select("name").distinct().join(best, "name", "left").select("name", "m.node_id", "m.tier")
 

@@ -23,6 +23,15 @@ def _list(name: str) -> Column:
     return F.coalesce(F.col(name), F.array().cast(_NONE))
 
 
+def _runs(tokens: Column, lengths: list[int]) -> Column:
+    """All runs of as many tokens as one of ``lengths``, joined by blanks."""
+
+    def of(k: int) -> Column:
+        return F.transform(F.sequence(F.lit(1), F.greatest(F.size(tokens) - k + 1, F.lit(1))), lambda i: F.array_join(F.slice(tokens, i, k), " "))
+
+    return F.flatten(F.array(*[of(k) for k in lengths])) if lengths else F.array().cast(_NONE)
+
+
 def cluster_key(name: Column) -> Column:
     """A cluster's name for comparison: lower-case, without a closing 'cluster'."""
     return F.trim(F.regexp_replace(F.lower(F.coalesce(name, F.lit(""))), r"\s*cluster\s*$", ""))
@@ -138,7 +147,7 @@ def inferred_clusters(test_cases: DataFrame, prefixes: DataFrame, names: DataFra
     n = names.filter(F.length("name") >= 4).select(F.lower("name").alias("name"), F.col("cluster").alias("c"), F.size(F.split(F.lower("name"), r"\s+")).alias("k"))
     lengths = [r.k for r in n.select("k").distinct().collect()]  # a few lengths in words
     toks = F.split("title", r"\s+")
-    runs = F.flatten(F.array(*[F.transform(F.sequence(F.lit(1), F.greatest(F.size(toks) - k + 1, F.lit(1))), lambda i, k=k: F.array_join(F.slice(toks, i, k), " ")) for k in lengths])) if lengths else F.array().cast(_NONE)
+    runs = _runs(toks, lengths)
     by_title = t.select("tc_id", F.explode(F.array_distinct(runs)).alias("name")).join(n, "name").groupBy("tc_id").agg(F.min_by("c", F.struct(-F.length("name"), "name")).alias("by_title"))
     out = t.join(by_prefix, "prefix", "left").join(modal, "tc_id", "left").join(by_title, "tc_id", "left")
     return out.select("tc_id", F.when(is_protocol(F.col("prefix")), "").otherwise(F.coalesce("by_prefix", "by_refs", "by_title", F.lit(""))).alias("cluster"))
@@ -153,7 +162,7 @@ def section_clusters(sections: DataFrame, clusters: DataFrame) -> DataFrame:
 
     def best(column: str) -> DataFrame:
         toks = F.filter(F.split(F.lower(_text(column)), "[^a-z0-9]+"), lambda w: w != "")
-        runs = F.flatten(F.array(*[F.transform(F.sequence(F.lit(1), F.greatest(F.size(toks) - k + 1, F.lit(1))), lambda i, k=k: F.array_join(F.slice(toks, i, k), " ")) for k in lengths])) if lengths else F.array().cast(_NONE)
+        runs = _runs(toks, lengths)
         hit = sections.select("section_id", F.explode(F.array_distinct(runs)).alias("phrase")).join(names, "phrase")
         return hit.groupBy("section_id").agg(F.max_by("cluster", F.struct(F.length("phrase"), "cluster")).alias(f"by_{column}"))
 

@@ -95,7 +95,7 @@ def clauses(text: Column, opener: str) -> Column:
 def clause_texts(text: Column) -> dict[str, Column]:
     """Conditions, effects and constraints of a requirement, trimmed."""
     found = {"conditions": V.CONDITION_CLAUSE, "effects": V.EFFECT_CLAUSE, "constraints": V.CONSTRAINT_CLAUSE}
-    return {k: F.transform(F.regexp_extract_all(text, F.lit(p), F.lit(1)), F.trim) for k, p in found.items()}
+    return {k: F.transform(F.regexp_extract_all(text, F.lit(p), F.lit(1)), lambda x: F.trim(x)) for k, p in found.items()}
 
 
 def test_intents(text: Column) -> Column:

@@ -205,7 +205,7 @@ def case_chunks(records: DataFrame) -> DataFrame:
         "purpose": c("purpose"),
         "pics": F.array_join(F.transform("pics", lambda x: F.concat(F.lit("[PICS."), x, F.lit("]"))), "\n"),
         "preconditions": _lines(c("preconditions"), "* "),
-        "required_devices": F.array_join(F.transform("required_devices", lambda d: F.concat(F.lit("* "), d.name, F.lit(" ("), d.description, F.lit(")"))), "\n"),
+        "required_devices": F.array_join(F.transform("required_devices", lambda d: F.concat(F.lit("* "), d["name"], F.lit(" ("), d["description"], F.lit(")"))), "\n"),
         "device_topology": c("device_topology"),
         "test_setup": c("test_setup"),
         "test_steps": said,

@@ -16,6 +16,15 @@ _HEADING = re.compile(r"h[1-6]$")
 _BLOCK = {"p": "paragraph", "li": "list_item", "td": "cell", "th": "cell", "dd": "paragraph", "pre": "paragraph"}
 
 
+#: A deletion and what replaces it.
+_PAIR = re.compile(r"\[REMOVED: ([^\[\]]*)\]\s*\[CHANGED: ([^\[\]]*)\]")
+
+
+def paired(text: str) -> str:
+    """Deletions with their replacements as one change, gone where both say the same."""
+    return tidy(_PAIR.sub(lambda m: "" if m[1].strip() == m[2].strip() else f"[CHANGED: {m[1].strip()} → {m[2].strip()}]", text))
+
+
 def tidy(text: str) -> str:
     return re.sub(r"\s+", " ", unicodedata.normalize("NFKC", text)).strip()
 
@@ -42,7 +51,7 @@ class Sections(HTMLParser):
         self.mark = ""
 
     def close_block(self) -> None:
-        text, self.text = tidy(self.text), ""
+        text, self.text = paired(tidy(self.text)), ""
         if self.level:
             while self.stack and self.stack[-1][0] >= self.level:
                 self.stack.pop()

@@ -27,13 +27,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .shared import HOT, SALTS, bucket_of, buckets, discard, keyed, some, spread_join, text_bytes, written
+from .shared import HOT, SALTS, bucket_of, buckets, discard, keyed, some, text_bytes, written
 from .words import MAX, grams, sliced, sliding, within, words
 
 ANCHOR = 8
 #: Bytes of text in a bucket, and phrases in an automaton: some 20 nodes of 50 bytes each.
 BUCKET = 2 << 20
 PHRASES = 50_000
+#: One document in so many is looked at for hot anchors, which have at least LEAST places there.
+PROBE, LEAST = 16, 200
 #: Hits of an automaton looked at together.
 HITS = 1 << 16
 
@@ -110,14 +112,14 @@ class _Bucket:
 
 
 def _phrases(window: int):
-    """One row for each different phrase of a bucket whose anchor survives: its hash, its first place there, ``p``: 24
-    more bits of hash, whether the bucket holds it more than once, and the place's word, in one number; and ``salt``,
-    which is 0 unless its anchor is hot."""
-    names = ["h", "p", "did", "ver", "salt"]
+    """One row for each different phrase of a bucket whose anchor survives: its hash, its first place there, and ``p``:
+    24 more bits of hash, whether the bucket holds it more than once, a salt, and the place's word, in one number.  The
+    salt is 0 unless the phrase's anchor is hot; the hash is changed by it."""
+    names = ["h", "p", "did", "ver"]
 
     def run(docs: pa.Table, places: pa.Table) -> pa.Table:
         if not docs.num_rows or not places.num_rows:
-            return pa.table([*[pa.array([], pa.int64())] * 4, pa.array([], pa.int32())], names)
+            return pa.table([pa.array([], pa.int64())] * 4, names)
         bucket = _Bucket(docs)
         w, g, least, real, k = _anchors(bucket.texts, window)
         kept = np.full(len(g), MAX)
@@ -137,9 +139,9 @@ def _phrases(window: int):
         lead, many = lead[back], many[back]
         t = np.searchsorted(w.first, i[lead], "right") - 1
         own = docs.column("b")[0].as_py() % SALTS + 1
-        salt = np.where(np.isin(least[i[lead]], hot), own, 0).astype(np.int32)
-        p = (check[lead].astype(np.int64) << 40) | (many.astype(np.int64) << 39) | (i[lead] - w.first[t])
-        return pa.table([pa.array(c) for c in (h[lead].view(np.int64), p, bucket.did[t], bucket.ver[t], salt)], names)
+        salt = np.where(np.isin(least[i[lead]], hot), own, 0) if len(hot) else np.zeros(len(lead), np.int64)
+        p = (check[lead].astype(np.int64) << 40) | (many.astype(np.int64) << 39) | (salt << 31) | (i[lead] - w.first[t])
+        return pa.table([pa.array(c) for c in (h[lead].view(np.int64) ^ salt, p, bucket.did[t], bucket.ver[t])], names)
 
     return run
 
@@ -242,27 +244,36 @@ def substring_dedup(docs: DataFrame, window: int = 20, id_col: str = "doc_id", t
     base = keyed(docs, id_col, text_col)
     n = buckets(text_bytes(docs, text_col), bucket_bytes)
     thin = base.select("did", "ver", "text")
-    counts = thin.mapInArrow(_counts(window), "fp long, n long").groupBy("fp").agg(F.sum("n").alias("n")).filter("n > 1")
-    counts = written(counts, "counts")
+    counted = lambda df: df.mapInArrow(_counts(window), "fp long, n long").groupBy("fp").agg(F.sum("n").alias("n")).filter("n > 1")
+    # which anchors are hot only decides how rows are dealt, so one document in PROBE tells
+    probe = written(counted(thin.filter(F.pmod(F.xxhash64("did", "ver"), F.lit(PROBE)) == 0)), "probe")
     # at most 1 / HOT anchors hold more than that share of the places: the bound of what is broadcast
-    frequent = max(1000, HOT * (counts.agg(F.sum("n")).first()[0] or 0))
-    hot = some(counts.filter(F.col("n") > frequent).select("fp"), "hot")
-    anchors = counts.select("fp", (F.col("n") > frequent).alias("hot"))
-    places = spread_join(thin.mapInArrow(_places(window), "fp long, did long, ver long, at int"), anchors, ["fp"], hot, ["did", "ver", "at"])
+    frequent = max(LEAST, HOT * (probe.agg(F.sum("n")).first()[0] or 0))
+    hot = some(probe.filter(F.col("n") > frequent).select("fp"), "hot")
+    discard(probe)
+    places = thin.mapInArrow(_places(window), "fp long, did long, ver long, at int")
+    anchors = counted(thin).select("fp")
+    if hot is None:
+        places = places.join(anchors, "fp").withColumn("hot", F.lit(False))
+    else:
+        # places of hot anchors stay anyway: they pass the join by a number of their own, spread over the tasks
+        places = places.join(F.broadcast(hot.select(F.col("fp").alias("f"))), F.col("fp") == F.col("f"), "left").withColumn("hot", F.col("f").isNotNull())
+        places = places.withColumn("key", F.when(F.col("hot"), F.xxhash64("did", "ver", "at")).otherwise(F.col("fp")))
+        places = places.join(anchors.withColumnRenamed("fp", "a"), F.col("key") == F.col("a"), "left").filter("hot or a is not null")
     b = bucket_of(n, "did", "ver").alias("b")
     places = written(places.select(b, "did", "ver", "at", "hot"), "anchors")
     dealt = thin.select(b, "did", "ver", "text")
-    phrases = dealt.groupBy("b").cogroup(places.groupBy("b")).applyInArrow(_phrases(window), "h long, p long, did long, ver long, salt int").repartition("h", "salt")
+    phrases = dealt.groupBy("b").cogroup(places.groupBy("b")).applyInArrow(_phrases(window), "h long, p long, did long, ver long").repartition("h")
     bits = lambda shift, size: F.shiftright("p", shift).bitwiseAND(F.lit((1 << size) - 1))
-    phrases = phrases.select("h", bits(40, 24).alias("k"), "did", "ver", bits(0, 39).cast("int").alias("at"), (bits(39, 1) == 1).alias("many"), "salt")
-    same = Window.partitionBy("h", "salt", "k")
+    phrases = phrases.select("h", bits(40, 24).alias("k"), "did", "ver", bits(0, 31).cast("int").alias("at"), (bits(39, 1) == 1).alias("many"), bits(31, 8).cast("int").alias("salt"))
+    same = Window.partitionBy("h", "k")
     here = F.struct("did", "ver", "at")
     routes = phrases.select("*", F.min(here).over(same).alias("lead"), F.count("*").over(same).alias("places"))
     lead = here == F.col("lead")
     once = F.when(F.col("salt") > 0, F.lit(True)).otherwise((F.col("many") | (F.col("places") > 1)) & (F.col("many") | ~lead))
-    routes = routes.filter(once).select(b, "did", "ver", "at", lead.alias("lead"), "many", "salt", *[F.when(F.col("salt") > 0, F.col(c)).alias(c) for c in ("h", "k")])
+    routes = routes.filter(once).select(b, "did", "ver", "at", lead.alias("lead"), "many", "salt", F.when(F.col("salt") > 0, F.col("h").bitwiseXOR(F.col("salt"))).alias("h"), F.when(F.col("salt") > 0, F.col("k")).alias("k"))
     routes = written(routes, "phrases")
-    discard(places, counts)
+    discard(places)
     cols = ["b", "did", "ver", "at", "lead"]
     cold = routes.filter("salt = 0").select(*cols)
     if hot is not None:

@@ -71,6 +71,7 @@ def test_substring(docs):
 def test_substring_of_hot_phrases(docs, monkeypatch):
     """The same result where every anchor counts as hot, so that its phrases are salted."""
     want = sorted(substring.op1(docs).collect())
+    monkeypatch.setattr(substring, "PROBE", 1)
     monkeypatch.setattr(substring, "max", lambda *_: 1, raising=False)
     assert sorted(substring.op1(docs).collect()) == want
 

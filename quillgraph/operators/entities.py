@@ -20,6 +20,20 @@ def phrases(df: DataFrame, key: str, text: str, lengths: Column, *more: str) ->
     return t.select("key", *more, F.explode(F.array_distinct(runs)).alias("phrase"))
 
 
+def _likely(d: DataFrame, n: DataFrame, longest: int) -> DataFrame:
+    """(key, context, phrase): of ``d``'s runs of tokens those that are a name of one token, or begin with a longer name's
+    first two tokens and have its length.  ``n`` is small enough to be broadcast."""
+    t = d.select("key", "context", tokens(F.col("text")).alias("t"))
+    w = t.select("key", "context", F.explode(F.expr(f"if(size(t) > 0, transform(sequence(1, size(t)), i -> slice(t, i, {longest})), null)")).alias("w"))
+    one = n.filter("k = 1").select(F.col("phrase").alias("only")).distinct()
+    more = n.filter("k > 1").groupBy(F.substring_index("phrase", " ", 2).alias("head")).agg(F.collect_set("k").alias("ks"))
+    w = w.join(F.broadcast(one), F.get("w", F.lit(0)) == F.col("only"), "left").join(F.broadcast(more), F.array_join(F.slice("w", 1, 2), " ") == F.col("head"), "left")
+    none = F.array().cast("array<int>")
+    lengths = F.concat(F.when(F.col("only").isNotNull(), F.array(F.lit(1))).otherwise(none), F.coalesce("ks", none))
+    w = w.filter("only is not null or head is not null").select("key", "context", "w", F.explode(lengths).alias("k")).filter("size(w) >= k")
+    return w.select("key", "context", F.array_join(F.slice("w", 1, F.col("k")), " ").alias("phrase"))
+
+
 def matched(df: DataFrame, key: str, text: str, names: DataFrame, context: str | None = None, never: tuple[str, ...] = BLOCKED) -> DataFrame:
     """(key, entity_id, cluster) for names found whole in a text, by an equi-join on phrases instead of a contains join.
 
@@ -42,9 +56,10 @@ def matched(df: DataFrame, key: str, text: str, names: DataFrame, context: str |
     size = n.agg(F.sum(F.octet_length("phrase") + F.octet_length(F.col("entity_id").cast("string")) + 64).alias("bytes"), F.collect_set("k").alias("lengths")).first()
     lengths = sorted(size["lengths"] or [])
     d = df.select(F.col(key).alias("key"), F.col(text).alias("text"), F.lower(F.coalesce(F.col(context), F.lit("")) if context else F.lit("")).alias("context"))
-    found = phrases(d, "key", "text", F.array(*[F.lit(k) for k in lengths]) if lengths else F.array().cast("array<int>"), "context")
-    side = F.broadcast(n) if (size["bytes"] or 0) <= SMALL else n
-    found = found.join(side, "phrase")
+    if (size["bytes"] or 0) <= SMALL:
+        found = _likely(d, n, max(lengths, default=1)).join(F.broadcast(n), "phrase")
+    else:
+        found = phrases(d, "key", "text", F.array(*[F.lit(k) for k in lengths]), "context").join(n, "phrase")
     same = (F.col("context") != "") & (F.lower("cluster") == F.col("context"))
     return found.filter(F.coalesce(same, F.lit(False)) | F.col("free")).select("key", "entity_id", "cluster").distinct()
 

@@ -30,10 +30,11 @@ _NAMES = "select distinct token as name from (select unnest(list_filter(" + _TOK
 
 @query(
     "entity_dictionary_join",
-    f"""with n as ({_NAMES}), d as (select doc_id, list_filter({_TOKENS.format(t="coalesce(text, '')")}, lambda x: x <> '') as w from documents),
-    k as (select distinct len(string_split(name, ' ')) as k from n),
-    r as (select distinct doc_id, array_to_string(w[i:i + k - 1], ' ') as name from (select doc_id, w, k, unnest(range(1, len(w) - k + 2)) as i from d, k where len(w) >= k))
-    select doc_id as key, name as entity_id from r join n using (name) where name not in ({", ".join(repr(x) for x in (*E.BLOCKED, *V.NEEDS_CLUSTER))})""",
+    f"""with n as ({_NAMES}), d as (select row, doc_id, unnest(w) as x0, generate_subscripts(w, 1) as i
+      from (select row_number() over () as row, doc_id, list_filter({_TOKENS.format(t="coalesce(text, '')")}, lambda x: x <> '') as w from documents)),
+    l as (select doc_id, x0, {", ".join(f"lead(x0, {j}) over o as x{j}" for j in range(1, 8))} from d window o as (partition by row order by i)),
+    r as (select doc_id, unnest([{", ".join(" || ' ' || ".join(f"x{i}" for i in range(k)) for k in range(1, 9))}]) as name from l)
+    select distinct doc_id as key, name as entity_id from r join n using (name) where name not in ({", ".join(repr(x) for x in (*E.BLOCKED, *V.NEEDS_CLUSTER))})""",
 )
 def entity_dictionary_join(spark, sf_dir):
     """Names of one to eight tokens from the benchmark items, met in all documents."""

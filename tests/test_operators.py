@@ -87,8 +87,11 @@ def test_entities(spark):
     assert {(r.entity_id, r.edge_type) for r in got} == {("e", "reads"), ("c", "tests_command")}
 
 
-def test_entities_of_any_length(spark):
-    """A whole dictionary of several hundred names of 1 to 9 tokens against brute force, with and without clusters."""
+@pytest.mark.parametrize("small", [entities.SMALL, -1])
+def test_entities_of_any_length(spark, small, monkeypatch):
+    """A whole dictionary of several hundred names of 1 to 9 tokens against brute force, with and without clusters, with
+    the dictionary broadcast and shuffled."""
+    monkeypatch.setattr(entities, "SMALL", small)
     r = random.Random(3)
     vocabulary = "on off level minimum temperature setpoint week day schedules supported per user mode".split()
     say = lambda n: [r.choice(vocabulary) for _ in range(n)]

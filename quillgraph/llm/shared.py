@@ -110,21 +110,21 @@ def some(df: DataFrame, name: str) -> DataFrame | None:
     return None if out.isEmpty() else out
 
 
-def spread_join(left: DataFrame, right: DataFrame, on: list[str], hot: DataFrame | None, by: list[str]) -> DataFrame:
-    """``left`` joined to ``right``, which has a row a key at most, with the rows of hot keys dealt to SALTS tasks.
+def spread_join(left: DataFrame, right: DataFrame, on: list[str], hot: DataFrame | None, by: list[str], how: str = "inner") -> DataFrame:
+    """``left`` joined (inner or left) to ``right``, which has a row a key at most, with the rows of hot keys dealt to SALTS tasks.
 
     ``hot`` holds the hot keys: at most 1 / HOT of them for each set of rows in which their share was counted, so it is
     small and broadcast whatever the input's size; None: no key is hot.  ``by`` are columns of ``left`` that tell a
     key's rows apart.
     """
     if hot is None:
-        return left.join(right, on)
+        return left.join(right, on, how)
     marks = F.broadcast(hot.select(*on).distinct().withColumn("_hot", F.lit(1)))
     salt = F.pmod(F.xxhash64(*by), F.lit(SALTS)).cast("int")
     a = left.join(marks, on, "left").withColumn("_salt", F.when(F.col("_hot") == 1, salt).otherwise(0)).drop("_hot")
     every = F.sequence(F.lit(0), F.lit(SALTS - 1))
     b = right.join(marks, on, "left").withColumn("_salt", F.explode(F.when(F.col("_hot") == 1, every).otherwise(F.array(F.lit(0))))).drop("_hot")
-    return a.join(b, [*on, "_salt"]).drop("_salt")
+    return a.join(b, [*on, "_salt"], how).drop("_salt")
 
 
 def keyed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", alone: bool = False) -> DataFrame:

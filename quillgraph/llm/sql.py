@@ -77,4 +77,53 @@ select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
   not (base_failed or 10 * n_symbols > n_words or 10 * n_dup_lines > 3 * len(lines)
     or (n_words > 0 and (word_chars < 2 * n_words or word_chars > 15 * n_words)) or 5 * n_plain < 2 * n_words) as kept
 from k""",
+    "op11_filter_interactions": rf"""
+with d as (select doc_id, coalesce(source, '') as part, coalesce(text, '') as t, {_W} as w from documents),
+l as (select doc_id, max((quality = 1)::int) as good, max((toxic = 1)::int) as toxic from labels group by doc_id),
+m as (select part, coalesce(good, 0) as good, coalesce(toxic, 0) as toxic,
+  (len(w) < 200)::int + 2 * (100 * len(list_distinct(w)) < 50 * len(w))::int
+  + 4 * (100 * len(regexp_extract_all(t, '[A-Z]')) > 2 * length(t))::int + 8 * regexp_matches(t, '[#$%&*|]')::int
+  + 16 * (d.doc_id > min(d.doc_id) over (partition by t))::int as mask
+  from d left join l using (doc_id)),
+c as (select part, mask, count(*) as n, sum(good) as good, sum(toxic) as toxic from m group by part, mask),
+f(letter, bit) as (values ('A', 1), ('B', 2), ('C', 4), ('D', 8), ('E', 16)),
+o as (select a.letter || b.letter || c.letter || d.letter || e.letter as filter_order, [a.bit, b.bit, c.bit, d.bit, e.bit] as bits
+  from f a, f b, f c, f d, f e where a.bit + b.bit + c.bit + d.bit + e.bit = 31 and a.bit | b.bit | c.bit | d.bit | e.bit = 31),
+s as (select filter_order, step, bits[step] as bit, coalesce(list_sum(bits[1:step - 1]), 0)::int as before from o, range(1, 6) r(step)),
+shap as (select part, bit, sum(case when mask & bit <> 0 then n * 120 // bit_count(mask) else 0 end)::bigint as shapley from c, f group by part, bit),
+e as (select part, filter_order, step, s.bit,
+  sum(case when mask & (s.bit | before) = 0 then n else 0 end)::bigint as kept,
+  sum(case when mask & s.bit <> 0 and mask & before = 0 then n else 0 end)::bigint as removed,
+  sum(case when mask & s.bit <> 0 and mask & before <> 0 then n else 0 end)::bigint as redundant,
+  sum(case when mask = s.bit then n else 0 end)::bigint as unique_fails,
+  sum(case when mask & s.bit <> 0 and mask & before = 0 then good else 0 end)::bigint as good_lost,
+  sum(case when mask & s.bit <> 0 and mask & before = 0 then toxic else 0 end)::bigint as toxic_lost
+  from c, s group by part, filter_order, step, s.bit)
+select part, filter_order, step::int as step, kept, removed, redundant, unique_fails, good_lost, toxic_lost, shapley from e join shap using (part, bit)""",
+    # equal words at every distance up to a quarter of the document; neighbouring pairs at one distance make a run
+    "op12_periodic_runs": rf"""
+with d as (select doc_id, {_W} as w, xor(4294967295, list_reduce(list_prepend(4294967295::bigint, list_transform(string_split(doc_id::varchar, ''), lambda ch: ascii(ch)::bigint)),
+  lambda c, b: list_reduce(list_prepend(xor(c, b), [0, 0, 0, 0, 0, 0, 0, 0]::bigint[]), lambda x, y: xor(x >> 1, 3988292384 * (x & 1))))) as h from documents),
+g as (select *, len(w)::bigint as n, h // 10 as g from d),
+a as (select *, case when h % 10 = 0 and n > 0 then g % n end as a, case when h % 10 = 0 and n > 0 then 1 + (n - g % n) // (3 + g % 8) end as p from g),
+i as (select doc_id, w, n, a, p, unnest(range(n)) as i from a),
+t as materialized (select doc_id, n, i, w[1 + case when i < a or a is null then i else a + (i - a) % p end] as x from i),
+e as (select l.doc_id, r.i - l.i as p, l.i from t l join t r on l.doc_id = r.doc_id and l.x = r.x and r.i > l.i and 4 * (r.i - l.i) <= l.n),
+k as (select doc_id, p, i, i - row_number() over (partition by doc_id, p order by i) as island from e),
+u as (select doc_id, p, min(i) as start, count(*) + p as length from k group by doc_id, p, island having count(*) >= greatest(6 - p, 3 * p)),
+runs as materialized (select doc_id, start, length, min(p) as period from u group by doc_id, start, length),
+gone as (select distinct doc_id, unnest(range(start + period, start + length)) as i from runs),
+kept as (select doc_id, string_agg(x, ' ' order by t.i) as text from t anti join gone on gone.doc_id = t.doc_id and gone.i = t.i group by doc_id),
+s as (select doc_id, count(*) as n_runs, string_agg(start || ',' || length || ',' || period || chr(10), '' order by start, period) as listed,
+  list(struct_pack(l := -length, s := start, p := period) order by -length, start, period)[1] as best from runs group by doc_id)
+select d.doc_id, coalesce(n_runs, 0)::bigint as n_runs, best.s::bigint as start, (-best.l)::bigint as length, best.p::bigint as period,
+  (1000 * -best.l // best.p)::bigint as exponent_milli, sha256(coalesce(listed, '')) as runs_sha256, sha256(coalesce(kept.text, '')) as collapsed_sha256
+from d left join s using (doc_id) left join kept using (doc_id)""",
+    "op13_line_dedup": r"""
+with l as (select doc_id, unnest(string_split(coalesce(text, ''), chr(10))) as line, unnest(range(len(string_split(coalesce(text, ''), chr(10))))) as i from documents),
+k as (select *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as key from l),
+f as (select key, min(doc_id) as first from k where length(key) >= 10 group by key),
+m as (select k.doc_id, i, line, coalesce(first <> k.doc_id, false) as gone from k left join f using (key))
+select doc_id, count(*) as n_lines, count(*) filter (where gone) as n_dropped, sha256(coalesce(string_agg(line, chr(10) order by i) filter (where not gone), '')) as kept_sha256
+from m group by doc_id""",
 }

@@ -26,14 +26,15 @@ ROWS, QUERIES, BYTES = 8192, 2048, 64 << 20
 SLICE, PAIRS = 256, 1 << 16
 #: Partial lists of a query merged at a time.
 MERGE = 64
-#: Room for rounding in the bounds, relative to the vectors' lengths.
+#: Room for rounding in the bounds, relative to the product of the vectors' lengths.  Means, deviations and the products of
+#: the statistics are each off by d roundings of 1e-16 at most, so this holds to lengths of a million.
 SLACK = 1e-9
 _LIMIT = (1 << 63) - 1
 
 
-def fine(vector: Column) -> Column:
-    """Whether a vector is there and holds no null and no non-finite component."""
-    bad = F.exists(vector, lambda x: x.isNull() | F.isnan(x) | (F.abs(x.cast("double")) == F.lit(float("inf"))))
+def fine(vector: Column, scale: float = 1.0) -> Column:
+    """Whether a vector is there and holds no null and no component that is not finite, as it is and scaled."""
+    bad = F.exists(vector, lambda x: x.isNull() | F.isnan(x) | (F.abs(x.cast("double") * F.lit(float(scale))) == F.lit(float("inf"))))
     return F.coalesce(vector.isNotNull() & ~bad, F.lit(False))
 
 
@@ -42,7 +43,8 @@ def statistics(x: np.ndarray, segments: int) -> np.ndarray:
     parts = np.array_split(x, segments, axis=1)
     root = [np.sqrt(p.shape[1]) for p in parts]
     mean = np.stack([p.mean(1) * r for p, r in zip(parts, root, strict=True)], 1)
-    rest = np.stack([np.sqrt(np.maximum((p * p).sum(1) - m * m, 0)) for p, m in zip(parts, mean.T, strict=True)], 1)
+    # from the differences: of squares' sums that nearly cancel, the deviation of a nearly constant segment would be lost
+    rest = np.stack([np.sqrt(((p - p.mean(1, keepdims=True)) ** 2).sum(1)) for p in parts], 1)
     return np.hstack([mean, rest])
 
 
@@ -67,9 +69,11 @@ def best(q_uid: np.ndarray, q: np.ndarray, uid: np.ndarray, ids: np.ndarray, x:
     ``q`` and ``x`` hold whole numbers as float64; where their products may pass 2**53, Python integers take over.  A
     candidate with the query's uid is the query itself.
     """
-    exact = float(np.abs(q).max(initial=0)) * float(np.abs(x).max(initial=0)) * x.shape[1] < 2**53
-    qn, xn = np.sqrt((q * q).sum(1)), np.sqrt((x * x).sum(1))
-    tables = [(statistics(q, s), statistics(x, s)) for s in levels(x.shape[1])]
+    most = max(float(np.abs(q).max(initial=0)), float(np.abs(x).max(initial=0)))
+    exact = most * most * x.shape[1] < 2**53
+    # of vectors whose products float64 can't hold, no bound is told
+    tables = [(statistics(q, s), statistics(x, s)) for s in levels(x.shape[1])] if most < 1e140 else []
+    qn, xn = (np.sqrt((v * v).sum(1)) if tables else np.zeros(len(v)) for v in (q, x))
     found = []
     for low in range(0, len(q), SLICE):
         part = slice(low, low + SLICE)
@@ -84,8 +88,12 @@ def best(q_uid: np.ndarray, q: np.ndarray, uid: np.ndarray, ids: np.ndarray, x:
             sample = _products(q[part], x, i, first.ravel(), exact).astype(float).reshape(len(first), n)
             sample[~np.take_along_axis(live, first, 1)] = -np.inf
             floor = -np.sort(-sample, axis=1)[:, k - 1] if n >= k else np.full(len(first), -np.inf)
+            own = live
             for a, b in tables:
-                live &= a[part] @ b.T + room >= floor[:, None]
+                live = live & (a[part] @ b.T + room >= floor[:, None])
+            # k candidates reach the floor, so fewer can't be left; should a bound fail, it rules nothing out
+            lost = live.sum(1) < np.minimum(k, own.sum(1))
+            live[lost] = own[lost]
         i, j = np.nonzero(live)
         score = _products(q[part], x, i, j, exact)
         order = np.lexsort((ids[j], -score, i)) if exact else np.array(sorted(range(len(i)), key=lambda t: (i[t], -score[t], ids[j[t]])), np.int64)
@@ -120,13 +128,13 @@ def top_k(vectors: DataFrame, queries: Column, k: int = TOP, scale: int = SCALE,
 
     ``queries`` is a condition on the rows of ``vectors``.  Each row is a vector of its own, rows alike too: a query's
     candidates are all rows but its own, and rows that share a query's id are queries apart, each with its list.  Rows
-    with a null id, and vectors null or with a null or non-finite component, take no part.  Only vectors of the query's
+    with a null id, and vectors null or with a null component or one that is not finite or not once scaled, take no part.  Only vectors of the query's
     length are its candidates; without components every score is 0.  A score beyond 64 bits stays at the limit.  Other
     columns are left out.  Empty input gives no rows.
     """
     v = F.col(vector_col)
     v = v if vectors.schema[vector_col].dataType.simpleString() == "array<float>" else v.cast("array<double>")
-    thin = vectors.filter(fine(F.col(vector_col)) & F.col(id_col).isNotNull())
+    thin = vectors.filter(fine(F.col(vector_col), scale) & F.col(id_col).isNotNull())
     thin = thin.select(F.monotonically_increasing_id().alias("uid"), F.col(id_col).cast("long").alias("vec_id"), v.alias("v"), F.coalesce(queries, F.lit(False)).alias("asks"))
     thin = written(thin.withColumn("n", F.size("v")), "vectors")
     n_rows, n_queries, width = thin.agg(F.count("*"), F.count_if(F.col("asks")), F.coalesce(F.max("n"), F.lit(0))).first()

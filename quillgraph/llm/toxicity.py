@@ -9,7 +9,8 @@ A feature is a word without the punctuation around it, or its first bytes, as st
 times in a text, it leaves further features.  How clearly a feature must tell is chosen among SIGMAS by the log loss on inner folds of the rows that aren't
 held out, so the held-out rows have no part in any choice.
 
-The sample is bounded (POSITIVES and UNLABELLED, by a hash of the id); scoring goes over every whole text.
+The sample is bounded (POSITIVES and UNLABELLED ids by a hash of the id, one text of each); scoring goes over every whole
+text.  Features are counted on the executors; the driver gets those that may be used, and of each sampled text only these.
 """
 
 from __future__ import annotations
@@ -22,6 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .shared import discard, written
 from .words import U, hashes, mix, sliced, words
 
 #: Bounds of the training sample, in texts; features kept at most, texts a feature must be in, and how clearly it tells.
@@ -78,8 +80,44 @@ def feature_sets(texts: list[str]) -> list[np.ndarray]:
 
 def _distinct(batches):
     for b in sliced(batches, "text"):
-        sets = [s.tobytes() for s in feature_sets(b.column("text").to_pylist())]
-        yield pa.RecordBatch.from_arrays([b.column("mark"), pa.array(sets, pa.binary())], ["mark", "f"])
+        sets = [s.view(np.int64) for s in feature_sets(b.column("text").to_pylist())]
+        yield pa.RecordBatch.from_arrays([b.column("mark"), pa.array(sets, pa.list_(pa.int64()))], ["mark", "f"])
+
+
+def _only(vocabulary: np.ndarray):
+    """Of each text the features of a sorted vocabulary, as bytes."""
+
+    def run(batches):
+        for b in batches:
+            sets = [np.asarray(s.values, np.int64).view(U) for s in b.column("f")]
+            sets = [s[np.isin(s, vocabulary)].tobytes() for s in sets]
+            yield pa.RecordBatch.from_arrays([b.column("mark"), pa.array(sets, pa.binary())], ["mark", "f"])
+
+    return run
+
+
+def usable(sets: DataFrame, most: int, least: int) -> np.ndarray:
+    """The features of (mark, f) that a fit on all folds, or on all but one, may use: for each of these fits the ``most``
+    clearest that are in ``least`` texts and tell by the least of SIGMAS.  At most (FOLDS + 1) * most, sorted."""
+    of = lambda p, x: F.count_if(F.col("p") == F.lit(p) if x is None else (F.col("p") == F.lit(p)) & (F.col("fold") != x))
+    fits = [None, *(x for x in range(FOLDS) if x != HELD)]
+    total = sets.select("mark.p", "mark.fold").agg(*[of(p, x) for x in fits for p in (True, False)]).first()
+    each = sets.select("mark.p", "mark.fold", F.explode("f").alias("v"))
+    counts = each.groupBy("v").agg(*[of(p, x).alias(f"{'pu'[not p]}{i}") for i, x in enumerate(fits) for p in (True, False)]).filter(F.col("p0") + F.col("u0") >= least)
+    counts = written(counts, "feature-counts")
+    found = np.zeros(0, np.int64)
+    for i in range(len(fits)):
+        n_p, n_u = total[2 * i], total[2 * i + 1]
+        if not n_p or not n_u:
+            continue
+        a, b = F.col(f"p{i}"), F.col(f"u{i}")
+        rate = (a + b) / F.lit(float(n_p + n_u))
+        z = F.abs(a / n_p - b / n_u) / F.sqrt(rate * (1 - rate) * (1 / n_p + 1 / n_u) + 1e-12)
+        # a little below the bound: it is drawn again, in numpy, where the fit chooses
+        rows = counts.filter(a + b >= least).select("v", z.alias("z")).filter(F.col("z") >= min(SIGMAS) - 1e-6).orderBy(F.desc("z"), "v").limit(most + most // 100).collect()
+        found = np.union1d(found, np.array([r.v for r in rows], np.int64))
+    discard(counts)
+    return np.sort(found.view(U))
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
@@ -191,17 +229,18 @@ def _probability(margin: np.ndarray, toxic: np.ndarray) -> tuple[float, float]:
     return (float(c[0] / spread), float(c[1] - c[0] * mean / spread)) if c[0] > 0 else (1.0, 0.0)
 
 
-def _telling(p: list[np.ndarray], u: list[np.ndarray], sigmas: float) -> np.ndarray:
-    """Features in which positives and unlabelled texts differ by ``sigmas`` standard errors, the FEATURES clearest, sorted."""
+def _telling(p: list[np.ndarray], u: list[np.ndarray], sigmas: float, most: int = FEATURES, least: int = LEAST) -> np.ndarray:
+    """Features of ``least`` texts in which positives and unlabelled texts differ by ``sigmas`` standard errors, the
+    ``most`` clearest, sorted."""
     value, n = np.unique(np.concatenate([*p, *u]), return_counts=True)
-    value, n = value[n >= LEAST], n[n >= LEAST]
+    value, n = value[n >= least], n[n >= least]
     own, m = np.unique(np.concatenate(p), return_counts=True)
     i = np.minimum(np.searchsorted(own, value), max(0, len(own) - 1))
     inside = np.where(own[i] == value, m[i], 0) if len(own) else np.zeros(len(value), np.int64)
     a, b = inside / len(p), (n - inside) / len(u)
     rate = n / (len(p) + len(u))
     z = np.abs(a - b) / np.sqrt(rate * (1 - rate) * (1 / len(p) + 1 / len(u)) + 1e-12)
-    order = np.lexsort((value, -z))[:FEATURES]
+    order = np.lexsort((value.view(np.int64), -z))[:most]
     return np.sort(value[order[z[order] >= sigmas]])
 
 
@@ -209,12 +248,12 @@ def _telling(p: list[np.ndarray], u: list[np.ndarray], sigmas: float) -> np.ndar
 Text = tuple[np.ndarray, bool, int | None, int]
 
 
-def learnt(texts: list[Text], prior: float, sigmas: float) -> Model:
+def learnt(texts: list[Text], prior: float, sigmas: float, most: int = FEATURES, least: int = LEAST) -> Model:
     """A model from sampled texts; without positives or unlabelled ones every score is the prior."""
     p, u = [f for f, pos, *_ in texts if pos], [f for f, pos, *_ in texts if not pos]
     if not p or not u:
         return Model(np.zeros(0, U), np.zeros(0), float(np.log(prior / (1 - prior))), 1.0, 0.0)
-    vocabulary = _telling(p, u, sigmas)
+    vocabulary = _telling(p, u, sigmas, most, least)
     w, b = nn_pu(Sparse(p, vocabulary), Sparse(u, vocabulary), len(vocabulary), prior)
     known = [(f, label) for f, pos, label, _ in texts if label is not None and not pos]
     slope, shift = 1.0, 0.0
@@ -224,7 +263,7 @@ def learnt(texts: list[Text], prior: float, sigmas: float) -> Model:
     return Model(vocabulary, w, b, float(slope), float(shift))
 
 
-def chosen_sigmas(texts: list[Text], prior: float, choices: tuple[float, ...] = SIGMAS) -> float:
+def chosen_sigmas(texts: list[Text], prior: float, choices: tuple[float, ...] = SIGMAS, most: int = FEATURES, least: int = LEAST) -> float:
     """The choice with the least log loss on labelled texts of inner folds, each scored by a model of the other folds;
     the first of equals."""
     folds = sorted({fold for *_, fold in texts})
@@ -232,7 +271,7 @@ def chosen_sigmas(texts: list[Text], prior: float, choices: tuple[float, ...] =
     for sigmas in choices:
         total = 0.0
         for fold in folds:
-            model = learnt([t for t in texts if t[3] != fold], prior, sigmas)
+            model = learnt([t for t in texts if t[3] != fold], prior, sigmas, most, least)
             known = [(f, label) for f, _, label, x in texts if x == fold and label is not None]
             if known:
                 s = Sparse([f for f, _ in known], model.vocabulary).times(model.weights) + model.offset
@@ -242,10 +281,12 @@ def chosen_sigmas(texts: list[Text], prior: float, choices: tuple[float, ...] =
     return min(choices, key=lambda c: loss[c])
 
 
-def fitted(docs: DataFrame, labels: DataFrame, positives: int = POSITIVES, unlabelled: int = UNLABELLED) -> Model:
-    """Fit on rows that aren't held out.
+def fitted(docs: DataFrame, labels: DataFrame, positives: int = POSITIVES, unlabelled: int = UNLABELLED, most: int = FEATURES, least: int = LEAST) -> Model:
+    """Fit on rows that aren't held out, with the ``most`` clearest features that are in ``least`` texts of the sample.
 
-    Labels that are null are none; of several for an id the highest counts.  Rows without an id are never learnt from.
+    Labels that are null are none; of several for an id the highest counts.  Rows without an id are never learnt from; of
+    an id with several rows the text with the least hash is.  The driver holds positives + unlabelled texts at most, of
+    each 8 bytes for each of its usable features, of which there are (FOLDS + 1) * most at most.
     """
     marks = labels.filter("doc_id is not null and toxic is not null").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     i = F.col("doc_id").cast("long").alias("doc_id")
@@ -259,10 +300,14 @@ def fitted(docs: DataFrame, labels: DataFrame, positives: int = POSITIVES, unlab
     fold = (F.crc32(F.col("doc_id").cast("string").cast("binary")) % FOLDS).cast("int")
     chosen = chosen.select("doc_id", F.struct("p", F.col("toxic").cast("int").alias("t"), fold.alias("fold"), "x").alias("mark"))
     texts = docs.select(i, F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")).join(F.broadcast(chosen), "doc_id")
-    rows = texts.select("text", "mark").mapInArrow(_distinct, "mark struct<p:boolean,t:int,fold:int,x:long>, f binary").collect()
-    rows.sort(key=lambda r: (r.mark.p, r.mark.x, len(r.f), bytes(r.f[:64])))
+    one = texts.groupBy("doc_id", "mark").agg(F.min_by("text", F.struct(F.xxhash64("text"), "text")).alias("text"))
+    mark = "mark struct<p:boolean,t:int,fold:int,x:long>"
+    sets = written(one.select("text", "mark").mapInArrow(_distinct, f"{mark}, f array<long>"), "feature-sets")
+    rows = sets.mapInArrow(_only(usable(sets, most, least)), f"{mark}, f binary").collect()
+    discard(sets)
+    rows.sort(key=lambda r: (r.mark.p, r.mark.x))
     sample = [(np.frombuffer(r.f, U), r.mark.p, r.mark.t, r.mark.fold) for r in rows]
-    return learnt(sample, prior, chosen_sigmas(sample, prior))
+    return learnt(sample, prior, chosen_sigmas(sample, prior, most=most, least=least), most, least)
 
 
 def _scored(model):
@@ -274,14 +319,16 @@ def _scored(model):
     return run
 
 
-def toxicity(docs: DataFrame, labels: DataFrame, positives: int = POSITIVES, unlabelled: int = UNLABELLED, threshold: float = THRESHOLD) -> DataFrame:
+def toxicity(
+    docs: DataFrame, labels: DataFrame, positives: int = POSITIVES, unlabelled: int = UNLABELLED, threshold: float = THRESHOLD, most: int = FEATURES, least: int = LEAST
+) -> DataFrame:
     """(doc_id, held_out, score, predicted), a row for each input row.
 
     Null and empty texts get the score of a text without known words.  Ids only choose folds: null ids are never
     learnt from, repeated ones keep a row each.  Labels: see :func:`fitted`; without any, every score is the prior's.
     Other columns are left out.  Empty input gives no rows.
     """
-    model = docs.sparkSession.sparkContext.broadcast(fitted(docs, labels, positives, unlabelled))
+    model = docs.sparkSession.sparkContext.broadcast(fitted(docs, labels, positives, unlabelled, most, least))
     thin = docs.select(F.col("doc_id").cast("long").alias("doc_id"), held_out(F.col("doc_id")).alias("held_out"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     out = thin.mapInArrow(_scored(model), "doc_id long, held_out boolean, score double")
     return out.withColumn("predicted", (F.col("score") >= threshold).cast("int"))

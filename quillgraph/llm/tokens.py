@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .shared import new_path, passing, tidy
+from .shared import HOT, new_path, passing, spread_join, tidy, written
 from .tokenize import loaded, version
 from .words import sliced
 
@@ -44,7 +44,7 @@ def token_counts(docs: DataFrame, tokenizer: str = MODEL, cache: str | None = No
 
     ``cache`` is a folder that is kept and shared between runs; without one, a new one in the shared folder is used.
     Null texts count as empty: no bytes, no tokens.  Ids are only carried along, so null and repeated ones are kept as
-    they are; equal texts are encoded once.  Empty input gives no rows.
+    they are; equal texts are encoded once, and a text of many rows is joined by many tasks.  Empty input gives no rows.
     """
     spark = docs.sparkSession
     own = cache is None
@@ -65,5 +65,6 @@ def token_counts(docs: DataFrame, tokenizer: str = MODEL, cache: str | None = No
         misses.write.mode("append").parquet(cache)
     if own:
         passing(spark, cache)
-    keys = docs.select(F.col(id_col).alias("doc_id"), F.octet_length(text).cast("long").alias("n_bytes"), digest)
-    return keys.join(stored(), "digest").select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"))
+    keys = written(docs.select(F.col(id_col).alias("doc_id"), F.octet_length(text).cast("long").alias("n_bytes"), digest), "digests")
+    hot = keys.groupBy("digest").agg(F.count("*").alias("n")).filter(F.col("n") > max(1, HOT * keys.count()))
+    return spread_join(keys.withColumn("_at", F.monotonically_increasing_id()), stored(), ["digest"], hot, ["_at"]).select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"))

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .shared import HOT, SALTS, bucket_of, buckets, discard, keyed, some, text_bytes, written
+from .shared import HOT, NULL_ID, SALTS, bucket_of, buckets, discard, keyed, some, spread_join, text_bytes, written
 from .words import MAX, grams, sliced, sliding, within, words
 
 ANCHOR = 8
@@ -236,12 +236,29 @@ def substring_dedup(docs: DataFrame, window: int = 20, id_col: str = "doc_id", t
     """(row, n_words, n_removed, spans, kept): each input row as a struct, its words, how many go, the removed runs of
     words as [start, end), and the text without them: as it stands, or with ``layout`` off its words joined by one blank.
 
+    Rows alike in id and text are worked on once, however many there are, and each gets the result.
+
     A null or empty text has no words.  Texts shorter than ``window`` words keep all.  Repeated or null ids: see
     :func:`shared.keyed`.  Any other columns travel untouched in ``row``.  Empty input gives no rows.
     """
+    base = keyed(docs, id_col, text_col)
+    copies = base.groupBy("did", "ver").agg(F.count("*").alias("n")).filter("n > 1")
+    if copies.isEmpty():
+        return _dedup(docs, base, window, text_col, bucket_bytes, layout)
+    copies = written(copies, "copies")
+    once = _dedup(docs, keyed(docs, id_col, text_col, alone=True), window, text_col, bucket_bytes, layout)
+    text = F.coalesce(F.col("row")[text_col].cast("string"), F.lit(""))
+    did = F.coalesce(F.col("row")[id_col].cast("long"), F.lit(NULL_ID))
+    once = once.select(did.alias("did"), F.xxhash64(text).alias("ver"), "n_words", "n_removed", "spans", "kept")
+    hot = copies.filter(F.col("n") > HOT * docs.count())
+    each = base.select("row", "did", "ver", F.monotonically_increasing_id().alias("_at"))
+    return spread_join(each, once, ["did", "ver"], hot, ["_at"]).select("row", "n_words", "n_removed", "spans", "kept")
+
+
+def _dedup(docs: DataFrame, base: DataFrame, window: int, text_col: str, bucket_bytes: int, layout: bool) -> DataFrame:
+    """The work of :func:`substring_dedup` on keyed rows, of which no two are alike in id and text."""
     from pyspark.sql.pandas.types import to_arrow_type
 
-    base = keyed(docs, id_col, text_col)
     n = buckets(text_bytes(docs, text_col), bucket_bytes)
     thin = base.select("did", "ver", "text")
     counted = lambda df: df.mapInArrow(_counts(window), "fp long, n long").groupBy("fp").agg(F.sum("n").alias("n")).filter("n > 1")

@@ -153,38 +153,40 @@ LETTERS = 64
 def _located(bucket: _Bucket, routes: pa.Table, window: int):
     """For each document a mask of the words that repeats cover.
 
-    A word is a letter by its hash; where an automaton finds a phrase's letters, its words' hashes are compared with
-    those of the phrase, 64 bits for each word.
+    A word is a letter by its hash; where an automaton finds a phrase's letters, 128 bits of hash of the words there are
+    compared with those of the phrase.
     """
     w = words(bucket.texts)
     line = np.full(len(w.start) + len(bucket.texts), ord("~"), np.uint8)  # a mark after each text, no letter
     line[np.arange(len(w.start)) + w.text_of()] = (w.hash % np.uint64(LETTERS)).astype(np.uint8) + 48
-    text, raw = line.tobytes().decode("ascii"), w.hash.tobytes()
+    text, one, two = line.tobytes().decode("ascii"), grams(w.hash, window), grams(w.hash, window, 77)
     marks = w.first[:-1] + np.arange(len(bucket.texts))  # where each text begins in the line
     doc = bucket.find(routes.column("did").to_numpy(), routes.column("ver").to_numpy())
     at = routes.column("at").to_numpy()
-    begin, place, lead = (marks[doc] + at).tolist(), (w.first[doc] + at).tolist(), routes.column("lead").to_numpy(False).tolist()
+    begins, places, leads = marks[doc] + at, w.first[doc] + at, routes.column("lead").to_numpy(False)
     cover = np.zeros(len(w.start) + 1, np.int32)
-    for low in range(0, len(begin), PHRASES):
-        phrases: dict[str, list[tuple[bytes, int]]] = {}
-        for s, i, first in zip(begin[low : low + PHRASES], place[low : low + PHRASES], lead[low : low + PHRASES], strict=True):
-            phrases.setdefault(text[s : s + window], []).append((raw[8 * i : 8 * (i + window)], s if first else -1))
-        auto = ahocorasick.Automaton()
-        for key, own in phrases.items():
-            auto.add_word(key, own)
+    for low in range(0, len(begins), PHRASES):
+        begin, place, lead = (x[low : low + PHRASES] for x in (begins, places, leads))
+        keys: dict[str, int] = {}
+        key = np.array([keys.setdefault(text[s : s + window], len(keys)) for s in begin.tolist()], np.int64)
+        auto = ahocorasick.Automaton(ahocorasick.STORE_INTS)
+        for letters, n in keys.items():
+            auto.add_word(letters, n)
         auto.make_automaton()
+        # the phrases of each key: one, but where words share letters
+        phrases = np.argsort(key, kind="stable")
+        first = np.searchsorted(key[phrases], np.arange(len(keys) + 1))
         found = auto.iter(text)
         while hits := list(islice(found, HITS)):
-            documents = np.searchsorted(marks, [e for e, _ in hits], "right") - 1
-            ends: list[int] = []
-            for (e, own), d in zip(hits, documents.tolist(), strict=True):
-                i = e - d - window + 1
-                mine = raw[8 * i : 8 * (i + window)]
-                for words_of, s in own:
-                    if words_of == mine and s != e - window + 1:
-                        ends.append(e - d)
-            np.add.at(cover, np.array(ends, np.int64) - window + 1, 1)
-            np.add.at(cover, np.array(ends, np.int64) + 1, -1)
+            e, k = np.array(hits, np.int64).T
+            n = first[k + 1] - first[k]
+            phrase = phrases[np.repeat(first[k] - np.cumsum(n) + n, n) + np.arange(n.sum())]
+            e = np.repeat(e, n)
+            end = e - np.searchsorted(marks, e, "right") + 1
+            mine, its = end - window + 1, place[phrase]
+            ok = (one[mine] == one[its]) & (two[mine] == two[its]) & ~(lead[phrase] & (begin[phrase] == e - window + 1))
+            np.add.at(cover, mine[ok], 1)
+            np.add.at(cover, end[ok] + 1, -1)
     mask = np.cumsum(cover)[:-1] > 0
     return [mask[a:b] for a, b in zip(w.first[:-1].tolist(), w.first[1:].tolist(), strict=True)]
 

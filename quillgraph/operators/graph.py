@@ -68,9 +68,9 @@ def components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     while not _stars(now):
         both = now.select("u", "v").unionAll(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        large = cut(both.join(low, "u").filter("v > u").select(F.col("m").alias("u"), "v").distinct())
+        large = cut(both.join(low, "u").filter("v > u").select(F.col("m").alias("u"), "v").distinct(), now)
         low = large.groupBy("v").agg(F.min("u").alias("m"))
-        now = cut(large.join(low, "v").select(F.col("m").alias("u"), F.explode(F.array("u", "v")).alias("v")).filter("u != v").distinct())
+        now = cut(large.join(low, "v").select(F.col("m").alias("u"), F.explode(F.array("u", "v")).alias("v")).filter("u != v").distinct(), large)
     return nodes.select("node_id").join(now, F.col("node_id") == F.col("v"), "left").select("node_id", F.coalesce("u", "node_id").alias("comp"))
 
 

@@ -398,3 +398,27 @@ STEP_TERMS = tuple(
     "scanning joining rejoining setupcode ssid password dataset".split()
 )
 NO_ACRONYMS = ("DUT", "TH", "THE", "AND", "FOR", "NOT")
+
+#: Names that stand for too much to search a graph by.
+GENERIC_NAMES = tuple("matter end start new old value type data field state mode status list set the and for with from this that".split())
+
+#: Words in headings by which chunks of a protocol chapter are known, by the name that stands for the chapter.
+CHAPTER_WORDS = {
+    "virtualcluster-sc": ("secure channel",),
+    "virtualcluster-idm": ("interaction model", "interaction data model"),
+    "virtualcluster-bdx": ("bulk data exchange",),
+    "virtualcluster-dd": ("commissioning", "device discovery"),
+    "virtualcluster-da": ("device attestation",),
+    "virtualcluster-ace": ("access control enforcement",),
+    "virtualcluster-mc": ("multicast",),
+    "virtualcluster-jf": ("joining fabric",),
+    "virtualcluster-jfadmin": ("joining fabric administrator",),
+    "virtualcluster-su": ("software update", "ota software update"),
+    "virtualcluster-rr": ("minimal resource requirements",),
+    "virtualcluster-gc": ("groupcast", "group communication"),
+    "virtualcluster-br": ("bridged device test plan",),
+    "virtualcluster-webrtc": ("webrtc transport test plan",),
+    "virtualcluster-pavsti": ("push av stream transport interop", "push av stream transport test plan"),
+    "virtualcluster-dt": ("device types test plan",),
+    "virtualcluster-sm": ("system model test plan",),
+}

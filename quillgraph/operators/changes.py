@@ -78,14 +78,16 @@ def kinds(text: str) -> list[str]:
 
 
 def row_change(text: Column) -> Column:
-    """What a changed table row is about: added or removed as a whole, or the column that changed."""
+    """What a changed table row's annotation says: a row that is new or gone by how it begins, else the first kind of cell
+    that changed, of conformance, access and type."""
+    start = F.upper(F.left(text, F.lit(9)))
     return (
-        F.when(text.rlike(r"^\s*(\[ADDED:|\+\|)") & ~text.rlike(r"\[(REMOVED|CHANGED):"), "added")
-        .when(text.rlike(r"^\s*(\[REMOVED:|-\|)") & ~text.rlike(r"\[(ADDED|CHANGED):"), "removed")
-        .when(text.rlike(V.CELL_CHANGES["conformance"]), "conformance")
-        .when(text.rlike(V.CELL_CHANGES["access"]), "access")
-        .when(text.rlike(V.CELL_CHANGES["type"]), "type")
-        .otherwise("row")
+        F.when(start.startswith("[ADDED"), "entity_added")
+        .when(start.startswith("[REMOVED"), "entity_removed")
+        .when(text.rlike(V.CELL_CHANGES["conformance"]), "conformance_changed")
+        .when(text.rlike(V.CELL_CHANGES["access"]), "access_changed")
+        .when(text.rlike(V.CELL_CHANGES["type"]), "type_changed")
+        .otherwise("row_changed")
     )
 
 

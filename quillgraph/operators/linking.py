@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from .. import vocab as V
 from ..functions.text import flat_name
+from .trigrams import contained
 
 _NONE = "array<string>"
 
@@ -108,7 +109,7 @@ def linked_protocol(test_cases: DataFrame, requirements: DataFrame, section_map:
     section) names, as part of a requirement's cleaned path; 2, words of the texts in headings; 3, a chapter that shares
     a word with the family's area.  Only requirements without a cluster count in 1 and 3.
 
-    The map has a row for each test case or title word, written by hand, so the contains join on it is bounded by it.
+    Title words and sections meet titles and paths by their grams, each different one once.
     """
     pairs = [F.lit(x) for kv in areas.items() for x in (kv[0], kv[1].replace("_", " ").lower())]
     t = test_cases.select("tc_id", _text("title").alias("title"), _text("purpose").alias("purpose"), _list("procedure_steps").alias("steps"), F.try_element_at(F.create_map(*pairs), prefix(F.col("tc_id"))).alias("area"))
@@ -118,9 +119,11 @@ def linked_protocol(test_cases: DataFrame, requirements: DataFrame, section_map:
     hits = None
     if section_map is not None:
         m = section_map.select(F.col("tc_id").alias("m_id"), F.col("word").alias("m_word"), F.lower("section").alias("m_section"))
-        sections = t.join(F.broadcast(m), (F.col("tc_id") == F.col("m_id")) | F.lower("title").contains(F.lower("m_word"))).select("tc_id", "m_section").distinct()
-        paths = free.select("path").distinct()
-        named = paths.join(F.broadcast(m.select("m_section").distinct()), F.col("path").contains(F.col("m_section")))
+        by_id = t.join(m, F.col("tc_id") == F.col("m_id")).select("tc_id", "m_section")
+        titles, spoken = t.select("tc_id", F.lower("title").alias("text")), m.select(F.lower("m_word").alias("needle"), "m_section")
+        by_word = contained(spoken.select("needle"), titles.select("text")).join(titles, "text").join(spoken, "needle").select("tc_id", "m_section")
+        sections = by_id.unionByName(by_word).distinct()
+        named = contained(m.select(F.col("m_section").alias("needle")), free.select(F.col("path").alias("text"))).select(F.col("needle").alias("m_section"), F.col("text").alias("path"))
         hits = sections.join(named, "m_section").join(free, "path").select("tc_id", "req_id", F.lit(1.0).alias("tier"))
     index = requirement_index(requirements).select("word", "req_id").distinct()
     text = F.lower(F.concat_ws(" ", "title", "purpose", F.array_join("steps", " ")))

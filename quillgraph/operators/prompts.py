@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .trigrams import either_way
 
 
 def sections_by_number(wanted: DataFrame, sections: DataFrame, budget: int = 6000) -> DataFrame:
@@ -55,12 +56,11 @@ def case_bodies(changes: DataFrame, cases: DataFrame, hits: DataFrame, most: int
 
 
 def existing_ids(changes: DataFrame, cases: DataFrame) -> DataFrame:
-    """(change_id, text): ids of test cases whose cluster's name holds the change's or is held by it, all by equal keys
-    first; only clusters, a small table, meet by name."""
-    names = cases.select(F.col("cluster").alias("of")).distinct().filter("of != ''")
-    want = changes.select("cluster").distinct().filter("cluster != ''")
-    a, b = F.lower("cluster"), F.lower("of")
-    pairs = want.join(F.broadcast(names), a.contains(b) | b.contains(a))
+    """(change_id, text): ids of test cases whose cluster's name holds the change's or is held by it, in any case; each
+    different name meets others once, by its grams."""
+    names = cases.select(F.col("cluster").alias("of"), F.lower("cluster").alias("b")).distinct().filter("of != ''")
+    want = changes.select("cluster", F.lower("cluster").alias("a")).distinct().filter("cluster != ''")
+    pairs = either_way(want.select("a"), names.select("b")).join(want, "a").join(names, "b").select("cluster", "of")
     ids = cases.groupBy(F.col("cluster").alias("of")).agg(F.array_sort(F.collect_set("tc_id")).alias("ids"))
     j = changes.select("change_id", "cluster").join(pairs, "cluster").join(ids, "of")
     return j.groupBy("change_id").agg(F.array_join(F.array_sort(F.array_distinct(F.flatten(F.collect_list("ids")))), ", ").alias("text"))

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import vectors as V
+from .lineage import cut
 
 EmbedFn = Callable[[pd.Series], pd.Series]
 
@@ -45,7 +46,8 @@ SCORES: dict[str, Callable[[Column], Column]] = {"cosine": lambda s: s, "distanc
 class VectorStore:
     """Entries (doc_id, text, metadata, embedding); vectors are scaled to length 1, so products are cosines.
 
-    Adding gives a new store; nothing is computed before a search or a save.
+    Adding gives a new store.  Entries without ids are written once to the shared folder with the ids they get, so that a
+    hit's id names the same text however often a plan is worked out.
     """
 
     SCHEMA = "doc_id string, text string, metadata map<string,string>, embedding array<double>"
@@ -55,14 +57,14 @@ class VectorStore:
         self.entries = entries if entries is not None else spark.createDataFrame([], self.SCHEMA)
 
     def add(self, entries: DataFrame) -> VectorStore:
-        """``entries``: text, embedding, and where wanted doc_id and metadata.  Ids that aren't given are numbers in the
-        order of the rows, after those there are."""
+        """``entries``: text, embedding, and where wanted doc_id and metadata.  Ids that aren't given are numbers that
+        rise with the rows, after those there are, with gaps between partitions."""
         cols = entries.columns
         if not {"text", "embedding"} <= set(cols):
             raise ValueError("entries need text and embedding")
         out = entries
         if "doc_id" not in cols:
-            out = out.withColumn("doc_id", F.format_string("doc_%06d", F.monotonically_increasing_id() + self.size()))
+            out = cut(out.withColumn("doc_id", F.format_string("doc_%06d", F.monotonically_increasing_id() + self.size())))
         if "metadata" not in cols:
             out = out.withColumn("metadata", F.create_map().cast("map<string,string>"))
         out = out.select(F.col("doc_id").cast("string").alias("doc_id"), "text", "metadata", V.normalised(F.col("embedding")).alias("embedding"))

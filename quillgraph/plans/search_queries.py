@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
+from ..operators import lists as L
 from ..operators import search as S
 from ..operators import trigrams as G
+from ..operators import vectors as V
+from ..operators.lineage import shared_dir
 from .catalog import query
 from .text_queries import table
 
@@ -126,3 +131,43 @@ _EGO_STEP = """h{0}r as (select f.seed, f.k, t.dst, t.d from h{1} f join lateral
 def graph_ego_pruned(spark, sf_dir):
     n, e = graph(spark, sf_dir)
     return S.ego(n.filter("node_type = 'requirement'"), n, e, hops=2, hub=50)
+
+
+_DOT = "round(list_dot_product(q.embedding::double[], c.embedding::double[]), 6)"
+
+
+def _vectors(spark, sf_dir):
+    e = table(spark, sf_dir, "embeddings")
+    q = e.filter("vec_id % 100 = 0").select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("q"), F.when(F.col("vec_id") % 300 != 0, F.concat(F.lit("Group "), F.col("label") % 10)).alias("cluster"))
+    return q, e.select("vec_id", F.col("embedding").alias("v"), F.concat(F.lit("group "), "label").alias("label"))
+
+
+@query(
+    "vec_filtered_topk",
+    f"""select query_id, vec_id, score, rank from (select *, row_number() over (partition by query_id order by score desc, vec_id)::int as rank from
+    (select q.vec_id as query_id, c.vec_id, {_DOT} as score from embeddings q join embeddings c
+      on q.vec_id % 300 = 0 or contains('group ' || c.label, 'group ' || (q.label % 10)) or contains('group ' || (q.label % 10), 'group ' || c.label) where q.vec_id % 100 = 0)) where rank <= 10""",
+)
+def vec_filtered_topk(spark, sf_dir):
+    q, v = _vectors(spark, sf_dir)
+    return V.search(V.with_filter(q, v), v).select("query_id", "vec_id", "score", "rank")
+
+
+@query(
+    "vec_lists_exact",
+    f"""select query_id, vec_id, score, rank from (select *, row_number() over (partition by query_id order by score desc, vec_id)::int as rank from
+    (select q.vec_id as query_id, c.vec_id, {_DOT} as score from embeddings q, embeddings c where q.vec_id % 100 = 0)) where rank <= 10""",
+)
+def vec_lists_exact(spark, sf_dir):
+    """The inverted lists in their exact mode: every vector is in one list, and all are searched."""
+    return _index(spark, sf_dir).search(_vectors(spark, sf_dir)[0], probes=None).select("query_id", "vec_id", "score", "rank")
+
+
+@query("vec_lists_probed")
+def vec_lists_probed(spark, sf_dir):
+    """Ten lists of each query; recall is measured in the tests."""
+    return _index(spark, sf_dir).search(_vectors(spark, sf_dir)[0], probes=10)
+
+
+def _index(spark, sf_dir):
+    return L.Lists.build(_vectors(spark, sf_dir)[1].select("vec_id", "v"), f"{shared_dir(spark)}/lists-{uuid.uuid4().hex}")

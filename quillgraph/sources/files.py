@@ -148,21 +148,24 @@ def processed(files: DataFrame, shared: list[dict], own: dict[str, list[dict]] |
 
     A rule's ``apply_to`` lists extensions.  A rule of an unknown type or without its settings is skipped and reported; the
     column ``rules_applied`` counts the others.
+
+    Each rule is a projection of its own over the one before, so the plan grows with the number of rules: the content
+    stands in a rule's result and in its other case, and spelt out in both it would double with each rule.
     """
     errors: list[str] = []
-    content, applied = F.coalesce("content", F.lit("")), F.lit(0)
+    out, applied = files.withColumn("content", F.coalesce("content", F.lit(""))), F.lit(0)
     for rules, source in [(shared, None), *[(v, k) for k, v in (own or {}).items()]]:
         for r in rules:
             try:
-                changed = RULES[r["type"]](content, r)
+                changed = RULES[r["type"]](F.col("content"), r)
             except (KeyError, ValueError, TypeError) as e:
                 errors.append(f"rule {r}: {type(e).__name__} {e}")
                 continue
             when = F.lit(True) if source is None else F.col("source_id") == source
             if r.get("apply_to"):
                 when = when & F.col("ext").isin(*[x.lstrip(".") for x in r["apply_to"]])
-            content, applied = F.when(when, changed).otherwise(content), applied + when.cast("int")
-    return files.withColumns({"content": content, "rules_applied": applied}), errors
+            out, applied = out.withColumn("content", F.when(when, changed).otherwise(F.col("content"))), applied + when.cast("int")
+    return out.withColumn("rules_applied", applied), errors
 
 
 #: The role that a source's documents play.

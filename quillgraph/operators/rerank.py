@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import vocab as V
-from ..functions.text import flat_name, tokens
+from ..functions.text import char_windows, flat_name, token_set, tokens
 
 WEIGHTS = V.WEIGHTS
 #: Names of a change or a rule, as they are and for comparison.
@@ -202,16 +205,108 @@ def top(df: DataFrame, group: list[str], score: str, key: str, n: int, digits: i
     return df.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= n)
 
 
-def common_tokens(tokens: DataFrame, n: int) -> DataFrame:
-    """The tokens in most documents: what takes the place of a stop list.  ``n`` rows."""
-    return tokens.groupBy("token").agg(F.count("*").alias("c")).orderBy(F.desc("c"), "token").limit(n).select("token")
+#: Bytes of the items' postings up to which they are sent to every task; beyond, tokens are joined.
+SMALL = 64 << 20
+#: Cells of a slice's table of chunks and items.
+CELLS = 1 << 22
 
 
-def token_dice(left: DataFrame, right: DataFrame, stop: DataFrame) -> DataFrame:
+def best_chunks(docs: DataFrame, items: DataFrame, size: int = 1000, overlap: int = 200, stop: tuple[str, ...] = V.STOP_WORDS, top_n: int | None = None, small: int = SMALL) -> DataFrame:
+    """(item_id, doc_id, pos, dice): for each item and document with a token in common the chunk with the highest Dice of
+    distinct tokens, to six digits, the first of equals; tokens in ``stop`` don't count on either side.
+
+    ``docs``: doc_id, text; ``items``: item_id, text.  With ``top_n`` only pairs that can be among an item's first so many by
+    Dice to two digits, then id, need come out, and some others.  Nulls count as empty.
+
+    A document's chunks and the items meet in the task that reads the document: the items' postings, whose size is measured
+    first, go to every task, so no row for a chunk and token is shuffled.  Beyond ``small`` bytes tokens are joined.
+    """
+    tokens_of = lambda c: F.array_except(token_set(c), _literal(stop))
+    windows = dealt(docs).select("doc_id", F.explode(F.array(char_windows(F.coalesce("text", F.lit("")), size, overlap))).alias("w"))
+    sets = items.select("item_id", tokens_of(F.coalesce("text", F.lit(""))).alias("t"))
+    weight = sets.agg(F.sum(F.aggregate("t", F.lit(0).cast("long"), lambda n, x: n + F.octet_length(x) + 24))).first()[0] or 0
+    if weight > small:
+        left = windows.select("doc_id", F.explode("w").alias("c")).select(F.struct("doc_id", F.col("c.start").alias("pos")).alias("lid"), F.explode(tokens_of(F.col("c.chunk"))).alias("token"))
+        right = sets.select(F.col("item_id").alias("rid"), F.explode("t").alias("token"))
+        d = token_dice(left, right).select(F.col("rid").alias("item_id"), "lid.doc_id", "lid.pos", "dice")
+        return best_chunk(d, ["item_id", "doc_id"], "dice", "pos")
+    rows = sets.filter(F.size("t") > 0).orderBy("item_id").collect()  # ``small`` bytes of tokens at most
+    words = sorted({w for r in rows for w in r.t})
+    place = {w: i for i, w in enumerate(words)}
+    pairs = np.array(sorted((place[w], i) for i, r in enumerate(rows) for w in r.t), np.int64).reshape(-1, 2)
+    start = np.searchsorted(pairs[:, 0], np.arange(len(words) + 1))
+    shared = docs.sparkSession.sparkContext.broadcast((words, start, pairs[:, 1], np.array([len(r.t) for r in rows], np.int64)))
+    id_types = [df.schema[c].dataType.simpleString() for df, c in ((items, "item_id"), (docs, "doc_id"))]
+    out = f"item int, doc_id {id_types[1]}, pos int, dice double"
+    thin = windows.select("doc_id", F.transform("w", lambda c: c.start).alias("pos"), F.transform("w", lambda c: tokens_of(c.chunk)).alias("t"))
+    found = thin.mapInArrow(_matched(shared, top_n), out) if len(rows) else docs.sparkSession.createDataFrame([], out)
+    numbers = docs.sparkSession.createDataFrame([(i, r.item_id) for i, r in enumerate(rows)], f"item int, item_id {id_types[0]}")
+    return found.join(F.broadcast(numbers), "item").select("item_id", "doc_id", "pos", "dice")
+
+
+def dealt(df: DataFrame) -> DataFrame:
+    """``df`` in as many partitions as there are cores where its files give fewer; large inputs have more and stay."""
+    n = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= n else df.repartition(n)
+
+
+def _matched(shared, top_n: int | None):
+    def run(batches):
+        words, start, item, n_item = shared.value
+        vocabulary, many = pa.array(words, pa.string()), len(n_item)
+        for b in batches:
+            lists, docs = b.column("t"), b.column("doc_id")
+            if not b.num_rows:
+                continue
+            chunks = lists.flatten()  # a list of tokens for each chunk
+            first = np.concatenate([[0], np.cumsum([len(x) for x in b.column("pos")])]).astype(np.int64)
+            pos = b.column("pos").flatten().to_numpy(False)
+            size = np.asarray(chunks.value_lengths().fill_null(0), np.int64) if len(chunks) else np.zeros(0, np.int64)
+            token = pc.index_in(chunks.flatten(), vocabulary).fill_null(-1).to_numpy(False)
+            edge = np.concatenate([[0], np.cumsum(size)])
+            out, step = [], max(1, CELLS // many)
+            lo = 0
+            while lo < b.num_rows:
+                hi = max(lo + 1, int(np.searchsorted(first, first[lo] + step, "right")) - 1)
+                c0, c1 = int(first[lo]), int(first[hi])
+                own = token[edge[c0] : edge[c1]]
+                chunk = np.repeat(np.arange(c1 - c0), size[c0:c1])[own >= 0]
+                own = own[own >= 0]
+                n = start[own + 1] - start[own]
+                hit = np.repeat(start[own] - np.cumsum(n) + n, n) + np.arange(n.sum())
+                both = np.bincount(np.repeat(chunk, n) * many + item[hit], minlength=(c1 - c0) * many).reshape(c1 - c0, many)
+                total = size[c0:c1, None] + n_item[None, :]
+                # in millionths, halves up
+                dice = (4_000_000 * both + total) // (2 * total)
+                for d in range(lo, hi):
+                    x, y = int(first[d]) - c0, int(first[d + 1]) - c0
+                    if x == y:
+                        continue
+                    best = dice[x:y].argmax(0)
+                    at = np.arange(many)
+                    some = np.flatnonzero((both[x:y] > 0).any(0))
+                    # a shared token that rounds to nothing still makes a pair: its first chunk
+                    zero = some[dice[x:y][best[some], some] == 0]
+                    best[zero] = (both[x:y][:, zero] > 0).argmax(0)
+                    out.append((some, np.full(len(some), d), pos[c0 + x + best[some]], dice[x:y][best[some], at[some]]))
+                lo = hi
+            if not out:
+                continue
+            i, d, p, m = (np.concatenate(x) for x in zip(*out, strict=True))
+            if top_n:
+                by_id = pc.rank(docs, sort_keys="ascending", null_placement="at_start", tiebreaker="dense").to_numpy(False)
+                order = np.lexsort((by_id[d], -((m + 5000) // 10000), i))
+                i, d, p, m = i[order], d[order], p[order], m[order]
+                keep = np.arange(len(i)) - np.searchsorted(i, i) < top_n
+                i, d, p, m = i[keep], d[keep], p[keep], m[keep]
+            yield pa.RecordBatch.from_arrays([pa.array(i, pa.int32()), docs.take(pa.array(d)), pa.array(p, pa.int32()), pa.array(m / 1e6)], ["item", "doc_id", "pos", "dice"])
+
+    return run
+
+
+def token_dice(left: DataFrame, right: DataFrame) -> DataFrame:
     """(lid, rid, dice) of all pairs with a common token, from (lid, token) and (rid, token): an equi-join on tokens, so
-    no cross join; the commonest tokens (``stop``, of fixed size) are left out on both sides."""
-    stop = F.broadcast(stop)
-    a, b = left.join(stop, "token", "left_anti"), right.join(stop, "token", "left_anti")
-    na, nb = a.groupBy("lid").agg(F.count("*").alias("na")), b.groupBy("rid").agg(F.count("*").alias("nb"))
-    both = a.join(b, "token").groupBy("lid", "rid").agg(F.count("*").alias("both"))
+    no cross join."""
+    na, nb = left.groupBy("lid").agg(F.count("*").alias("na")), right.groupBy("rid").agg(F.count("*").alias("nb"))
+    both = left.join(right, "token").groupBy("lid", "rid").agg(F.count("*").alias("both"))
     return both.join(na, "lid").join(nb, "rid").select("lid", "rid", F.round(2.0 * F.col("both") / (F.col("na") + F.col("nb")), 6).alias("dice"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from ..functions import text as T
+from .. import vocab as C
 from ..operators import batching as B
 from ..operators import rerank as K
 from ..operators import vectors as V
@@ -51,7 +51,7 @@ def vec_label_vote(spark, sf_dir):
 
 _CH = f"(select doc_id, st::int as pos, substr(t, st::int + 1, 1000) as chunk from (select doc_id, trim(text) as t, unnest(generate_series(0, greatest(length(trim(text)) - 1, 0), 800)) as st from {_D}) where length(t) > 0)"
 _FLAG = f"""with ct as (select doc_id, pos, unnest(list_distinct({_TOK.format(t="chunk")})) as token from {_CH}),
-  stop as (select token from ct group by token order by count(*) desc, token limit 40),
+  stop as (select unnest([{", ".join(f"'{w}'" for w in C.STOP_WORDS)}]) as token),
   a as (select * from ct where token not in (select token from stop)),
   b as (select * from (select item_id, unnest(list_distinct({_TOK.format(t="text")})) as token from benchmark) where token not in (select token from stop)),
   na as (select doc_id, pos, count(*) as na from a group by 1, 2), nb as (select item_id, count(*) as nb from b group by 1),
@@ -61,23 +61,18 @@ _FLAG = f"""with ct as (select doc_id, pos, unnest(list_distinct({_TOK.format(t=
   r as (select item_id, doc_id, pos, dice, row_number() over (partition by item_id order by round(dice, 2) desc, doc_id)::int as rank from best where n = 1)"""
 
 
-def _dice(spark, sf_dir):
-    chunks = docs(spark, sf_dir).select("doc_id", F.explode(T.char_windows(F.col("text"))).alias("c"))
-    left = chunks.select(F.struct("doc_id", F.col("c.start").alias("pos")).alias("lid"), F.explode(T.token_set(F.col("c.chunk"))).alias("token"))
-    right = table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("rid"), F.explode(T.token_set(F.col("text"))).alias("token"))
-    d = K.token_dice(left, right, K.common_tokens(left, 40))
-    return d.select(F.col("rid").alias("item_id"), "lid.doc_id", "lid.pos", "dice")
+def _items(spark, sf_dir):
+    return table(spark, sf_dir, "benchmark").select("item_id", "text")
 
 
 @query("flagship_retrieve_rerank", _FLAG + " select item_id, doc_id, pos, dice, rank from r where rank <= 5")
 def flagship_retrieve_rerank(spark, sf_dir):
-    best = K.best_chunk(_dice(spark, sf_dir), ["item_id", "doc_id"], "dice", "pos")
-    return K.top(best, ["item_id"], "dice", "doc_id", 5)
+    return K.top(K.best_chunks(docs(spark, sf_dir), _items(spark, sf_dir), top_n=5), ["item_id"], "dice", "doc_id", 5)
 
 
 @query("best_chunk_per_doc", _FLAG + " select item_id, doc_id, pos, dice from best where n = 1 and dice >= 0.2")
 def best_chunk_per_doc(spark, sf_dir):
-    return K.best_chunk(_dice(spark, sf_dir), ["item_id", "doc_id"], "dice", "pos").filter("dice >= 0.2")
+    return K.best_chunks(docs(spark, sf_dir), _items(spark, sf_dir)).filter("dice >= 0.2")
 
 
 @query(

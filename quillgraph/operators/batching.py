@@ -6,12 +6,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .ranges import before, numbered
+
 
 def renumbered(new: DataFrame, existing: DataFrame, group: list[str], order: list[str], number: str) -> DataFrame:
     """New items numbered on from the group's highest existing number."""
     top = existing.groupBy(*group).agg(F.max(number).alias("_top"))
-    w = Window.partitionBy(*group).orderBy(*order)
-    return new.join(top, group, "left").withColumn(number, F.coalesce("_top", F.lit(0)) + F.row_number().over(w)).drop("_top")
+    out = numbered(new, group, order, "_at").join(top, group, "left")
+    return out.withColumn(number, (F.coalesce("_top", F.lit(0)) + F.col("_at") + 1).cast("int")).drop("_top", "_at")
 
 
 def packed(df: DataFrame, group: str, order: list[str], size: str, budget: int, key: str) -> DataFrame:
@@ -42,8 +44,7 @@ def packed(df: DataFrame, group: str, order: list[str], size: str, budget: int,
 
 
 def paged(df: DataFrame, group: list[str], order: list[str], per_page: int) -> DataFrame:
-    w = Window.partitionBy(*group).orderBy(*order)
-    return df.withColumn("page", F.floor((F.row_number().over(w) - 1) / per_page))
+    return numbered(df, group, order, "page").withColumn("page", F.floor(F.col("page") / per_page))
 
 
 def last_turns(df: DataFrame, group: str, turn: str, n: int) -> DataFrame:
@@ -67,7 +68,7 @@ def relevant_first(df: DataFrame, group: str, order: list[str], relevant: str, e
 
 def global_numbers(df: DataFrame, prefix: str, order: list[str], name: str = "number") -> DataFrame:
     """Items of each prefix numbered from 0 in document order."""
-    return df.withColumn(name, F.row_number().over(Window.partitionBy(prefix).orderBy(*order)) - 1)
+    return numbered(df, [prefix], order, name).withColumn(name, F.col(name).cast("int"))
 
 
 def modal(df: DataFrame, group: str, value: str, order: str) -> DataFrame:
@@ -87,8 +88,6 @@ def suppressed(df: DataFrame, doc: str, order: str, path: str, pattern: str) ->
 
 def within_budget(df: DataFrame, group: str, order: list[str], text: str, budget: int, least: int = 200) -> DataFrame:
     """Texts in order up to a budget of characters; the last one is cut, and left out with ``least`` left or less."""
-    w = Window.partitionBy(group).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    left = F.lit(budget) - F.coalesce(F.sum(F.length(text)).over(w), F.lit(0))
-    df = df.withColumn("_left", left)
+    df = before(df, [group], order, {"_left": F.length(text)}).withColumn("_left", F.lit(budget) - F.col("_left"))
     fits = F.length(text) <= F.col("_left")
     return df.filter(fits | (F.col("_left") > least)).withColumn(text, F.when(fits, F.col(text)).otherwise(F.expr(f"left({text}, cast(_left as int))"))).drop("_left")

@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from .. import vocab as C
 from ..operators import batching as B
 from ..operators import rerank as K
 from ..operators import vectors as V
+from ..operators.ranges import before
 from .catalog import query
 from .text_queries import _D, _TOK, docs, table
 
@@ -147,6 +147,5 @@ def pagination(spark, sf_dir):
 
 @query("running_char_budget", "select doc_id, source, least(n_chars, greatest(20000 - before, 0))::bigint as taken from (select *, coalesce(sum(n_chars) over (partition by source order by doc_id rows between unbounded preceding and 1 preceding), 0) as before from documents) where before < 20000")
 def running_char_budget(spark, sf_dir):
-    w = Window.partitionBy("source").orderBy("doc_id").rowsBetween(Window.unboundedPreceding, -1)
-    d = table(spark, sf_dir, "documents").withColumn("before", F.coalesce(F.sum("n_chars").over(w), F.lit(0)))
+    d = before(table(spark, sf_dir, "documents").select("doc_id", "source", "n_chars"), ["source"], ["doc_id"], {"before": F.col("n_chars")})
     return d.filter("before < 20000").select("doc_id", "source", F.least("n_chars", 20000 - F.col("before")).alias("taken"))

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as T
 from ..operators import rules as R
+from ..sources.files import processed
 from .catalog import query
 
 _SPLIT = "regexp_split_to_array(lower(regexp_replace({t}, '([a-z])([A-Z])', '\\1 \\2', 'g')), '[^a-z0-9]+')"
@@ -183,3 +184,21 @@ def near_dup_160(spark, sf_dir):
 def html_heading_sections(spark, sf_dir):
     p = table(spark, sf_dir, "pages").withColumn("h", F.regexp_extract_all("html", F.lit("<h[1-6][^>]*>([^<]*)</h[1-6]>"), F.lit(1)))
     return p.filter(F.size("h") > 0).select("page_id", F.size("h").alias("n_headings"), F.col("h")[0].alias("first_heading"))
+
+
+_RULED = "regexp_replace(list_aggregate(list_filter(string_split(regexp_replace(text, '[0-9]+', '#', 'g'), chr(10)), lambda l: not regexp_matches(l, '[#@]{2}|http')), 'string_agg', chr(10)), '\\n{3,}', chr(10) || chr(10), 'g')"
+
+
+@query(
+    "cleaned_by_rules",
+    f"""with d as (select doc_id, source, lang, coalesce({_RULED}, '') as t from {_D}), l as (select *, string_split(t, chr(10)) as l from d),
+    r as (select doc_id, case when source = 'src1' then l[:len(l) - 1] when source = 'src2' and lang in ('en', 'de') then l[2:] else l end as l,
+      3 + (source = 'src1')::int + coalesce(source = 'src2' and lang in ('en', 'de'), false)::int as n from l)
+    select doc_id, sha256(array_to_string(l, chr(10))) as content_sha256, n as rules_applied from r""",
+)
+def cleaned_by_rules(spark, sf_dir):
+    """Shared rules, then those of two sources, one of them for some kinds of file only."""
+    shared = [{"type": "replace_regex", "pattern": "[0-9]+", "replacement": "#"}, {"type": "strip_regex", "pattern": "[#@]{2}|http"}, {"type": "normalize_whitespace"}]
+    own = {"src1": [{"type": "strip_last_lines", "count": 1}], "src2": [{"type": "strip_first_lines", "count": 1, "apply_to": ["en", ".de"]}]}
+    files = docs(spark, sf_dir).select("doc_id", F.col("text").alias("content"), F.col("source").alias("source_id"), F.col("lang").alias("ext"))
+    return processed(files, shared, own)[0].select("doc_id", F.sha2("content", 256).alias("content_sha256"), "rules_applied")

@@ -422,3 +422,42 @@ CHAPTER_WORDS = {
     "virtualcluster-dt": ("device types test plan",),
     "virtualcluster-sm": ("system model test plan",),
 }
+
+# Titles that are no content, roles of a test case's sub-sections, and patterns of specification HTML.
+SECTION_NUMBER = r"^\s*[\d]+(?:\.[\d]+)*\.?\s*"
+BOILERPLATE_TITLE = (
+    r"copyright|disclaimer|notice of use|license|revision history|table of contents|list of tables|list of figures"
+    r"|\btoc\b|participants|acronyms\s+and\s+abbreviations|abbreviations|definitions"
+)
+CHROME_IDS = ("header", "footer", "toc", "toctitle", "preamble")
+NOTE_CLASSES = ("admonitionblock", "note", "important", "warning", "tip", "caution")
+CSS_NOISE = r"(?:[a-zA-Z-]+:[^;{}\n]{2,80}[;{}]|%7C[A-Za-z+]|family=[A-Za-z+%:]|data:[a-z]+/[a-z]+;base64,)"
+CASE_HEADING = r"\[TC-[A-Z0-9_]+-[\d.]+\]?"
+CASE_ID = r"\[?(TC-[A-Z0-9_]+-[\d.]+)\]?"
+CASE_NUMBER = r"\bTC-([A-Z][A-Z0-9]*)-(\d+)\.(\d+)\b"
+CASE_ROLES = {
+    "purpose": "purpose",
+    "pics": "pics",
+    "pixit": "pixit",
+    "preconditions": "preconditions",
+    "precondition": "preconditions",
+    "required devices": "required_devices",
+    "required device": "required_devices",
+    "device topology": "device_topology",
+    "test setup": "test_setup",
+    "setup": "test_setup",
+    "test procedure": "test_procedure",
+    "procedure": "test_procedure",
+    "notes": "notes",
+    "notes/testing considerations": "notes",
+    "testing considerations": "notes",
+}
+
+# What a changed cluster section is told by, and the changes that are only numbers, contents or metadata.
+CLUSTER_HEADING = r"<h[23][^>]*id=\"ref_[^\"]*\"[^>]*>"
+DIFF_WRAP = (r"<(ins|del)[^>]*>\s*(<h[23])", r"(</h[23]>)\s*</(ins|del)>")
+DIFF_NUMBER = r"<(ins|del)[^>]*>\s*\[[\d.]+\]\s*</(ins|del)>"
+DIFF_CONTENTS = r"<a\s[^>]*>\s*<(ins|del)[^>]*>\s*\d+(?:\.\d+)*\.?\s*</(ins|del)>"
+DIFF_METADATA = r"<(ins|del)[^>]*>\s*(?:[0-9a-f]{8,40}|20\d{2}-\d{2}-\d{2}[\s\d:+-]*)\s*</(ins|del)>"
+DIFF_TEXT = r"<(?:ins|del)[^>]*>(.*?)</(?:ins|del)>"
+FEW_DIFFS = 10

@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import ids as I
+from ..operators import merge as M
 from ..sources import plan_html as P
 from ..sources import revised as R
 from .catalog import query
@@ -165,3 +166,36 @@ def cases_renumbered(spark, sf_dir):
     items = p.select("p_partkey", F.when(none, F.col("p_name")).otherwise(F.concat(F.lit("["), own, F.lit("] "), "p_name")).alias("title"), F.when(none, "TC-B1-1.1").otherwise(F.concat(own, F.lit(" after "), own, F.lit("0"))).alias("body"))
     existing = table(spark, sf_dir, "supplier").select(F.concat(F.lit("TC-B"), 1 + F.col("s_suppkey") % 25, F.lit("-"), "s_nationkey", F.lit("."), "s_suppkey").alias("tc_id"))
     return I.renumbered_cases(items, existing, "p_partkey", "title", "body")
+
+
+_GROUPS = """s as (select distinct o_custkey as f, l_orderkey as key, l_partkey % 25 as entity, l_returnflag || l_linenumber as step from lineitem join orders on o_orderkey = l_orderkey),
+    links as (select distinct a.key as x, b.key as y from s a join s b using (f, entity, step)),
+    r as (select o_orderkey as key, o_orderkey as c from orders union select r.key, y from r join links on x = c),
+    g as (select key, min(c) as comp from r group by key),
+    z as (select g.key, comp, length(o_orderpriority) as prefer, (select count(*) from s where s.key = g.key) as n_scopes from g join orders on o_orderkey = g.key),
+    m as (select key, first_value(key) over (partition by comp order by prefer, n_scopes desc, key) as survivor, n_scopes from z)"""
+
+
+def _proposals(spark, sf_dir):
+    """(proposals, scopes): an order proposes for its customer what its line items do."""
+    o, li = table(spark, sf_dir, "orders"), table(spark, sf_dir, "lineitem")
+    proposals = o.select(F.col("o_orderkey").alias("key"), F.col("o_custkey").alias("family"), F.length("o_orderpriority").alias("prefer"))
+    return proposals, li.select(F.col("l_orderkey").alias("key"), (1000 * F.col("l_linenumber") + F.col("l_partkey") % 25).alias("at"), (F.col("l_partkey") % 25).alias("entity"), F.concat("l_returnflag", "l_linenumber").alias("step"))
+
+
+@query("proposals_merged", f"with recursive {_GROUPS} select key, survivor, n_scopes::bigint as n_scopes from m")
+def proposals_merged(spark, sf_dir):
+    """Which order of its customer each order is merged into."""
+    return M.overlap_groups(*_proposals(spark, sf_dir))
+
+
+@query(
+    "merged_scopes",
+    f"""with recursive {_GROUPS},
+    p as (select survivor, l_partkey % 25 as entity, l_returnflag || l_linenumber as step, min((l_orderkey <> survivor, l_orderkey, 1000 * l_linenumber + l_partkey % 25)) as w from lineitem join m on key = l_orderkey group by 1, 2, 3)
+    select survivor, row_number() over (partition by survivor order by w, entity, step) - 1 as at, entity, step, w[2] as key from p""",
+)
+def merged_scopes(spark, sf_dir):
+    """What the orders that are left do."""
+    proposals, scopes = _proposals(spark, sf_dir)
+    return M.merged_scopes(M.overlap_groups(proposals, scopes), scopes)

@@ -24,6 +24,7 @@ from .html import _VOID, SKIP
 #: Pages parsed before their rows are handed on.
 SLICE = 32
 
+_BLANKS, _LINES = re.compile(r"[ \t]+"), re.compile(r"\n{3,}")
 _HEADING = re.compile(r"h[1-6]$")
 _SECT = re.compile(r"sect[1-6]$")
 _NUMBER, _BOILERPLATE = re.compile(V.SECTION_NUMBER), re.compile(V.BOILERPLATE_TITLE, re.I)
@@ -47,10 +48,10 @@ _ENDS_P = {"p", "ul", "ol", "dl", "table", "blockquote", "div"} | _HEADINGS
 class Node:
     """A tag with its attributes and what it holds: nodes and strings."""
 
-    __slots__ = ("tag", "attrs", "up", "inside")
+    __slots__ = ("tag", "attrs", "up", "inside", "noise")
 
-    def __init__(self, tag: str, attrs: dict, up: Node | None) -> None:
-        self.tag, self.attrs, self.up, self.inside = tag, attrs, up, []
+    def __init__(self, tag: str, attrs: dict, up: Node | None, noise: bool = False) -> None:
+        self.tag, self.attrs, self.up, self.inside, self.noise = tag, attrs, up, [], noise
 
     def classes(self) -> list[str]:
         return (self.attrs.get("class") or "").split()
@@ -79,17 +80,30 @@ class Node:
                 rest += x.inside[::-1]
 
     def text(self, without: Node | None = None) -> str:
-        joined = " ".join(s for s in self.strings(without))
-        return re.sub(r"\n{3,}", "\n\n", re.sub(r"[ \t]+", " ", unicodedata.normalize("NFKC", joined))).strip()
+        joined = " ".join(self.strings(without))
+        if not joined.isascii():
+            joined = unicodedata.normalize("NFKC", joined)
+        if "  " in joined or "\t" in joined:
+            joined = _BLANKS.sub(" ", joined)
+        return (_LINES.sub("\n\n", joined) if "\n\n\n" in joined else joined).strip()
 
     def is_section(self) -> bool:
         return self.tag == "div" and any(_SECT.match(c) for c in self.classes())
 
 
+def _chrome(n: Node) -> bool:
+    return n.attrs.get("id") in V.CHROME_IDS or (n.tag == "a" and "anchor" in n.classes())
+
+
 class _Tree(HTMLParser):
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
         self.at = self.root = Node("", {}, None)
+        self.boxes: list[Node] = []
+
+    def updatepos(self, i, j):
+        """Lines and columns aren't asked for."""
+        return j
 
     def _close(self, tags: set[str], within: set[str]) -> None:
         n = self.at
@@ -105,7 +119,11 @@ class _Tree(HTMLParser):
         if tag in _CLOSES:
             self._close(*_CLOSES[tag])
         n = Node(tag, dict(attrs), self.at)
-        self.at.inside.append(n)
+        n.noise = self.at.noise or (tag in SKIP) or bool(attrs and _chrome(n))
+        if not n.noise:
+            self.at.inside.append(n)
+            if tag == "div" and n.is_section():
+                self.boxes.append(n)
         if tag not in _VOID:
             self.at = n
 
@@ -125,21 +143,12 @@ class _Tree(HTMLParser):
         self.at.inside.append(data)
 
 
-def _noise(n: Node) -> bool:
-    return n.tag in SKIP or n.attrs.get("id") in V.CHROME_IDS or (n.tag == "a" and "anchor" in n.classes())
-
-
-def tree(html: str | None) -> Node:
-    """The page without styles, scripts, anchors and page chrome."""
+def tree(html: str | None) -> tuple[Node, list[Node]]:
+    """The page without styles, scripts, anchors and page chrome, and its section containers in order."""
     parser = _Tree()
     parser.feed(html or "")
     parser.close()
-    rest = [parser.root]
-    while rest:
-        n = rest.pop()
-        n.inside = [x for x in n.inside if isinstance(x, str) or not _noise(x)]
-        rest += n.nodes()
-    return parser.root
+    return parser.root, parser.boxes
 
 
 def _styles(text: str) -> bool:
@@ -149,9 +158,11 @@ def _styles(text: str) -> bool:
 
 def table_rows(table: Node) -> tuple[list[str], list[list[str]]]:
     """Headers, those of its ``thead``, and rows with a cell that says something, those of its ``tbody`` if it has one."""
-    head, body = table.all("thead"), table.all("tbody")
-    rows = [[c.text() for c in r.all("td", "th")] for r in (body[0] if body else table).all("tr")]
-    return [c.text() for c in head[0].all("th", "td")] if head else [], [r for r in rows if any(r)]
+    inside = list(table.below())
+    head, body = (next((n for n in inside if n.tag == t), None) for t in ("thead", "tbody"))
+    lines = body.all("tr") if body else [n for n in inside if n.tag == "tr"]
+    rows = [[c.text() for c in r.all("td", "th")] for r in lines]
+    return [c.text() for c in head.all("th", "td")] if head else [], [r for r in rows if any(r)]
 
 
 def _blocks(inside: list, own: Node | None) -> list[dict]:
@@ -200,9 +211,8 @@ def _following(heading: Node) -> list:
     return out
 
 
-def _sections(root: Node) -> list[tuple[Node | None, Node, str, list[str]]]:
+def _sections(root: Node, boxes: list[Node]) -> list[tuple[Node | None, Node, str, list[str]]]:
     """(container, heading, title, path) of each section."""
-    boxes = [n for n in root.below() if n.is_section()]
     if boxes:
         found = [(b, next((n for n in b.nodes() if _HEADING.match(n.tag)), None) or next((n for n in b.below() if _HEADING.match(n.tag)), None)) for b in boxes]
     else:
@@ -222,7 +232,7 @@ def _sections(root: Node) -> list[tuple[Node | None, Node, str, list[str]]]:
 
 def section_rows(html: str | None) -> list[dict]:
     out = []
-    for box, heading, title, path in _sections(tree(html)):
+    for box, heading, title, path in _sections(*tree(html)):
         blocks = _blocks(box.inside, heading) if box else _blocks(_following(heading), None)
         if blocks:
             name = heading.attrs.get("id") or (box.attrs.get("id") if box else None) or ""
@@ -238,27 +248,36 @@ def _step(cells: list[str]) -> dict:
     return {"step": cells[0], "ref": "", "pics": "", "action": " | ".join(cells[1:]), "expected": ""}
 
 
-def _case(box: Node | None) -> dict:
-    """The fields that the sub-sections of a test case fill; those of a test case within it are that one's."""
+def _owned(boxes: list[Node], cases: set[int]) -> dict[int, list[tuple[Node, Node]]]:
+    """(container, heading) of the sub-sections of each test case; those of a test case within another are the inner one's."""
+    owner: dict[int, int] = {}
+    found: dict[int, list[tuple[Node, Node]]] = {c: [] for c in cases}
+    for sub in boxes:
+        n = sub.up
+        while n and id(n) not in owner:
+            n = n.up
+        case = owner[id(sub)] = id(sub) if id(sub) in cases else owner[id(n)] if n else 0
+        heading = next((x for x in sub.nodes() if _HEADING.match(x.tag)), None)
+        if case and id(sub) not in cases and heading:
+            found[case].append((sub, heading))
+    return found
+
+
+def _case(subs: list[tuple[Node, Node]]) -> dict:
+    """The fields that the sub-sections of a test case fill."""
     out = {"purpose": "", "pics": [], "pixit": [], "preconditions": [], "required_devices": [], "device_topology": "", "test_setup": "", "test_procedure": [], "notes": []}
-    rest = [n for n in box.nodes()][::-1] if box else []
-    while rest:
-        sub = rest.pop()
-        heading = next((n for n in sub.nodes() if _HEADING.match(n.tag)), None) if sub.is_section() else None
-        title = heading.text() if heading else ""
-        if _CASE.search(title):
-            continue
-        rest += sub.nodes()[::-1]
-        role = V.CASE_ROLES.get(title.lower())
+    for sub, heading in subs:
+        role = V.CASE_ROLES.get(heading.text().lower())
         if not role:
             continue
-        text, tables = sub.text(heading), sub.all("table")
-        items = [li.text() for li in sub.all("li")]
-        rows = table_rows(tables[0])[1] if tables else []
+        table = next((n for n in sub.below() if n.tag == "table"), None) if role in ("test_procedure", "required_devices") else None
+        rows = table_rows(table)[1] if table else []
+        items = [] if table else [li.text() for li in sub.all("li")]
+        text = "" if table else sub.text(heading)
         if role == "test_procedure":
-            out[role] = [_step(r) for r in rows if len(r) >= 2] if tables else [_step(["", x]) for x in items or [text]]
+            out[role] = [_step(r) for r in rows if len(r) >= 2] if table else [_step(["", x]) for x in items or [text]]
         elif role == "required_devices":
-            out[role] = [{"name": r[1], "description": r[2] if len(r) > 2 else ""} for r in rows if len(r) >= 2] if tables else [{"name": text, "description": ""}]
+            out[role] = [{"name": r[1], "description": r[2] if len(r) > 2 else ""} for r in rows if len(r) >= 2] if table else [{"name": text, "description": ""}]
         elif isinstance(out[role], list):
             lines = text.split() if role == "pics" else [s.strip() for s in text.splitlines()]
             out[role] = [x for x in items or lines if x and not (role == "preconditions" and x == ".")]
@@ -269,11 +288,13 @@ def _case(box: Node | None) -> dict:
 
 def case_rows(html: str | None) -> list[dict]:
     out = []
-    for box, _, title, path in _sections(tree(html)):
-        if _CASE.search(title):
-            fields = _case(box)
-            said = [v if isinstance(v, str) else " ".join(x for x in v.values() if x) for f in fields.values() for v in (f if isinstance(f, list) else [f])]
-            out.append({"test_case_id": _CASE_ID.search(title)[1].upper(), "title": title, "path": path[:-1], "all_text": "\n\n".join([title, *[x for x in said if x]]), **fields})
+    root, boxes = tree(html)
+    found = [(box, title, path) for box, _, title, path in _sections(root, boxes) if _CASE.search(title)]
+    subs = _owned(boxes, {id(box) for box, _, _ in found if box})
+    for box, title, path in found:
+        fields = _case(subs.get(id(box), []))
+        said = [v if isinstance(v, str) else " ".join(x for x in v.values() if x) for f in fields.values() for v in (f if isinstance(f, list) else [f])]
+        out.append({"test_case_id": _CASE_ID.search(title)[1].upper(), "title": title, "path": path[:-1], "all_text": "\n\n".join([title, *[x for x in said if x]]), **fields})
     return out
 
 

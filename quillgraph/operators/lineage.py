@@ -40,6 +40,14 @@ def cut(df: DataFrame, *before: DataFrame) -> DataFrame:
     return out
 
 
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new path in the shared folder, deleted when the application ends."""
+    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    p, fs = _hadoop(spark, path)
+    fs.deleteOnExit(p)
+    return path
+
+
 def discard(*tables: DataFrame) -> None:
     """Delete tables made by :func:`cut` that no later plan reads."""
     for df in tables:

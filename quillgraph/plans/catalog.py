@@ -25,7 +25,7 @@ def query(name: str, sql: str | None = None):
 
 def _load() -> None:
     """The query modules register themselves on import."""
-    from . import domain_queries, graph_queries, parsing_queries, retrieval_queries, search_queries, source_queries, spec_queries, text_queries  # noqa: F401
+    from . import domain_queries, graph_queries, parsing_queries, request_queries, retrieval_queries, search_queries, source_queries, spec_queries, text_queries  # noqa: F401
 
 
 def queries() -> dict[str, Query]:

@@ -25,7 +25,7 @@ def _with_digits(texts):
 )
 def extraction_cached(spark, sf_dir):
     """Sentences with digits, where the texts of labelled documents were done in an earlier pass."""
-    d, path = docs(spark, sf_dir).select("doc_id", "text"), scratch(spark, "extracted")
+    d, path = docs(spark, sf_dir).select("doc_id", "text", C.digest(["text"]).alias("_digest")), scratch(spark, "extracted")
     labelled = d.join(table(spark, sf_dir, "labels").select("doc_id"), "doc_id", "left_semi")
     C.through(labelled, ["text"], _with_digits, path, "1", ["doc_id"])
     now = C.through(d, ["text"], _with_digits, path, "1", ["doc_id"])

@@ -59,19 +59,21 @@ def reachable(seeds: DataFrame, edges: DataFrame, hops: int) -> DataFrame:
 
 
 def components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
-    """(node_id, comp): the least id reachable, by large and small stars in turn until only stars are left; lineage is cut each round."""
+    """(node_id, comp): the least id reachable, by large and small stars in turn until only stars are left; lineage is cut each round.
+
+    Joins are by merge: tables of ids are small on disk for what they would take as broadcasts in the driver."""
     ids = nodes.select("node_id").distinct()
     now = edges.filter("src != dst").select(F.least("src", "dst").alias("u"), F.greatest("src", "dst").alias("v")).distinct()
     for end in ("u", "v"):
-        now = now.join(ids.withColumnRenamed("node_id", end), end, "left_semi")
+        now = now.join(ids.withColumnRenamed("node_id", end).hint("merge"), end, "left_semi")
     now = cut(now)
     while not _stars(now):
         both = now.select("u", "v").unionAll(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        large = cut(both.join(low, "u").filter("v > u").select(F.col("m").alias("u"), "v").distinct(), now)
+        large = cut(both.join(low.hint("merge"), "u").filter("v > u").select(F.col("m").alias("u"), "v").distinct(), now)
         low = large.groupBy("v").agg(F.min("u").alias("m"))
-        now = cut(large.join(low, "v").select(F.col("m").alias("u"), F.explode(F.array("u", "v")).alias("v")).filter("u != v").distinct(), large)
-    return nodes.select("node_id").join(now, F.col("node_id") == F.col("v"), "left").select("node_id", F.coalesce("u", "node_id").alias("comp"))
+        now = cut(large.join(low.hint("merge"), "v").select(F.col("m").alias("u"), F.explode(F.array("u", "v")).alias("v")).filter("u != v").distinct(), large)
+    return nodes.select("node_id").join(now.hint("merge"), F.col("node_id") == F.col("v"), "left").select("node_id", F.coalesce("u", "node_id").alias("comp"))
 
 
 def _stars(edges: DataFrame) -> bool:

@@ -9,15 +9,14 @@ from .graph import components
 from .lineage import cut
 from .ranges import numbered
 
-#: Tasks over which the rows of one key are dealt in joins with a row for each key.
-SALTS = 16
-
 
 def spread(many: DataFrame, one: DataFrame, on: list[str], how: str = "inner") -> DataFrame:
-    """``many`` joined with ``one``, which has a row for each key; a frequent key's rows are dealt to 16 tasks."""
-    dealt = one.withColumn("_salt", F.explode(F.array(*[F.lit(i) for i in range(SALTS)])))
-    salted = many.withColumn("_salt", F.pmod(F.xxhash64(*many.columns), F.lit(SALTS)).cast("int"))
-    return salted.join(dealt, [*on, "_salt"], how).drop("_salt")
+    """``many`` joined with ``one``, which has a row for each key, by a merge in shuffled partitions.
+
+    Never by broadcast: a Parquet table's size on disk says little of the memory that its rows take in the driver.  A
+    partition that a frequent key makes large is split by adaptive execution.
+    """
+    return many.join(one.hint("merge"), on, how)
 
 
 def overlap_groups(proposals: DataFrame, scopes: DataFrame) -> DataFrame:
@@ -37,7 +36,7 @@ def overlap_groups(proposals: DataFrame, scopes: DataFrame) -> DataFrame:
     edges = links.filter("key <> low").select(F.col("key").alias("src"), F.col("low").alias("dst")).distinct()
     group = components(proposals.select(F.col("key").alias("node_id")), edges).toDF("key", "comp")
     sizes = held.groupBy("key").agg(F.count("*").alias("n_scopes"))
-    of = proposals.select("key", "prefer").join(group, "key").join(sizes, "key", "left").fillna(0, ["n_scopes"])
+    of = proposals.select("key", "prefer").join(group.hint("merge"), "key").join(sizes.hint("merge"), "key", "left").fillna(0, ["n_scopes"])
     of = cut(of)
     best = of.groupBy("comp").agg(F.min_by("key", F.struct(F.col("prefer").isNull(), "prefer", -F.col("n_scopes"), "key")).alias("survivor"))
     return spread(of, best, ["comp"]).select("key", "survivor", "n_scopes")

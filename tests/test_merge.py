@@ -59,3 +59,14 @@ def test_one_scope_shared_by_all_and_none_at_all(spark):
     none = spark.createDataFrame([], "key long, at int, entity string, step string")
     assert [tuple(r) for r in M.overlap_groups(p, none).collect()] == [(1, 1, 0)]
     assert M.overlap_groups(p.filter("false"), none).count() == M.merged_scopes(M.overlap_groups(p, none), none).count() == 0
+
+
+def test_no_table_is_built_in_the_driver(spark):
+    many = spark.createDataFrame([(k % 3, k) for k in range(30)], "key long, at long")
+    one = spark.createDataFrame([(k, f"f{k}") for k in range(3)], "key long, family string")
+    joined = M.spread(many, one, ["key"])
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    assert joined.count() == 30 and "Broadcast" not in plan and "Generate" not in plan
+    p = spark.createDataFrame([(k, "A", 1) for k in range(9)], "key long, family string, prefer int")
+    s = spark.createDataFrame([(k, 0, "e", "s") for k in range(9)], "key long, at int, entity string, step string")
+    assert "Broadcast" not in M.overlap_groups(p, s)._jdf.queryExecution().executedPlan().toString()

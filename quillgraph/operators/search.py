@@ -97,11 +97,19 @@ def resolved_ids(names: DataFrame, nodes: DataFrame) -> DataFrame:
     """(name, node_id, tier): the node that a name stands for: 1 its id, 2 its id in any case, 3 the shortest id that begins
     with it, 4 the shortest id that holds it, both in any case; null without any.  Equals go by id."""
     n = names.select("name").filter("name is not null and name != ''").distinct().withColumn("needle", F.lower("name"))
-    ids = nodes.select("node_id").distinct().withColumn("text", F.lower("node_id"))
-    hits = trigrams.contained(n.select("needle"), ids.select("text")).join(n, "needle").join(ids, "text")
-    tier = F.when(F.col("node_id") == F.col("name"), 1).when(F.col("text") == F.col("needle"), 2).when(F.col("text").startswith(F.col("needle")), 3).otherwise(4)
-    best = hits.groupBy("name").agg(F.min(F.struct(tier.alias("tier"), F.length("node_id").alias("l"), "node_id")).alias("m"))
-    return n.select("name").join(best, "name", "left").select("name", "m.node_id", "m.tier")
+    n, ids = cut(n), cut(nodes.select("node_id").distinct().withColumn("text", F.lower("node_id")))
+    one = n.join(ids.select(F.col("node_id").alias("name")), "name").select("name", F.struct(F.lit(1).alias("tier"), F.length("name").alias("l"), F.col("name").alias("node_id")).alias("one"))
+    # beginnings of ids, of lengths that names have, with the best id of each: no name meets more than one row
+    sizes = n.agg(F.sort_array(F.collect_set(F.length("needle"))).alias("s")).first()["s"]  # as many as there are lengths of names
+    starts = ids.select("node_id", "text", F.explode(F.filter(F.array(*[F.lit(s) for s in sizes]).cast("array<int>"), lambda s: s <= F.length("text"))).alias("s"))
+    tier = F.when(F.length("text") == F.col("s"), 2).otherwise(3)
+    starts = starts.groupBy(F.substring("text", F.lit(1), F.col("s")).alias("needle")).agg(F.min(F.struct(tier.alias("tier"), F.length("node_id").alias("l"), "node_id")).alias("two"))
+    begun = cut(n.join(one, "name", "left").join(starts, "needle", "left").select("name", "needle", F.coalesce("one", "two").alias("m")))
+    rest = begun.filter("m is null").select("name", "needle")
+    hits = trigrams.contained(rest.select("needle"), ids.select("text")).join(ids, "text")
+    held = hits.groupBy("needle").agg(F.min(F.struct(F.lit(4).alias("tier"), F.length("node_id").alias("l"), "node_id")).alias("m"))
+    best = begun.filter("m is not null").select("name", "m").unionByName(rest.join(held, "needle", "left").select("name", "m"))
+    return best.select("name", "m.node_id", "m.tier")
 
 
 def prefix_of(names: DataFrame, texts: DataFrame) -> DataFrame:

@@ -159,3 +159,15 @@ def test_ego_with_a_hub(spark):
     for hops, fan, hub in ((2, 20, 50), (4, 2, 500)):
         got = {tuple(x) for x in S.ego(spark.createDataFrame([(s,) for s in seeds], "node_id string"), n, e, hops, fan, hub).collect()}
         assert got == {t for s in seeds for t in plain_ego(s, nodes, edges, hops, fan, hub)}
+
+
+def test_long_needles_meet_few_texts(spark):
+    from pyspark.sql import functions as F
+
+    from quillgraph.operators import trigrams
+
+    texts = spark.range(2000).select("id", F.concat(F.lit("order tc::"), 10**11 + F.col("id") * 7919).alias("text"))
+    asked = texts.select(F.lit(12).alias("size"), F.xxhash64(F.right("text", F.lit(12))).alias("gram"))
+    assert trigrams._postings(texts, asked).groupBy("gram").count().agg(F.max("count")).first()[0] == 1
+    pairs = trigrams.contained(texts.select(F.right("text", F.lit(14)).alias("needle")), texts.select("text"))
+    assert pairs.count() == 2000 and pairs.filter("not contains(text, needle)").isEmpty()

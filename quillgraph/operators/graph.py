@@ -124,10 +124,12 @@ def coverage(nodes: DataFrame, edges: DataFrame, most: int | None = 3, reading:
     reqs = nodes.filter("node_type in ('requirement', 'behavior_rule')").select(F.col("node_id").alias("req_id"), "cluster")
     tests = nodes.filter("node_type = 'test_case'").select(F.col("node_id").alias("tc_id"), key(F.col("cluster")).alias("k"))
     points = edges.filter(F.col("edge_type").isin(*kinds)).select(F.col("src").alias("tc_id"), F.col("dst").alias("to")).join(tests, "tc_id").distinct()
-    direct = reqs.join(points, F.col("req_id") == F.col("to")).select("req_id", "tc_id")
+    # no later test can be among a requirement's first, so each entity and cluster, and each requirement, keeps so many
+    first = lambda df, by: df.withColumn("_n", F.row_number().over(Window.partitionBy(*by).orderBy("tc_id"))).filter(F.col("_n") <= most).drop("_n") if most else df
+    direct = reqs.join(first(points, ["to"]), F.col("req_id") == F.col("to")).select("req_id", "tc_id")
     entity = nodes.filter("node_type != 'cluster'").select(F.col("node_id").alias("to"))
     about = edges.filter("edge_type in ('implements', 'references')").select(F.col("src").alias("req_id"), F.col("dst").alias("to")).join(entity, "to")
-    shared = reqs.withColumn("k", key(F.col("cluster"))).join(about, "req_id").join(points, ["to", "k"]).select("req_id", "tc_id")
+    shared = reqs.withColumn("k", key(F.col("cluster"))).join(about, "req_id").join(first(points, ["to", "k"]), ["to", "k"]).select("req_id", "tc_id")
     found = direct.unionByName(shared).distinct().groupBy("req_id").agg(F.array_sort(F.collect_list("tc_id")).alias("all"))
     some = F.slice("all", 1, most) if most else F.col("all")
     return reqs.join(found, "req_id", "left").select("req_id", "cluster", F.col("all").isNotNull().alias("covered"), F.coalesce(some, F.array().cast("array<string>")).alias("covering"))

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ..operators import ids as I
 from ..operators import merge as M
+from ..operators.rerank import dealt
 from ..sources import plan_html as P
 from ..sources import revised as R
 from .catalog import query
@@ -124,7 +125,8 @@ def revised_clusters(spark, sf_dir):
         body = F.element_at(F.array(*[F.lit(x) for x in kinds]), ((k + i) % 8 + 1).cast("int"))
         page += [F.lit(f'<ins class="diff-new"><h2 id="ref_{name}Cluster">{i + 1}.2. {name} <b>Cluster</b></h2></ins><h3 id="ref_{name}Other">Data of it</h3>'), body]
     html = F.concat(*page, F.lit('<div id="footer"><ins class="diff-new">Valve revision</ins></div></body>'))
-    out = R.revised_clusters(table(spark, sf_dir, "part").select(k.alias("page_id"), html.alias("html")), "page_id", "html")
+    # keys are few bytes for the work on their pages, so they are dealt to all cores before these are written
+    out = R.revised_clusters(dealt(table(spark, sf_dir, "part").select("p_partkey")).select(k.alias("page_id"), html.alias("html")), "page_id", "html")
     return out.withColumnRenamed("id", "page_id")
 
 

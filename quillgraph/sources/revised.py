@@ -35,7 +35,7 @@ def cluster_sections(pages: DataFrame, id_col: str, html_col: str) -> DataFrame:
     html = F.substring_index(F.regexp_replace(F.regexp_replace(html_col, "(?i)" + V.DIFF_WRAP[0], "$2"), "(?i)" + V.DIFF_WRAP[1], "$1"), _FOOTER, 1)
     parts = F.filter(F.split(html, f"(?i)(?={V.CLUSTER_HEADING})", -1), lambda p: p != "")
     named = F.transform(parts, lambda p: F.struct(p.alias("html"), F.regexp_replace(_plain(F.regexp_extract(p, f"(?is)^{V.CLUSTER_HEADING}(.*?)</h[23]>", 1)), r"^\d+(?:\.\d+)*\.\s*", "").alias("name")))
-    df = pages.select(F.col(id_col).alias("id"), named.alias("parts"))
+    df = pages.select(F.col(id_col).alias("id"), F.explode(F.array(named)).alias("parts"))
     df = df.withColumn("starts", F.filter(F.transform("parts", lambda p, i: F.when(p["name"].rlike("(?i)cluster"), i + 1)), lambda i: i.isNotNull()))
     df = df.select("id", "parts", "starts", F.transform("starts", lambda i: F.element_at("parts", i)["name"]).alias("names"), F.posexplode("starts").alias("position", "start"))
     end = F.coalesce(F.get("starts", F.col("position") + 1), F.size("parts") + 1)
@@ -51,9 +51,10 @@ def revised_clusters(pages: DataFrame, id_col: str, html_col: str, few: int = V.
     fewer than ``few`` marks that name another cluster of the page (by more than three characters), and not its own, only
     holds what spilled over from a table that clusters share, and does not count.
     """
-    df = cluster_sections(pages, id_col, html_col).withColumn("html", _without_noise(F.col("html")))
+    # exploded arrays of one keep filters above them: what is matched is worked out once, not again for each filter
+    df = cluster_sections(pages, id_col, html_col).select("id", "position", "cluster", "names", F.explode(F.array(_without_noise(F.col("html")))).alias("html"))
     df = df.filter(F.col("html").rlike(r"(?i)<(?:ins|del)\s"))
-    df = df.select("id", "position", "cluster", "names", F.regexp_extract_all("html", F.lit("(?is)" + V.DIFF_TEXT), 1).alias("diffs"))
+    df = df.select("id", "position", "cluster", "names", F.explode(F.array(F.regexp_extract_all("html", F.lit("(?is)" + V.DIFF_TEXT), 1))).alias("diffs"))
     df = df.withColumn("said", F.when(F.size("diffs").between(1, few - 1), F.lower(_plain(F.array_join("diffs", " ")))))
     own = _short(F.col("cluster"))
     other = F.exists("names", lambda n: (_short(n) != own) & (F.length(_short(n)) > 3) & F.contains(F.col("said"), _short(n)))

@@ -1,6 +1,7 @@
 """Steps whose rows or tasks have to grow no faster than the input, by their plans."""
 
 from quillgraph.operators import graph as G
+from quillgraph.sources.revised import revised_clusters
 
 
 def plan(df):
@@ -14,3 +15,11 @@ def test_coverage_keeps_the_first_tests_of_each_entity(spark):
     some, every = G.coverage(n, e), G.coverage(n, e, most=None)
     assert plan(some).count("WindowGroupLimit") > 0
     assert {r.req_id: r.covering for r in some.collect()} == {r.req_id: r.covering[:3] for r in every.collect()} == {f"R{i:02d}": ["T00", "T01", "T02"] for i in range(20)}
+
+
+def test_changed_clusters_match_each_pattern_once(spark):
+    pages = spark.createDataFrame([(1, "<h2 id=\"ref_A\">A Cluster</h2><ins class='x'>a</ins>")], "id long, html string")
+    df = revised_clusters(pages, "id", "html")
+    best = df._jdf.queryExecution().optimizedPlan().toString()
+    assert best.count("20\\d{2}") == 1 and best.count("(.*?)</(?:ins|del)>") == 1
+    assert [tuple(r) for r in df.collect()] == [(1, "A Cluster", 1)]

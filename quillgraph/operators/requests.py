@@ -13,14 +13,19 @@ from pyspark.sql import functions as F
 
 from . import trigrams
 from .lineage import cut
+from .ranges import numbered
 
 #: The kinds with what they need, the planner's intents, words that make no phrase, and edges that count.
 NEEDS = {"cluster_tests": ("cluster",), "phrase_tests": ("phrase",), "entity_coverage": ("entity_name",), "requirements": ("words",), "dependencies": ("cluster",), "keywords": ("words",)}
+#: What the answers of each kind depend on.
+ASKS = {"cluster_tests": ("cluster",), "phrase_tests": ("phrase",), "entity_coverage": ("cluster", "entity_type", "entity_name"), "requirements": ("cluster", "words"), "dependencies": ("cluster", "direction"), "keywords": ("cluster", "words", "most")}
 PLAIN_WORDS = ("test", "cases", "case", "tc", "use", "uses", "using", "which", "what")
 OF_CLUSTER = ("tests", "in_context")
 OF_ENTITY = ("tests_command", "verifies_attribute", "observes_event", "tests", "covers", "validates")
 DEPENDS = ("depends_on", "requires", "references", "related_to")
 SPECS = ("requirement", "behavior_rule")
+#: Tasks over which the answers to one question are dealt where they meet the requests that ask it.
+SALTS = 64
 MOST_REQUIREMENTS, MOST_TESTS, MOST_HITS, DEFAULT_HITS = 20, 5, 30, 10
 
 _ANSWER = "request_id", "status", "at", "of", "node_id"
@@ -48,7 +53,8 @@ def planned(plans: DataFrame) -> DataFrame:
 
 
 def _bodies(requests: DataFrame) -> DataFrame:
-    """Requests with what they ask for in one form, and ``body``, the same for all that ask the same."""
+    """Requests with what they ask for in one form, and ``body``, the same for all that ask the same; what a kind's answers
+    don't depend on is null."""
     words = F.array_sort(F.array_distinct(F.filter(F.transform(F.coalesce("keywords", F.array().cast("array<string>")), lambda w: F.lower(F.trim(w))), lambda w: w.isNotNull() & (w != ""))))
     given = F.filter(F.transform(F.coalesce("keywords", F.array().cast("array<string>")), lambda w: F.lower(F.trim(w))), lambda w: w.isNotNull() & (w != ""))
     own = F.filter(given, lambda w: ~w.isin(*PLAIN_WORDS))
@@ -61,7 +67,9 @@ def _bodies(requests: DataFrame) -> DataFrame:
     lacks = lambda n: (F.size(n) == 0) if n == "words" else (F.col(n) == "")
     bad = reduce(lambda a, b: a | b, [(F.col("kind") == k) & reduce(lambda x, y: x | y, [lacks(n) for n in needs]) for k, needs in NEEDS.items()])
     told = F.when(~F.col("kind").isin(*NEEDS), "unknown").when(bad, "invalid")
-    return r.withColumns({"problem": told, "body": F.sha2(F.to_json(F.struct(*r.columns[1:])), 256)})
+    r = r.withColumn("problem", told)
+    r = r.withColumns({c: F.when(F.col("kind").isin(*[k for k, asks in ASKS.items() if c in asks]), F.col(c)) for c in r.columns[2:-1]})
+    return r.withColumn("body", F.sha2(F.to_json(F.struct(*r.columns[1:-1])), 256))
 
 
 def _holding(asked: DataFrame, key: str, held: DataFrame, text: str) -> DataFrame:
@@ -94,16 +102,20 @@ def _entity_coverage(b: DataFrame, nodes: DataFrame, edges: DataFrame) -> DataFr
     probe = b.join(named, "c").select("body", (F.col("t") != F.col("c")).alias("part"), "c_id", F.concat_ws("::", F.upper("entity_type"), "c_label", "entity_name").alias("node_id"))
     one = probe.join(nodes.select("node_id"), "node_id", "left_semi").groupBy("body").agg(F.min(F.struct("part", "c_id", "node_id")).alias("m")).select("body", F.col("m.node_id").alias("one"))
     same = nodes.select(F.col("node_type").alias("entity_type"), F.lower("label").alias("name"), "node_id").groupBy("entity_type", "name").agg(F.min("node_id").alias("two"))
-    found = b.withColumn("name", F.lower("entity_name")).join(one, "body", "left").join(same, ["entity_type", "name"], "left").select("body", F.coalesce("one", "two").alias("of"))
+    found = cut(b.withColumn("name", F.lower("entity_name")).join(one, "body", "left").join(same, ["entity_type", "name"], "left").select("body", F.coalesce("one", "two").alias("of")))
     tests = nodes.filter("node_type = 'test_case'").select("node_id")
-    points = edges.filter(F.col("edge_type").isin(*OF_ENTITY)).select(F.col("src").alias("node_id"), F.col("dst").alias("of")).distinct().join(tests, "node_id", "left_semi")
+    points = edges.filter(F.col("edge_type").isin(*OF_ENTITY)).select(F.col("src").alias("node_id"), F.col("dst").alias("of"))
+    points = points.join(found.select("of"), "of", "left_semi").distinct().join(tests, "node_id", "left_semi")
     status = F.when(F.col("of").isNull(), "missing").when(F.col("node_id").isNull(), "gap").otherwise("covered")
     return found.join(points, "of", "left").select("body", status.alias("status"), "of", "node_id")
 
 
-def _scored(b: DataFrame, nodes: DataFrame) -> DataFrame:
-    """(body, most, node_id, score): nodes by how many of the words their text holds, in clusters that hold the one named."""
+def _scored(b: DataFrame, nodes: DataFrame, most: int) -> DataFrame:
+    """(body, most, node_id, score): nodes by how many of the words their text holds, in clusters that hold the one named.
+
+    Of nodes alike in text and cluster, which score alike, the first ``most`` by id: no other is among the first so many."""
     n = nodes.select("node_id", F.lower("text").alias("t"), F.lower(F.coalesce("cluster", F.lit(""))).alias("of"))
+    n = cut(n.withColumn("_n", F.row_number().over(Window.partitionBy("t", "of").orderBy("node_id"))).filter(F.col("_n") <= most).drop("_n"))
     asked = b.select("body", "most", "cluster", F.explode("words").alias("w"))
     hits = asked.join(_holding(asked, "w", n, "t"), "w").groupBy("body", "most", "cluster", "t").agg(F.count("*").alias("score"))
     fits = _holding(b.filter("cluster != ''"), "cluster", n, "of").withColumnRenamed("of", "fits")
@@ -118,9 +130,11 @@ def _ranked(scored: DataFrame, most: Column) -> DataFrame:
 
 
 def _requirements(b: DataFrame, nodes: DataFrame, edges: DataFrame) -> DataFrame:
-    r = _ranked(_scored(b, nodes.filter(F.col("node_type").isin(*SPECS))), F.lit(MOST_REQUIREMENTS)).select("body", F.col("at").alias("_first"), F.col("node_id").alias("of"))
+    r = _ranked(_scored(b, nodes.filter(F.col("node_type").isin(*SPECS)), MOST_REQUIREMENTS), F.lit(MOST_REQUIREMENTS)).select("body", F.col("at").alias("_first"), F.col("node_id").alias("of"))
+    r = cut(r)
     tests = nodes.filter("node_type = 'test_case'").select("node_id")
-    v = edges.filter("edge_type = 'verifies_requirement'").select(F.col("src").alias("node_id"), F.col("dst").alias("of")).distinct().join(tests, "node_id", "left_semi")
+    v = edges.filter("edge_type = 'verifies_requirement'").select(F.col("src").alias("node_id"), F.col("dst").alias("of"))
+    v = v.join(r.select("of"), "of", "left_semi").distinct().join(tests, "node_id", "left_semi")
     v = v.withColumn("n", F.row_number().over(Window.partitionBy("of").orderBy("node_id"))).filter(F.col("n") <= MOST_TESTS)
     return r.join(v, "of", "left").select("body", F.when(F.col("node_id").isNull(), "uncovered").otherwise("covered").alias("status"), "of", "node_id", "_first")
 
@@ -137,7 +151,7 @@ def _dependencies(b: DataFrame, nodes: DataFrame, edges: DataFrame) -> DataFrame
 
 def _keywords(b: DataFrame, nodes: DataFrame, edges: DataFrame) -> DataFrame:
     n = nodes.filter(F.col("node_type").isin(*SPECS, "test_case"))
-    return _ranked(_scored(b, n), F.col("most")).select("body", F.lit("found").alias("status"), F.lit(None).cast("string").alias("of"), "node_id", F.col("at").alias("_first"))
+    return _ranked(_scored(b, n, MOST_HITS), F.lit(MOST_HITS)).filter(F.col("at") <= F.col("most")).select("body", F.lit("found").alias("status"), F.lit(None).cast("string").alias("of"), "node_id", F.col("at").alias("_first"))
 
 
 _KINDS = {"cluster_tests": _cluster_tests, "phrase_tests": _phrase_tests, "entity_coverage": _entity_coverage, "requirements": _requirements, "dependencies": _dependencies, "keywords": _keywords}
@@ -155,13 +169,17 @@ def answered(requests: DataFrame, nodes: DataFrame, edges: DataFrame) -> DataFra
 
     A request of another kind gives one row 'unknown', one that lacks what its kind needs 'invalid', one without an answer
     'none'.  Cases don't count, but in ids; null and empty are alike; repeated requests are answered each.  Requests that ask
-    the same are worked on once; names and words are looked up by grams.  The graph is written once, as each kind reads it.
+    the same, in what their kind depends on, are worked on once; names and words are looked up by grams.  The graph is written once, as each kind reads it.
     """
     r, nodes, edges = cut(_bodies(requests)), cut(nodes.select("node_id", "node_type", "label", "cluster", "text")), cut(edges.select("src", "dst", "edge_type"))
     b = r.filter("problem is null").drop("request_id", "problem").dropDuplicates(["body"])
     found = [f(b.filter(F.col("kind") == k), nodes, edges) for k, f in _KINDS.items()]
     found = [x if "_first" in x.columns else x.withColumn("_first", F.lit(0)) for x in found]
     every = reduce(lambda x, y: x.unionByName(y), found).select("body", "status", "of", "node_id", "_first")
-    every = every.withColumn("at", F.row_number().over(Window.partitionBy("body").orderBy("_first", "of", "node_id"))).drop("_first")
-    out = r.join(every, "body", "left")
-    return out.select("request_id", F.coalesce("problem", "status", F.lit("none")).alias("status"), "at", "of", "node_id").select(*_ANSWER)
+    every = cut(numbered(every, ["body"], ["_first", "of", "node_id"], "at").withColumn("at", (F.col("at") + 1).cast("int")).drop("_first"))
+    # an answer is joined once for each request, so the answers to one question are dealt to many tasks, and not sorted again
+    asked = r.select("request_id", "body", F.explode(F.array(*[F.lit(i) for i in range(SALTS)])).alias("_salt"))
+    told = asked.hint("merge").join(every.withColumn("_salt", F.col("at") % SALTS), ["body", "_salt"]).select(*_ANSWER)
+    none = r.join(every.filter("at = 1").select("body"), "body", "left_anti")
+    none = none.select("request_id", F.coalesce("problem", F.lit("none")).alias("status"), F.lit(None).cast("int").alias("at"), F.lit(None).cast("string").alias("of"), F.lit(None).cast("string").alias("node_id"))
+    return told.unionByName(none)

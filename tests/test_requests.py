@@ -115,3 +115,13 @@ def test_plans_become_requests_and_empty_tables(spark):
     one = spark.createDataFrame([(1, "keywords", None, None, None, ["x"], None, None)], COLUMNS)
     assert [tuple(r) for r in Q.answered(one, n, e).collect()] == [(1, "none", None, None, None)]
     assert Q.answered(one.limit(0), n, e).collect() == []
+
+
+def test_requests_that_ask_the_same_are_one_question(spark):
+    row = lambda i, kind, name, words: (i, kind, "Door", "attribute", name, words, "outgoing_depends_on", i)
+    rows = [row(i, k, f"n{i}", ["a", f"w{i}"]) for i, k in enumerate(["cluster_tests", "dependencies"] * 3)] + [row(9, "keywords", "x", ["b", "a"]), row(9, "keywords", "y", ["a", "b", "a"]), row(8, "keywords", "y", ["a", "b"])]
+    r = spark.createDataFrame(rows, "request_id long, kind string, cluster string, entity_type string, entity_name string, keywords array<string>, direction string, most int")
+    bodies = {}
+    for x in Q._bodies(r).collect():
+        bodies.setdefault(x.kind, set()).add(x.body)
+    assert {k: len(v) for k, v in bodies.items()} == {"cluster_tests": 1, "dependencies": 1, "keywords": 2}

@@ -30,10 +30,19 @@ def first_nodes(nodes: DataFrame, seq: str = "seq") -> DataFrame:
 
 
 def dangling(nodes: DataFrame, edges: DataFrame) -> DataFrame:
-    ids = nodes.select("node_id")
-    lost_dst = edges.join(ids, edges.dst == ids.node_id, "left_anti")
-    lost_src = edges.join(ids, edges.src == ids.node_id, "left_anti")
-    return lost_dst.union(lost_src).distinct()
+    """Edges with an end that is no node, each once.
+
+    Only distinct ends, null among them, meet the nodes, and only where some are lost do they meet the edges again, so whole
+    edges are not shuffled by each end.
+    """
+    ends = edges.select(F.explode(F.array_distinct(F.array("src", "dst"))).alias("end")).distinct()
+    lost = cut(ends.join(nodes.select(F.col("node_id").alias("end")), "end", "left_anti"))
+    if lost.isEmpty():
+        return edges.filter("false")
+    lost_dst = edges.join(lost.withColumnRenamed("end", "dst"), "dst", "left_semi")
+    lost_src = edges.join(lost.withColumnRenamed("end", "src"), "src", "left_semi")
+    none = edges.filter("src is null or dst is null")
+    return lost_dst.select(*edges.columns).union(lost_src.select(*edges.columns)).union(none).distinct()
 
 
 def degrees(nodes: DataFrame, edges: DataFrame) -> DataFrame:

@@ -23,3 +23,13 @@ def test_changed_clusters_match_each_pattern_once(spark):
     best = df._jdf.queryExecution().optimizedPlan().toString()
     assert best.count("20\\d{2}") == 1 and best.count("(.*?)</(?:ins|del)>") == 1
     assert [tuple(r) for r in df.collect()] == [(1, "A Cluster", 1)]
+
+
+def test_dangling_edges_meet_only_lost_ends(spark):
+    n = spark.createDataFrame([("a",), ("b",)], "node_id string")
+    rows = [("a", "b", "t"), ("a", "x", "t"), ("a", "x", "t"), ("y", "b", "t"), ("y", "x", "u"), (None, "a", "t"), ("b", None, "t")]
+    e = spark.createDataFrame(rows, "src string, dst string, edge_type string")
+    lost = G.dangling(n, e)
+    assert "LeftAnti" not in plan(lost) and sorted(map(str, map(tuple, lost.collect()))) == sorted(map(str, set(rows[1:])))
+    whole = G.dangling(n, e.limit(1))
+    assert whole.columns == e.columns and whole.isEmpty()

@@ -11,6 +11,8 @@ from .lineage import cut
 
 #: How strongly an edge type represents its node pair.
 PRIORITY = {"tests": 10, "tests_command": 9, "verifies_attribute": 8, "reads": 8, "writes": 8, "observes_event": 7, "verifies_requirement": 6, "verifies_rule": 5, "in_context": 1}
+#: Seeds that a node was found from, up to which they are a list beside it; beyond, its pairs are compared with those found.
+FOUND = 64
 
 
 def priority(kind: Column, table: dict[str, int] = PRIORITY) -> Column:
@@ -61,12 +63,35 @@ def reachable(seeds: DataFrame, edges: DataFrame, hops: int) -> DataFrame:
     found = seeds.select("seed", "node", F.lit(0).alias("hop"))
     front = found
     for h in range(1, hops + 1):
-        nxt = front.join(edges, front.node == edges.src).select("seed", F.col("dst").alias("node")).distinct()
-        front = nxt.join(found.select("seed", "node"), ["seed", "node"], "left_anti").withColumn("hop", F.lit(h))
+        front = _next(front.select("seed", "node").distinct(), found.select("seed", "node"), edges).withColumn("hop", F.lit(h))
+        front = front if h == hops else cut(front)
         found = found.unionByName(front)
     return found
 
 
+def _next(front: DataFrame, found: DataFrame, edges: DataFrame) -> DataFrame:
+    """(seed, node): what is one edge from the front (seed, node) and not found, each once.
+
+    A node's main neighbour is the one at the front of the most seeds.  Pairs by it differ from each other, and those found
+    before come along as a list where they are at most FOUND, so they are given out as they are joined; only pairs by other
+    neighbours are shuffled to drop equals, and dropped where the seed has the main one too.  So a hub's pairs, seeds times
+    neighbours, are never shuffled.
+    """
+    many = front.groupBy(F.col("node").alias("src")).agg(F.count("*").alias("n"))
+    near = edges.join(many.select("src"), "src", "left_semi").select("src", "dst").distinct().join(many, "src")
+    main = F.max(F.struct("n", "src")).over(Window.partitionBy("dst"))["src"]
+    near = cut(near.select("src", "dst", main.alias("main")))
+    known = found.select("seed", F.col("node").alias("dst")).join(near.select("dst").distinct(), "dst", "left_semi")
+    known = known.withColumn("_n", F.row_number().over(Window.partitionBy("dst").orderBy("seed"))).filter(F.col("_n") <= FOUND + 1)
+    known = known.groupBy("dst").agg(F.collect_list("seed").alias("known"))
+    by_main = near.filter("src = main").join(known, "dst", "left").join(front, F.col("src") == F.col("node")).select("seed", F.col("dst").alias("node"), "known")
+    few = by_main.filter((F.coalesce(F.size("known"), F.lit(0)) <= FOUND) & ~F.coalesce(F.array_contains("known", F.col("seed")), F.lit(False))).select("seed", "node")
+    rest = by_main.filter(F.size("known") > FOUND).select("seed", "node").join(found, ["seed", "node"], "left_anti")
+    others = near.filter("src != main").join(front, F.col("src") == F.col("node")).select("seed", "dst", "main").distinct()
+    others = others.join(front.withColumnRenamed("node", "main"), ["seed", "main"], "left_anti").select("seed", F.col("dst").alias("node"))
+    return few.unionByName(rest).unionByName(others.join(found, ["seed", "node"], "left_anti"))
+
+
 def components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     """(node_id, comp): the least id reachable, by large and small stars in turn until only stars are left; lineage is cut each round.
 

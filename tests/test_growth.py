@@ -33,3 +33,37 @@ def test_dangling_edges_meet_only_lost_ends(spark):
     assert "LeftAnti" not in plan(lost) and sorted(map(str, map(tuple, lost.collect()))) == sorted(map(str, set(rows[1:])))
     whole = G.dangling(n, e.limit(1))
     assert whole.columns == e.columns and whole.isEmpty()
+
+
+def shuffled(spark, df):
+    """(rows of ``df``, rows that its stages shuffled)."""
+    sc, gw = spark.sparkContext, spark.sparkContext._gateway
+    stages = lambda: {(x.stageId(), x.attemptId()): x.shuffleWriteRecords() for x in list(gw.jvm.scala.jdk.javaapi.CollectionConverters.asJava(sc._jsc.sc().statusStore().stageList(None, False, False, gw.new_array(gw.jvm.double, 0), None)))}
+    before = stages()
+    rows = df.collect()
+    sc._jsc.sc().listenerBus().waitUntilEmpty()
+    return rows, sum(n for k, n in stages().items() if k not in before)
+
+
+def test_pairs_by_a_hub_are_not_shuffled(spark):
+    ends = [("hub", f"n{i}") for i in range(400)] + [(f"n{i}", f"n{i + 7}") for i in range(0, 90, 3)] + [("a", "n1"), ("a", "b"), ("b", "hub"), ("a", "a")]
+    ends += [("busy", f"n{i}") for i in range(100)] + [("busy", "x")]
+    e = G.undirected(spark.createDataFrame(ends, "src string, dst string"))
+    near = {}
+    for s, t in ends:
+        near.setdefault(s, set()).add(t)
+        near.setdefault(t, set()).add(s)
+    want = []
+    for i in range(100):
+        front = seen = {f"n{i}"}
+        want.append((f"n{i}", f"n{i}", 0))
+        for h in (1, 2, 3):
+            front = {t for s in front for t in near.get(s, ())} - seen
+            seen = seen | front
+            want += [(f"n{i}", t, h) for t in front]
+    seeds = spark.createDataFrame([(f"n{i}", f"n{i}") for i in range(100)], "seed string, node string")
+    for hops in (1, 2, 3):
+        assert sorted(tuple(r) for r in G.reachable(seeds, e, hops).collect()) == sorted(r for r in want if r[2] <= hops)
+    plain = G.undirected(spark.createDataFrame(ends[:400], "src string, dst string"))
+    rows, n = shuffled(spark, G.reachable(seeds, plain, 2))
+    assert len(rows) == 100 * 401 and n < len(rows) / 4

@@ -55,3 +55,9 @@ def discard(*tables: DataFrame) -> None:
         if path:
             p, fs = _hadoop(df.sparkSession, path)
             fs.delete(p, True)
+
+
+def shares(df: DataFrame, rows: int = 1 << 20) -> int:
+    """Into how many partitions ``df`` is to be dealt for about ``rows`` each, as many as a shuffle has at least; so a
+    task's share doesn't grow with the table."""
+    return max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-df.count() // rows))

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..operators import graph as G
+from ..operators.lineage import shares
 from .catalog import query
 from .text_queries import table
 
@@ -156,12 +158,14 @@ def set_missing_phantom(spark, sf_dir):
 
 @query("tiered_link", "with t as (select o_orderkey, p_partkey, 1 as tier from orders join lineitem on l_orderkey = o_orderkey join part on p_partkey = l_partkey where l_returnflag = 'R' union select o_orderkey, p_partkey, 2 from orders join lineitem on l_orderkey = o_orderkey join part on p_partkey = l_partkey where p_size > 25 union select o_orderkey, p_partkey, 3 from orders join lineitem on l_orderkey = o_orderkey join part on p_partkey = l_partkey), m as (select *, min(tier) over (partition by o_orderkey) as low from t) select o_orderkey, p_partkey, tier::int as tier from m where tier = low")
 def tiered_link(spark, sf_dir):
-    li = table(spark, sf_dir, "lineitem").join(table(spark, sf_dir, "orders"), F.col("l_orderkey") == F.col("o_orderkey")).join(table(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey"))
+    li, o, p = (table(spark, sf_dir, t) for t in ("lineitem", "orders", "part"))
+    n = shares(li)
+    li = li.select("l_orderkey", "l_partkey", "l_returnflag").repartition(n, "l_partkey").join(p.select("p_partkey", "p_size").repartition(n, "p_partkey").hint("merge"), F.col("l_partkey") == F.col("p_partkey"))
     tier = F.when(F.col("l_returnflag") == "R", 1).when(F.col("p_size") > 25, 2).otherwise(3)
-    # every tier holds what a better one holds, so a row's best tier is enough
-    rows = li.select("o_orderkey", "p_partkey", tier.alias("tier")).groupBy("o_orderkey", "p_partkey").agg(F.min("tier").alias("tier"))
-    low = rows.groupBy("o_orderkey").agg(F.min("tier").alias("low"))
-    return rows.join(low, "o_orderkey").filter("tier = low").select("o_orderkey", "p_partkey", "tier")
+    # every tier holds what a better one holds, so the rows of an order's best tier are enough; one deal by order serves all
+    rows = li.select(F.col("l_orderkey").alias("o_orderkey"), "p_partkey", tier.alias("tier")).repartition(n, "o_orderkey").join(o.select("o_orderkey").repartition(n, "o_orderkey").hint("merge"), "o_orderkey", "left_semi")
+    low = F.min("tier").over(Window.partitionBy("o_orderkey"))
+    return rows.withColumn("low", low).filter("tier = low").select("o_orderkey", "p_partkey", "tier").distinct()
 
 
 @query("modal_cluster", "select o_custkey, p_brand, n from (select o_custkey, p_brand, count(*) as n, row_number() over (partition by o_custkey order by count(*) desc, p_brand) as r from orders join lineitem on l_orderkey = o_orderkey join part on p_partkey = l_partkey group by 1, 2) where r = 1")

@@ -1,6 +1,8 @@
 """Steps whose rows or tasks have to grow no faster than the input, by their plans."""
 
 from quillgraph.operators import graph as G
+from quillgraph.operators.lineage import shares
+from quillgraph.plans import graph_queries
 from quillgraph.sources.revised import revised_clusters
 
 
@@ -67,3 +69,11 @@ def test_pairs_by_a_hub_are_not_shuffled(spark):
     plain = G.undirected(spark.createDataFrame(ends[:400], "src string, dst string"))
     rows, n = shuffled(spark, G.reachable(seeds, plain, 2))
     assert len(rows) == 100 * 401 and n < len(rows) / 4
+
+
+def test_tiers_are_dealt_by_the_number_of_rows(spark, monkeypatch):
+    df = spark.range(1000)
+    assert [shares(df, 100), shares(df, 99), shares(df)] == [10, 11, 4]
+    monkeypatch.setattr(graph_queries, "shares", lambda df: 9, raising=False)
+    tiers = graph_queries.tiered_link(spark, "/root/testdata/sf0.001")
+    assert tiers.rdd.getNumPartitions() == 9

@@ -12,7 +12,7 @@ from .. import vocab as V
 from ..functions.text import tokens
 from . import trigrams
 from .graph import undirected
-from .lineage import cut
+from .lineage import cut, shares
 
 _TARGETS = ("test_case", "requirement", "behavior_rule")
 
@@ -124,24 +124,28 @@ def ego(seeds_: DataFrame, nodes: DataFrame, edges: DataFrame, hops: int = 3, fa
     ``fan`` neighbours are taken: those of the lowest degree, then by id.  Nodes with more than ``hub`` neighbours are shown
     but not walked on, and a node of another cluster than the seed's (both given) is left out unless it is a cluster.
     """
-    both = cut(undirected(edges))
-    degree = both.groupBy("src").agg(F.count("*").alias("d"))
-    about = nodes.select("node_id", "node_type", F.lower(F.coalesce("cluster", F.lit(""))).alias("in")).join(degree.withColumnRenamed("src", "node_id"), "node_id", "left").fillna(0, ["d"])
-    own = about.select(F.col("node_id").alias("seed"), F.col("in").alias("of"))
+    own = nodes.select(F.col("node_id").alias("seed"), F.lower(F.coalesce("cluster", F.lit(""))).alias("of"))
     found = seeds_.select(F.col("node_id").alias("seed")).distinct().join(own, "seed").select("seed", "of", F.col("seed").alias("node_id"), F.lit(0).alias("hop"), F.lit(0).cast("long").alias("d"))
-    # each node's list is cut to its fan once for each cluster asked for, so a hub's many edges are met once, not once a seed
-    far = about.select(F.col("node_id").alias("dst"), "node_type", "in", "d")
-    steps = cut(both.join(far, "dst"))
+    # edges are dealt once by the end that is walked to: that tells equals, its degree and its cluster, which are written; a
+    # cluster counts as one without cluster, as both are never left out
+    open_ = F.when(F.col("node_type") == "cluster", "").otherwise(F.lower(F.coalesce("cluster", F.lit(""))))
+    ways = edges.select("src", "dst").unionAll(edges.select("dst", "src")).toDF("src", "dst").filter("src is not null and dst is not null")
+    n = shares(edges)
+    ways = ways.repartition(n, "dst").distinct().withColumn("d", F.count("*").over(Window.partitionBy("dst")))
+    steps = cut(ways.join(nodes.select(F.col("node_id").alias("dst"), open_.alias("in")).repartition(n, "dst").hint("merge"), "dst"))
     front = found
     for h in range(1, hops + 1):
+        # each node's list is cut to its fan once for each cluster asked for, so a hub's many edges are met once, not once a seed
         walk = front.filter(F.col("d") <= hub)
         here = walk.select("of", F.col("node_id").alias("src")).distinct()
-        fits = (F.col("of") == "") | (F.col("in") == "") | (F.col("in") == F.col("of")) | (F.col("node_type") == "cluster")
+        fits = (F.col("of") == "") | (F.col("in") == "") | (F.col("in") == F.col("of"))
         next_ = here.join(steps, "src").filter(fits).select("of", "src", "dst", "d")
         if h > 1:
             next_ = _first(next_, ["of", "src"], ["d", "dst"], fan)
-        reached = walk.select("seed", "of", F.col("node_id").alias("src")).join(next_, ["of", "src"]).groupBy("seed", "of", F.col("dst").alias("node_id")).agg(F.min("d").alias("d"))
+        reached = walk.select("seed", "of", F.col("node_id").alias("src")).join(next_, ["of", "src"])
+        # a seed has one cluster and a node one degree, so seed and node alone say where equals meet, and those found before
+        reached = reached.groupBy("seed", F.col("dst").alias("node_id")).agg(F.first("of").alias("of"), F.first("d").alias("d"))
         front = reached.join(found.select("seed", "node_id"), ["seed", "node_id"], "left_anti").withColumn("hop", F.lit(h)).select("seed", "of", "node_id", "hop", "d")
-        front = cut(front)
+        front = front if h == hops else cut(front)
         found = found.unionByName(front)
     return found.select("seed", "node_id", "hop")

@@ -1,6 +1,7 @@
 """Steps whose rows or tasks have to grow no faster than the input, by their plans."""
 
 from quillgraph.operators import graph as G
+from quillgraph.operators import search as S
 from quillgraph.operators.lineage import shares
 from quillgraph.plans import graph_queries
 from quillgraph.sources.revised import revised_clusters
@@ -77,3 +78,15 @@ def test_tiers_are_dealt_by_the_number_of_rows(spark, monkeypatch):
     monkeypatch.setattr(graph_queries, "shares", lambda df: 9, raising=False)
     tiers = graph_queries.tiered_link(spark, "/root/testdata/sf0.001")
     assert tiers.rdd.getNumPartitions() == 9
+
+
+def test_an_ego_graph_writes_edges_once_and_not_its_last_hop(spark, monkeypatch):
+    nodes = [("R", "requirement", "Door"), ("C", "cluster", ""), *[(f"A{i}", "attribute", "door" if i % 2 else "Pump") for i in range(6)], *[(f"T{i:02d}", "test_case", "") for i in range(40)]]
+    edges = [("R", f"A{i}") for i in range(6)] + [("R", "A1")] + [(f"A{i}", "C") for i in range(6)] + [(f"T{i:02d}", "A1") for i in range(40)] + [("T01", "A3"), ("R", None)]
+    n, e = spark.createDataFrame(nodes, "node_id string, node_type string, cluster string"), spark.createDataFrame(edges, "src string, dst string")
+    written, cut = [], S.cut
+    monkeypatch.setattr(S, "cut", lambda df, *x: written.append(df.columns) or cut(df, *x))
+    got = sorted(tuple(r) for r in S.ego(n.filter("node_id = 'R'"), n, e, hops=2, fan=3).collect())
+    # A1's neighbours of least degree: T00 and T02 have one edge, T01 and R's own have more
+    assert got == sorted([("R", "R", 0), ("R", "A1", 1), ("R", "A3", 1), ("R", "A5", 1), ("R", "T00", 2), ("R", "T02", 2), ("R", "T03", 2), ("R", "T01", 2), ("R", "C", 2)])
+    assert len(written) == 2

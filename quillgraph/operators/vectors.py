@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 from .. import vocab as C
 from . import trigrams
 
-#: Rows of a block of vectors and of queries at most, and bytes of a block's vectors and of its matrix of scores.
-ROWS, QUERIES, BYTES = 8192, 2048, 64 << 20
+#: Rows of a block of vectors and of queries at most, bytes of a block's vectors, and bytes of a matrix of scores, of which
+#: some copies are made.
+ROWS, QUERIES, BYTES, SCORES = 8192, 2048, 64 << 20, 8 << 20
 #: Blocks whose best lists are merged at a time.
 MERGE = 64
 
@@ -52,7 +53,7 @@ def _best(k: int, digits: int, id_type: pa.DataType, q_type: pa.DataType):
             return pa.table([pa.array([], x) for x in (q_type, id_type, pa.float64(), pa.int32())], names)
         rows = rows.sort_by("vec_id")  # so that equals come by id
         ids, v, s = rows.column("vec_id"), matrix(rows, "v"), rows.column("s")[0].as_py()
-        step, out = max(1, BYTES // (8 * rows.num_rows)), []
+        step, out = max(1, SCORES // (8 * rows.num_rows)), []
         for low in range(0, queries.num_rows, step):
             part = queries.slice(low, step)
             score = np.round(matrix(part, "q") @ v.T, digits) + 0.0
@@ -86,7 +87,7 @@ def search(queries: DataFrame, vectors: DataFrame, k: int = 10, threshold: float
     labels, a query's candidates are the vectors whose ``label`` is among them; null: all.
 
     Both sides are dealt to blocks by a hash, each block pair gives k rows a query, and these are merged; no task holds
-    more than two blocks of BYTES each and as much for scores.  Null vectors, those with a null component or one that isn't
+    more than two blocks of BYTES each and a few times SCORES.  Null vectors, those with a null component or one that isn't
     finite, and vectors of another length than the query's take no part.
     """
     allow = F.col("allow").cast("array<string>") if "allow" in queries.columns else F.lit(None).cast("array<string>")

@@ -1,8 +1,11 @@
 """What a Python worker holds at once doesn't depend on how many rows a batch has."""
 
+from types import SimpleNamespace
+
 import numpy as np
 import pyarrow as pa
 
+from quillgraph.operators import rerank as K
 from quillgraph.operators import vectors as V
 from quillgraph.sources import html as H
 
@@ -24,3 +27,12 @@ def test_pages_go_out_in_slices():
     out = list(H._sections([b, b.slice(0, 0)]))
     assert [x.num_rows for x in out] == [64, 64, 64, 8, 0]
     assert [t for x in out for t in x.column("title").to_pylist()] == [f"t{i}" for i in range(200)]
+
+
+def test_pairs_of_chunks_and_items_go_out_in_slices():
+    n = 2500
+    b = pa.RecordBatch.from_arrays([pa.array(range(n), pa.int64()), pa.array([[0]] * n, pa.list_(pa.int32())), pa.array([[["a", "b"]]] * n, pa.list_(pa.list_(pa.string())))], ["doc_id", "pos", "t"])
+    shared = SimpleNamespace(value=(["a"], np.array([0, 1]), np.array([0]), np.array([1])))
+    out = list(K._matched(shared, None)([b, b.slice(0, 0)]))
+    assert [x.num_rows for x in out] == [1024, 1024, 452]
+    assert [d for x in out for d in x.column("doc_id").to_pylist()] == list(range(n)) and set(out[0].column("dice").to_pylist()) == {0.666667}

@@ -11,8 +11,7 @@ from pyspark.sql import functions as F
 from .. import vocab as V
 from ..functions.text import tokens
 from . import trigrams
-from .graph import undirected
-from .lineage import cut, shares
+from .lineage import cut
 
 _TARGETS = ("test_case", "requirement", "behavior_rule")
 
@@ -51,6 +50,12 @@ def seeds(changes: DataFrame, nodes: DataFrame, edges: DataFrame, most: int = 20
     return one.unionByName(two).unionByName(zero)
 
 
+def _ways(edges: DataFrame) -> DataFrame:
+    """(src, dst): edges both ways, each once, dealt by ``dst``."""
+    both = edges.select("src", "dst").unionAll(edges.select("dst", "src")).toDF("src", "dst")
+    return both.filter("src is not null and dst is not null").repartition("dst").distinct()
+
+
 def structured_search(changes: DataFrame, nodes: DataFrame, edges: DataFrame, most: int = 10) -> DataFrame:
     """(change_id, node_id, node_type, source): test cases and requirements that each change touches, the first ``most`` by id.
 
@@ -66,14 +71,18 @@ def structured_search(changes: DataFrame, nodes: DataFrame, edges: DataFrame, mo
     start = cut(seeds(changes, nodes, edges))
     about = nodes.select("node_id", "node_type", F.lower(F.coalesce("cluster", F.lit(""))).alias("in"))
     around = start.select("of", F.col("node_id").alias("seed")).distinct()
-    both = cut(undirected(edges))
     near = around.select("seed").distinct()
-    hop1 = near.join(both, F.col("seed") == F.col("src")).select("seed", F.col("dst").alias("node_id"))
-    target = about.filter(F.col("node_type").isin(*_TARGETS))
-    last = both.join(target.select(F.col("node_id").alias("dst")), "dst", "left_semi")
-    hop2 = hop1.join(last, F.col("node_id") == F.col("src")).select("seed", F.col("dst").alias("node_id"))
-    own = near.select("seed", F.col("seed").alias("node_id"))
-    found = hop1.unionByName(hop2).unionByName(own).distinct().join(target, "node_id")
+    # edges are dealt once by the end that is walked to, which tells equals and what that end is
+    steps = cut(_ways(edges).join(about.withColumnRenamed("node_id", "dst").repartition("dst").hint("merge"), "dst", "left"))
+    target = F.col("node_type").isin(*_TARGETS)
+    reach = lambda df, at: df.join(steps.filter(target) if at == "mid" else steps, F.col(at) == F.col("src")).select("seed", F.col("dst").alias("node_id"), "node_type", "in")
+    hop1 = reach(near, "seed")
+    hop2 = reach(hop1.select("seed", F.col("node_id").alias("mid")), "mid")
+    own = near.join(about, F.col("seed") == F.col("node_id")).select("seed", "node_id", "node_type", "in")
+    # what counts depends on a node's cluster and kind only, so the first of each are kept before they are shuffled; equals
+    # have one rank
+    found = hop1.unionByName(hop2).unionByName(own).filter(target)
+    found = found.withColumn("_n", F.dense_rank().over(Window.partitionBy("seed", "in", "node_type").orderBy("node_id"))).filter(F.col("_n") <= most).drop("_n").distinct()
     asked = start.select("of").distinct()
     pairs = cut(trigrams.either_way(asked, cut(about.select(F.col("in").alias("b")).distinct()), "of", "b").withColumnRenamed("b", "in"))
     hits = around.join(found, "seed").join(pairs.select("of", "in", "inside"), ["of", "in"], "left")
@@ -129,10 +138,8 @@ def ego(seeds_: DataFrame, nodes: DataFrame, edges: DataFrame, hops: int = 3, fa
     # edges are dealt once by the end that is walked to: that tells equals, its degree and its cluster, which are written; a
     # cluster counts as one without cluster, as both are never left out
     open_ = F.when(F.col("node_type") == "cluster", "").otherwise(F.lower(F.coalesce("cluster", F.lit(""))))
-    ways = edges.select("src", "dst").unionAll(edges.select("dst", "src")).toDF("src", "dst").filter("src is not null and dst is not null")
-    n = shares(edges)
-    ways = ways.repartition(n, "dst").distinct().withColumn("d", F.count("*").over(Window.partitionBy("dst")))
-    steps = cut(ways.join(nodes.select(F.col("node_id").alias("dst"), open_.alias("in")).repartition(n, "dst").hint("merge"), "dst"))
+    ways = _ways(edges).withColumn("d", F.count("*").over(Window.partitionBy("dst")))
+    steps = cut(ways.join(nodes.select(F.col("node_id").alias("dst"), open_.alias("in")).repartition("dst").hint("merge"), "dst"))
     front = found
     for h in range(1, hops + 1):
         # each node's list is cut to its fan once for each cluster asked for, so a hub's many edges are met once, not once a seed

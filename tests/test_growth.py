@@ -90,3 +90,15 @@ def test_an_ego_graph_writes_edges_once_and_not_its_last_hop(spark, monkeypatch)
     # A1's neighbours of least degree: T00 and T02 have one edge, T01 and R's own have more
     assert got == sorted([("R", "R", 0), ("R", "A1", 1), ("R", "A3", 1), ("R", "A5", 1), ("R", "T00", 2), ("R", "T02", 2), ("R", "T03", 2), ("R", "T01", 2), ("R", "C", 2)])
     assert len(written) == 2
+
+
+def test_a_change_search_deals_edges_once_by_the_end_walked_to(spark):
+    nodes = [("CLUSTER::Door", "cluster", "Door", ""), *[(f"ATTRIBUTE::Door::Lock{i}", "attribute", f"Lock{i}", "Door") for i in range(4)], *[(f"TC::{i:03d}", "test_case", "x", "Door" if i % 2 else "Pump") for i in range(400)]]
+    edges = [(f"TC::{i:03d}", f"ATTRIBUTE::Door::Lock{i % 4}", "tests") for i in range(400)] * 2 + [(f"ATTRIBUTE::Door::Lock{i}", "CLUSTER::Door", "belongs_to") for i in range(4)]
+    n, e = spark.createDataFrame(nodes, "node_id string, node_type string, label string, cluster string"), spark.createDataFrame(edges, "src string, dst string, edge_type string")
+    ch = spark.createDataFrame([(1, "Door", "attribute", "Lock1"), (2, "Door", "attribute", "nothing")], "change_id int, cluster string, entity_type string, entity_name string")
+    found = S.structured_search(ch, n, e)
+    # of both changes the cluster is a seed, from which every test of its own cluster is two edges away
+    assert sorted((r.change_id, r.node_id) for r in found.collect()) == sorted((c, f"TC::{i:03d}") for c in (1, 2) for i in range(1, 20, 2))
+    limits = [x for x in plan(found).split("\n") if "WindowGroupLimit" in x and "dense_rank" in x]
+    assert limits and all("seed" in x for x in limits)

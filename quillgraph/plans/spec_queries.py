@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ..operators import ids as I
 from ..operators import merge as M
+from ..operators.lineage import shares
 from ..operators.rerank import dealt
 from ..sources import plan_html as P
 from ..sources import revised as R
@@ -29,7 +30,9 @@ def _pages(spark, sf_dir):
     escaped = F.col("text")
     for c, e in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;")):
         escaped = F.replace(escaped, F.lit(c), F.lit(e))
-    d = table(spark, sf_dir, "documents").select("doc_id", *[F.coalesce(c, F.lit("")).alias(c) for c in ("text", "lang", "source")])
+    # reading a page takes far longer than its document's bytes tell, so documents are dealt; a file's parts are too much for a task
+    d = table(spark, sf_dir, "documents")
+    d = d.repartition(shares(d, 1 << 13), "doc_id").select("doc_id", *[F.coalesce(c, F.lit("")).alias(c) for c in ("text", "lang", "source")])
     d = d.withColumns({"raw": F.split("text", "\n", -1), "lines": F.split(escaped, "\n", -1)})
     end = lambda *tags: F.when(F.col("doc_id") % 3 == 0, "").otherwise("".join(f"</{t}>" for t in tags))
     size = lambda i: F.length(F.trim(F.regexp_replace(F.get("raw", i), r"[ \t]+", " "))).cast("string")

@@ -1,9 +1,12 @@
 """Sections, test cases, changed clusters and ids on fixtures written by hand."""
 
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
 from quillgraph.operators import ids as I
+from quillgraph.plans import spec_queries
 from quillgraph.sources import plan_html as P
 from quillgraph.sources import revised as R
 
@@ -87,6 +90,36 @@ def test_malformed_pages_fail_no_task(spark, html):
     assert P.test_cases(p, "page_id", "html").count() % 2 == 0
 
 
+def test_plain_pages_are_read_by_one_pattern_as_the_parser_reads_them(monkeypatch):
+    def shown(n):
+        return n.tag, n.attrs, n.noise, [x if isinstance(x, str) else shown(x) for x in n.inside]
+
+    def parsed(html):
+        p = P._Tree()
+        p.feed(html)
+        p.close()
+        return p
+
+    bits = "<p>|</p>|<TR>|<td class='a b'>|</td >|<br/>|<br />|<p/>|<img src=x/>|<a class=\"anchor\" href='#x'>|</a>|<style>|</style>|<script >|</SCRIPT>|<title>|</title>|<plaintext>|<div id=toc>|<div class='sect2' hidden>|</div>|<h2 id=''>|<p a=1 A=2>|<p a='&lt;'>|</p b>|<!-- c -->|<3|<|&amp;|&|\n|é|text".split("|")
+    r, plain = random.Random(1), 0
+    for _ in range(5000):
+        html = "".join(r.choices(bits, k=r.randrange(1, 9)))
+        got = P._plain(html)
+        if got:
+            plain += 1
+            want = parsed(html)
+            assert (shown(got.root), [shown(b) for b in got.boxes]) == (shown(want.root), [shown(b) for b in want.boxes]), html
+    assert plain > 500
+    want = P.case_rows(PLAN)
+    monkeypatch.setattr(P._Tree, "feed", lambda self, html: pytest.fail("read by the parser"))
+    assert P.case_rows(PLAN) == want and len(want) == 3
+
+
+def test_documents_of_one_file_are_dealt_before_their_pages_are_parsed(spark):
+    pages = spec_queries._pages(spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert "RepartitionByExpression [doc_id" in pages
+
+
 def test_no_pages_give_no_rows(spark):
     p = pages(spark, "x").filter("false")
     assert P.spec_sections(p, "page_id", "html").count() == P.test_cases(p, "page_id", "html").count() == 0

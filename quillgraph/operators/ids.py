@@ -12,14 +12,16 @@ from .ranges import numbered
 
 #: Tasks over which the rows of one id are dealt where the table of ids is too large to be sent to every task.
 SALTS = 16
+#: Distinct ids of a row that are looked up one after another in a table that every task has.
+LOOKUPS = 8
 
 
-def _put(text: Column, pattern: str, new) -> Column:
-    """A text with each match of ``pattern`` replaced by ``new(match)``, where that is not null.
+def _put(text: Column, pattern: str, new, met: Column | None = None) -> Column:
+    """A text with each match of ``pattern``, found before as ``met``, replaced by ``new(match)``, where that is not null.
 
     Matches are found once, so no replacement is replaced again, and an id that begins another is not met within it.
     """
-    between, met = F.split(text, pattern, -1), F.regexp_extract_all(text, F.lit(pattern), 0)
+    between, met = F.split(text, pattern, -1), F.regexp_extract_all(text, F.lit(pattern), 0) if met is None else met
     return F.array_join(F.zip_with(between, met, lambda b, m: F.concat(b, F.coalesce(new(m), m, F.lit("")))), "")
 
 
@@ -28,17 +30,45 @@ def rewritten(df: DataFrame, texts: list[str], ids: DataFrame, pattern: str = V.
 
     An id is a whole match of ``pattern``; one that ``ids`` doesn't know stays.  An old id that has several new ones gets the
     smallest; rows of ``ids`` with a null don't count.  Null texts stay null, repeated rows stay repeated, other columns as
-    they are; a column ``_row`` in ``df`` is an error.  A table of ids of up to 64 MB goes to every task; beyond that an id's
-    rows are dealt to 16.  Only a row's number and its distinct ids are joined.
+    as they are; a column whose name begins with ``_row`` is an error.  A table of ids of up to 64 MB goes to every task, where
+    rows with up to LOOKUPS distinct ids look them up without a shuffle; ``df`` is read once more to tell how many they have.
+    Of rows with more a number and the distinct ids are joined; beyond 64 MB that is so for all, an id's rows dealt to 16.
     """
-    if "_row" in df.columns:
-        raise ValueError("a column may not be called _row")
-    ids = ids.filter("old is not null and new is not null").groupBy("old").agg(F.min("new").alias("new"))
-    rows = cut(df.withColumn("_row", F.monotonically_increasing_id()))
+    if any(c.startswith("_row") for c in df.columns):
+        raise ValueError("a column's name may not begin with _row")
+    ids = cut(ids.filter("old is not null and new is not null").groupBy("old").agg(F.min("new").alias("new")))
     met = F.flatten(F.array(*[F.coalesce(F.regexp_extract_all(c, F.lit(pattern), 0), F.array().cast("array<string>")) for c in texts]))
-    met = rows.select("_row", F.explode(F.array_distinct(met)).alias("old"))
-    size = ids.agg(F.sum(F.octet_length("old") + F.octet_length("new")).alias("bytes")).first()["bytes"] or 0
-    if size <= SMALL:
+    met = F.array_distinct(met)
+    small = (ids.agg(F.sum(F.octet_length("old") + F.octet_length("new")).alias("bytes")).first()["bytes"] or 0) <= SMALL
+    if not small:
+        return _joined(df, texts, ids, pattern, met, small)
+    most = df.agg(F.max(F.size(met)).alias("n")).first()["n"] or 0
+    if most <= LOOKUPS:
+        return _looked_up(df, texts, ids, pattern, most)
+    more = _joined(df.filter(F.size(met) > LOOKUPS), texts, ids, pattern, met, small)
+    return _looked_up(df.filter(F.size(met) <= LOOKUPS), texts, ids, pattern, LOOKUPS).unionByName(more)
+
+
+def _looked_up(df: DataFrame, texts: list[str], ids: DataFrame, pattern: str, most: int) -> DataFrame:
+    """``df``, whose rows have up to ``most`` ids, with each id's new one from a broadcast join of its own."""
+    if not most:
+        return df
+    found = {c: f"_row_met{i}" for i, c in enumerate(texts)}
+    out = df.withColumns({m: F.coalesce(F.regexp_extract_all(c, F.lit(pattern), 0), F.array().cast("array<string>")) for c, m in found.items()})
+    out = out.withColumn("_row_ids", F.array_distinct(F.flatten(F.array(*found.values()))))
+    for i in range(most):
+        one = ids.select(F.col("old").alias(f"_row_old{i}"), F.col("new").alias(f"_row_new{i}"))
+        out = out.join(F.broadcast(one), F.get("_row_ids", F.lit(i)) == F.col(f"_row_old{i}"), "left")
+    new = [F.col(f"_row_new{i}") for i in range(most)]
+    of = lambda m: F.get(F.array(*new), (F.array_position("_row_ids", m) - 1).cast("int"))
+    return out.withColumns({c: F.when(F.coalesce(*new).isNull(), F.col(c)).otherwise(_put(F.col(c), pattern, of, F.col(found[c]))) for c in texts}).select(*df.columns)
+
+
+def _joined(df: DataFrame, texts: list[str], ids: DataFrame, pattern: str, met: Column, small: bool) -> DataFrame:
+    """``df`` with rows numbered and written, joined with the ids that they have and put together again by their number."""
+    rows = cut(df.withColumn("_row", F.monotonically_increasing_id()))
+    met = rows.select("_row", F.explode(met).alias("old"))
+    if small:
         pairs = met.join(F.broadcast(ids), "old")
     else:
         dealt = ids.withColumn("_salt", F.explode(F.array(*[F.lit(i) for i in range(SALTS)])))

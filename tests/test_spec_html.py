@@ -176,6 +176,19 @@ def test_ids_change_places_at_once(spark, monkeypatch):
     assert sorted(map(tuple, I.rewritten(df, ["title"], ids.filter("false")).collect()), key=repr) == sorted(rows, key=repr)
 
 
+def test_few_ids_are_looked_up_without_a_shuffle_and_many_are_joined(spark):
+    text = lambda *ks: " ".join(f"TC-A-1.{k}" for k in ks)
+    ids = spark.createDataFrame([(f"TC-A-1.{k}", f"TC-A-1.{k + 1}") for k in range(100)], "old string, new string")
+    few = spark.createDataFrame([(1, text(1, 2, 1, 200)), (2, None), (3, "none"), (3, "none")], "k int, title string")
+    out = I.rewritten(few, ["title"], ids)
+    assert "hashpartitioning" not in out._jdf.queryExecution().executedPlan().toString()
+    want = [(1, text(2, 3, 2, 200)), (2, None), (3, "none"), (3, "none")]
+    assert sorted(map(tuple, out.collect()), key=repr) == sorted(want, key=repr)
+    many = few.union(spark.createDataFrame([(4, text(*range(20), 5)), (5, text(*range(I.LOOKUPS)))], "k int, title string"))
+    want += [(4, text(*range(1, 21), 6)), (5, text(*range(1, I.LOOKUPS + 1)))]
+    assert sorted(map(tuple, I.rewritten(many, ["title"], ids).collect()), key=repr) == sorted(want, key=repr)
+
+
 def test_new_cases_are_numbered_on(spark):
     rows = [(1, "[TC-A-2.7] zeta", "TC-A-2.7 TC-A-2.70"), (2, "[TC-A-2.7] Alpha", None), (3, "[TC-A-02.1] alpha", "TC-A-02.1"), (4, "no id", "TC-A-2.7"), (5, None, "x"), (6, "TC-B-1.1", ""), (7, "TC-A-3." + "9" * 30, "y")]
     items = spark.createDataFrame([(*r, 0) for r in rows], "k int, title string, body string, number int")

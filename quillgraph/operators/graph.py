@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from .. import vocab as V
 from ..functions.text import flat_name
-from .lineage import cut
+from .lineage import cut, shares
 
 #: How strongly an edge type represents its node pair.
 PRIORITY = {"tests": 10, "tests_command": 9, "verifies_attribute": 8, "reads": 8, "writes": 8, "observes_event": 7, "verifies_requirement": 6, "verifies_rule": 5, "in_context": 1}
@@ -132,16 +132,21 @@ def typed_impact(changes: DataFrame, nodes: DataFrame, edges: DataFrame, kinds:
 
     ``changes``: change_id, target, kind.  Direct: over the edge types of the kind; possible: over broad ones only.  The
     verdict is direct, possible, gap (the entity is there and no test points to it at all), none or unknown (not there).
+    Repeated edges count once.  Rows are dealt to as many partitions as there are million edges, so a task's memory doesn't
+    grow with the graph; a count of the edges runs first.
     """
+    n = shares(edges)
     rows = [(k, t) for k, ts in kinds.items() for t in ts]
     table = F.broadcast(edges.sparkSession.createDataFrame(rows, "kind string, edge_type string"))  # a literal of a few rows
     tests = nodes.filter("node_type = 'test_case'").select(F.col("node_id").alias("src"))
-    e = edges.join(tests, "src").select("src", F.col("dst").alias("target"), "edge_type")
-    j = changes.join(e, "target", "left").join(table.withColumn("precise", F.lit(True)), ["kind", "edge_type"], "left")
-    per = j.groupBy("change_id", "src").agg(F.coalesce(F.bool_or("precise"), F.lit(False)).alias("d"), F.coalesce(F.bool_or(F.col("edge_type").isin(*V.BROAD_EDGES)), F.lit(False)).alias("p"))
-    some = per.filter("src is not null").groupBy("change_id").agg(F.sort_array(F.collect_list(F.when(F.col("d"), F.col("src")))).alias("direct"), F.sort_array(F.collect_list(F.when(~F.col("d") & F.col("p"), F.col("src")))).alias("possible"))
+    e = edges.repartition(n, "src").join(tests.repartition(n, "src"), "src", "left_semi").select("src", F.col("dst").alias("target"), "edge_type")
+    asked = changes.repartition(n, "target")
+    j = asked.join(e.repartition(n, "target"), "target").join(table.withColumn("precise", F.lit(True)), ["kind", "edge_type"], "left")
+    j = j.select("change_id", "src", F.coalesce("precise", F.lit(False)).alias("d"), F.coalesce(F.col("edge_type").isin(*V.BROAD_EDGES), F.lit(False)).alias("p"))
+    per = j.repartition(n, "change_id").groupBy("change_id", "src").agg(F.bool_or("d").alias("d"), F.bool_or("p").alias("p"))
+    some = per.groupBy("change_id").agg(F.sort_array(F.collect_list(F.when(F.col("d"), F.col("src")))).alias("direct"), F.sort_array(F.collect_list(F.when(~F.col("d") & F.col("p"), F.col("src")))).alias("possible"))
     there = nodes.select(F.col("node_id").alias("target"), F.lit(True).alias("there"))
-    out = changes.join(there, "target", "left").join(some, "change_id", "left")
+    out = asked.join(there.repartition(n, "target"), "target", "left").join(some, "change_id", "left")
     verdict = F.when(F.col("there").isNull(), "unknown").when(F.size("direct") > 0, "direct").when(F.size("possible") > 0, "possible").when(F.col("direct").isNull(), "gap").otherwise("none")
     none = F.array().cast("array<string>")
     return out.select("change_id", verdict.alias("verdict"), F.coalesce("direct", none).alias("direct"), F.coalesce("possible", none).alias("possible"))

@@ -231,7 +231,7 @@ _KINDS = ["datatype_changed", "conformance_changed", "access_changed"]
 def change_impact(spark, sf_dir):
     li, p = table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "part")
     kind = F.when(F.col("l_returnflag") == "R", "reads").when(F.col("l_returnflag") == "A", "verifies_rule").otherwise("tests")
-    edges = li.select(F.concat(F.lit("TC-"), "l_orderkey").alias("src"), F.concat(F.lit("P::"), "l_partkey").alias("dst"), kind.alias("edge_type")).distinct()
+    edges = li.select(F.concat(F.lit("TC-"), "l_orderkey").alias("src"), F.concat(F.lit("P::"), "l_partkey").alias("dst"), kind.alias("edge_type"))
     nodes = edges.select(F.col("src").alias("node_id")).distinct().withColumn("node_type", F.lit("test_case")).unionAll(p.select(F.concat(F.lit("P::"), "p_partkey"), F.lit("attribute")))
     changes = p.select(F.col("p_partkey").alias("change_id"), F.concat(F.lit("P::"), "p_partkey").alias("target"), F.element_at(F.array(*[F.lit(k) for k in _KINDS]), (F.col("p_partkey") % 3 + 1).cast("int")).alias("kind"))
     return G.typed_impact(changes, nodes, edges).select("change_id", "verdict", F.size("direct").alias("direct"), F.size("possible").alias("possible"))

@@ -102,3 +102,14 @@ def test_a_change_search_deals_edges_once_by_the_end_walked_to(spark):
     assert sorted((r.change_id, r.node_id) for r in found.collect()) == sorted((c, f"TC::{i:03d}") for c in (1, 2) for i in range(1, 20, 2))
     limits = [x for x in plan(found).split("\n") if "WindowGroupLimit" in x and "dense_rank" in x]
     assert limits and all("seed" in x for x in limits)
+
+
+def test_impact_counts_repeated_edges_once_and_deals_them_by_their_number(spark, monkeypatch):
+    nodes = spark.createDataFrame([("T1", "test_case"), ("T2", "test_case"), ("R", "requirement"), ("A", "attribute"), ("B", "attribute")], "node_id string, node_type string")
+    rows = [("T1", "A", "reads"), ("T1", "A", "reads"), ("T1", "A", "tests"), ("T2", "A", "tests"), ("R", "A", "reads"), ("R", "B", "reads")]
+    edges = spark.createDataFrame(rows, "src string, dst string, edge_type string")
+    changes = spark.createDataFrame([(1, "A", "datatype_changed"), (2, "B", "datatype_changed"), (3, "C", "access_changed"), (4, "A", "access_changed")], "change_id int, target string, kind string")
+    monkeypatch.setattr(G, "shares", lambda df: 7)
+    out = G.typed_impact(changes, nodes, edges)
+    assert "hashpartitioning(src" in plan(out) and plan(out).count(", 7), REPARTITION_BY_NUM") >= 4
+    assert {r.change_id: (r.verdict, r.direct, r.possible) for r in out.collect()} == {1: ("direct", ["T1"], ["T2"]), 2: ("gap", [], []), 3: ("unknown", [], []), 4: ("possible", [], ["T1", "T2"])}

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import trigrams
-from .lineage import cut
+from .lineage import cut, shares
 from .ranges import numbered
 
 #: The kinds with what they need, the planner's intents, words that make no phrase, and edges that count.
@@ -24,8 +24,8 @@ OF_CLUSTER = ("tests", "in_context")
 OF_ENTITY = ("tests_command", "verifies_attribute", "observes_event", "tests", "covers", "validates")
 DEPENDS = ("depends_on", "requires", "references", "related_to")
 SPECS = ("requirement", "behavior_rule")
-#: Tasks over which the answers to one question are dealt where they meet the requests that ask it.
-SALTS = 64
+#: Answers to one question that are dealt together to meet the requests that ask it, and answers for a task.
+BLOCK, SHARE = 1 << 12, 1 << 15
 MOST_REQUIREMENTS, MOST_TESTS, MOST_HITS, DEFAULT_HITS = 20, 5, 30, 10
 
 _ANSWER = "request_id", "status", "at", "of", "node_id"
@@ -157,6 +157,20 @@ def _keywords(b: DataFrame, nodes: DataFrame, edges: DataFrame) -> DataFrame:
 _KINDS = {"cluster_tests": _cluster_tests, "phrase_tests": _phrase_tests, "entity_coverage": _entity_coverage, "requirements": _requirements, "dependencies": _dependencies, "keywords": _keywords}
 
 
+def _told(r: DataFrame, every: DataFrame) -> DataFrame:
+    """(request_id, status, at, of, node_id): each answer once for each request that asks for it.
+
+    Answers to one question are dealt in blocks, and requests once for each block of theirs, so of their product a row for each
+    block and request is shuffled.  The requests of an answer come out one after the other, and a task has few enough answers
+    for a dictionary of Parquet's: what is then written is little more than the answers and the requests."""
+    block = ((F.col("at") - 1) / BLOCK).cast("int")
+    last = every.groupBy("body").agg(F.max(block).alias("last"))
+    n, keys = shares(every, SHARE), ["body", "_block"]
+    asked = r.select("request_id", "body").join(last, "body").select("request_id", "body", F.explode(F.sequence(F.lit(0), "last")).alias("_block"))
+    dealt = every.withColumn("_block", block).repartition(n, *keys)
+    return dealt.hint("merge").join(asked.repartition(n, *keys), keys).select(*_ANSWER)  # the left side's rows are gone through once
+
+
 def answered(requests: DataFrame, nodes: DataFrame, edges: DataFrame) -> DataFrame:
     """(request_id, status, at, of, node_id): the answers to each request, numbered from 1 in ``at``.
 
@@ -177,9 +191,6 @@ def answered(requests: DataFrame, nodes: DataFrame, edges: DataFrame) -> DataFra
     found = [x if "_first" in x.columns else x.withColumn("_first", F.lit(0)) for x in found]
     every = reduce(lambda x, y: x.unionByName(y), found).select("body", "status", "of", "node_id", "_first")
     every = cut(numbered(every, ["body"], ["_first", "of", "node_id"], "at").withColumn("at", (F.col("at") + 1).cast("int")).drop("_first"))
-    # an answer is joined once for each request, so the answers to one question are dealt to many tasks, and not sorted again
-    asked = r.select("request_id", "body", F.explode(F.array(*[F.lit(i) for i in range(SALTS)])).alias("_salt"))
-    told = asked.hint("merge").join(every.withColumn("_salt", F.col("at") % SALTS), ["body", "_salt"]).select(*_ANSWER)
     none = r.join(every.filter("at = 1").select("body"), "body", "left_anti")
     none = none.select("request_id", F.coalesce("problem", F.lit("none")).alias("status"), F.lit(None).cast("int").alias("at"), F.lit(None).cast("string").alias("of"), F.lit(None).cast("string").alias("node_id"))
-    return told.unionByName(none)
+    return _told(r, every).unionByName(none)

@@ -125,3 +125,15 @@ def test_requests_that_ask_the_same_are_one_question(spark):
     for x in Q._bodies(r).collect():
         bodies.setdefault(x.kind, set()).add(x.body)
     assert {k: len(v) for k, v in bodies.items()} == {"cluster_tests": 1, "dependencies": 1, "keywords": 2}
+
+
+def test_requests_of_an_answer_come_one_after_the_other(spark, monkeypatch):
+    monkeypatch.setattr(Q, "BLOCK", 8, raising=False)
+    monkeypatch.setattr(Q, "SHARE", 16, raising=False)
+    nodes = [(f"TC::{i:03}", "test_case", f"t{i}", "Door", "x") for i in range(50)]
+    n, e = spark.createDataFrame(nodes, "node_id string, node_type string, label string, cluster string, text string"), spark.createDataFrame([], "src string, dst string, edge_type string")
+    r = spark.createDataFrame([(i, "cluster_tests", "door", None, None, None, None, None) for i in range(40)] + [(None, "cluster_tests", "door", None, None, None, None, None)], COLUMNS)
+    parts = Q.answered(r, n, e).rdd.map(lambda x: (x.request_id, x["at"], x.node_id)).glom().collect()
+    assert sorted(((a, c, b) for p in parts for b, a, c in p), key=str) == sorted(((i + 1, x[0], k) for i, x in enumerate(nodes) for k in [None, *range(40)]), key=str)
+    assert sum(a[2] != b[2] for p in parts for a, b in zip([(0, 0, ""), *p], p, strict=False)) == 50
+    assert max(map(len, parts)) < 41 * 40

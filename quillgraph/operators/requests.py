@@ -6,6 +6,7 @@ Nodes: node_id, node_type, label, cluster, text (what keywords are looked for in
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -29,6 +30,9 @@ BLOCK, SHARE = 1 << 12, 1 << 15
 MOST_REQUIREMENTS, MOST_TESTS, MOST_HITS, DEFAULT_HITS = 20, 5, 30, 10
 
 _ANSWER = "request_id", "status", "at", "of", "node_id"
+#: Of a kind's questions: types of edges that tell their answers, the ends (one column) that these point to, and the answers
+#: by a table of such edges.
+_Asked = tuple[tuple[str, ...], DataFrame | None, Callable[[DataFrame], DataFrame]]
 
 
 def _low(c: str) -> Column:
@@ -77,23 +81,29 @@ def _holding(asked: DataFrame, key: str, held: DataFrame, text: str) -> DataFram
     return trigrams.contained(asked.select(F.col(key).alias("needle")), held.select(F.col(text).alias("text"))).withColumnsRenamed({"needle": key, "text": text})
 
 
-def _cluster_tests(b: DataFrame, nodes: DataFrame, edges: DataFrame) -> DataFrame:
+def _cluster_tests(b: DataFrame, nodes: DataFrame, edges: DataFrame) -> _Asked:
     b = b.withColumn("k", _norm(F.col("cluster"))).filter("k != ''")
     tests = nodes.filter("node_type = 'test_case'").select("node_id", _norm(F.col("cluster")).alias("n"))
     clusters = nodes.filter("node_type = 'cluster'").select(F.col("node_id").alias("dst"), _norm(F.col("label")).alias("n"))
     near = cut(trigrams.either_way(b, tests.select("n").union(clusters.select("n")), "k", "n").select("k", "n"))
     named = near.join(tests, "n").select("k", "node_id")
-    e = edges.filter(F.col("edge_type").isin(*OF_CLUSTER)).join(near.join(clusters, "n").select("k", "dst").distinct(), "dst").select("k", F.col("src").alias("node_id"))
-    linked = e.join(tests.select("node_id"), "node_id", "left_semi").select("k", "node_id")
-    return b.select("body", "k").join(named.union(linked).distinct(), "k").select("body", F.lit("found").alias("status"), F.lit(None).cast("string").alias("of"), "node_id")
+    ends = near.join(clusters, "n").select("k", "dst").distinct()
 
+    def told(edges: DataFrame) -> DataFrame:
+        e = edges.filter(F.col("edge_type").isin(*OF_CLUSTER)).join(ends, "dst").select("k", F.col("src").alias("node_id"))
+        linked = e.join(tests.select("node_id"), "node_id", "left_semi").select("k", "node_id")
+        return b.select("body", "k").join(named.union(linked).distinct(), "k").select("body", F.lit("found").alias("status"), F.lit(None).cast("string").alias("of"), "node_id")
 
-def _phrase_tests(b: DataFrame, nodes: DataFrame, edges: DataFrame) -> DataFrame:
+    return OF_CLUSTER, ends.select("dst"), told
+
+
+def _phrase_tests(b: DataFrame, nodes: DataFrame, edges: DataFrame) -> _Asked:
     tests = nodes.filter("node_type = 'test_case'").select("node_id", F.lower("text").alias("t"))
-    return b.join(_holding(b, "phrase", tests, "t"), "phrase").join(tests, "t").select("body", F.lit("found").alias("status"), F.lit(None).cast("string").alias("of"), "node_id")
+    found = b.join(_holding(b, "phrase", tests, "t"), "phrase").join(tests, "t").select("body", F.lit("found").alias("status"), F.lit(None).cast("string").alias("of"), "node_id")
+    return (), None, lambda edges: found
 
 
-def _entity_coverage(b: DataFrame, nodes: DataFrame, edges: DataFrame) -> DataFrame:
+def _entity_coverage(b: DataFrame, nodes: DataFrame, edges: DataFrame) -> _Asked:
     clusters = nodes.filter("node_type = 'cluster'").select(F.col("node_id").alias("c_id"), F.col("label").alias("c_label"), F.lower("label").alias("t"))
     alias = edges.filter("edge_type = 'alias_of'").select(F.col("src").alias("c_id"), F.col("dst").alias("b_id"))
     base = clusters.join(alias, "c_id").join(clusters.select(F.col("c_id").alias("b_id"), F.col("t").alias("base")), "b_id").groupBy(F.col("t").alias("cluster")).agg(F.min("base").alias("base"))
@@ -104,10 +114,14 @@ def _entity_coverage(b: DataFrame, nodes: DataFrame, edges: DataFrame) -> DataFr
     same = nodes.select(F.col("node_type").alias("entity_type"), F.lower("label").alias("name"), "node_id").groupBy("entity_type", "name").agg(F.min("node_id").alias("two"))
     found = cut(b.withColumn("name", F.lower("entity_name")).join(one, "body", "left").join(same, ["entity_type", "name"], "left").select("body", F.coalesce("one", "two").alias("of")))
     tests = nodes.filter("node_type = 'test_case'").select("node_id")
-    points = edges.filter(F.col("edge_type").isin(*OF_ENTITY)).select(F.col("src").alias("node_id"), F.col("dst").alias("of"))
-    points = points.join(found.select("of"), "of", "left_semi").distinct().join(tests, "node_id", "left_semi")
-    status = F.when(F.col("of").isNull(), "missing").when(F.col("node_id").isNull(), "gap").otherwise("covered")
-    return found.join(points, "of", "left").select("body", status.alias("status"), "of", "node_id")
+
+    def told(edges: DataFrame) -> DataFrame:
+        points = edges.filter(F.col("edge_type").isin(*OF_ENTITY)).select(F.col("src").alias("node_id"), F.col("dst").alias("of"))
+        points = points.join(found.select("of"), "of", "left_semi").distinct().join(tests, "node_id", "left_semi")
+        status = F.when(F.col("of").isNull(), "missing").when(F.col("node_id").isNull(), "gap").otherwise("covered")
+        return found.join(points, "of", "left").select("body", status.alias("status"), "of", "node_id")
+
+    return OF_ENTITY, found.select("of"), told
 
 
 def _scored(b: DataFrame, nodes: DataFrame, most: int) -> DataFrame:
@@ -129,34 +143,51 @@ def _ranked(scored: DataFrame, most: Column) -> DataFrame:
     return scored.withColumn("at", at).filter(F.col("at") <= most)
 
 
-def _requirements(b: DataFrame, nodes: DataFrame, edges: DataFrame) -> DataFrame:
+def _requirements(b: DataFrame, nodes: DataFrame, edges: DataFrame) -> _Asked:
     r = _ranked(_scored(b, nodes.filter(F.col("node_type").isin(*SPECS)), MOST_REQUIREMENTS), F.lit(MOST_REQUIREMENTS)).select("body", F.col("at").alias("_first"), F.col("node_id").alias("of"))
     r = cut(r)
     tests = nodes.filter("node_type = 'test_case'").select("node_id")
-    v = edges.filter("edge_type = 'verifies_requirement'").select(F.col("src").alias("node_id"), F.col("dst").alias("of"))
-    v = v.join(r.select("of"), "of", "left_semi").distinct().join(tests, "node_id", "left_semi")
-    v = v.withColumn("n", F.row_number().over(Window.partitionBy("of").orderBy("node_id"))).filter(F.col("n") <= MOST_TESTS)
-    return r.join(v, "of", "left").select("body", F.when(F.col("node_id").isNull(), "uncovered").otherwise("covered").alias("status"), "of", "node_id", "_first")
 
+    def told(edges: DataFrame) -> DataFrame:
+        v = edges.filter("edge_type = 'verifies_requirement'").select(F.col("src").alias("node_id"), F.col("dst").alias("of"))
+        v = v.join(r.select("of"), "of", "left_semi").distinct().join(tests, "node_id", "left_semi")
+        v = v.withColumn("n", F.row_number().over(Window.partitionBy("of").orderBy("node_id"))).filter(F.col("n") <= MOST_TESTS)
+        return r.join(v, "of", "left").select("body", F.when(F.col("node_id").isNull(), "uncovered").otherwise("covered").alias("status"), "of", "node_id", "_first")
+
+    return ("verifies_requirement",), r.select("of"), told
 
-def _dependencies(b: DataFrame, nodes: DataFrame, edges: DataFrame) -> DataFrame:
+
+def _dependencies(b: DataFrame, nodes: DataFrame, edges: DataFrame) -> _Asked:
     clusters = nodes.filter("node_type = 'cluster'").select(F.col("node_id").alias("target"), F.lower("label").alias("t"))
     targets = cut(b.join(_holding(b, "cluster", clusters, "t"), "cluster").join(clusters, "t").select("body", "direction", "target").distinct())
-    e = edges.filter(F.col("edge_type").isin(*DEPENDS))
-    both = e.select(F.col("dst").alias("target"), F.col("src").alias("node_id"), F.lit("in").alias("direction")).union(e.select("src", "dst", F.lit("out"))).distinct()
-    others = targets.join(both, ["target", "direction"]).select("body", "node_id").distinct().join(clusters.select(F.col("target").alias("node_id")), "node_id", "left_semi")
-    others = others.join(targets.select("body", F.col("target").alias("node_id")), ["body", "node_id"], "left_anti")
-    return others.select("body", F.lit("found").alias("status"), F.lit(None).cast("string").alias("of"), "node_id")
+
+    def told(edges: DataFrame) -> DataFrame:
+        e = edges.filter(F.col("edge_type").isin(*DEPENDS))
+        both = e.select(F.col("dst").alias("target"), F.col("src").alias("node_id"), F.lit("in").alias("direction")).union(e.select("src", "dst", F.lit("out"))).distinct()
+        others = targets.join(both, ["target", "direction"]).select("body", "node_id").distinct().join(clusters.select(F.col("target").alias("node_id")), "node_id", "left_semi")
+        others = others.join(targets.select("body", F.col("target").alias("node_id")), ["body", "node_id"], "left_anti")
+        return others.select("body", F.lit("found").alias("status"), F.lit(None).cast("string").alias("of"), "node_id")
+
+    return (), None, told
 
 
-def _keywords(b: DataFrame, nodes: DataFrame, edges: DataFrame) -> DataFrame:
+def _keywords(b: DataFrame, nodes: DataFrame, edges: DataFrame) -> _Asked:
     n = nodes.filter(F.col("node_type").isin(*SPECS, "test_case"))
-    return _ranked(_scored(b, n, MOST_HITS), F.lit(MOST_HITS)).filter(F.col("at") <= F.col("most")).select("body", F.lit("found").alias("status"), F.lit(None).cast("string").alias("of"), "node_id", F.col("at").alias("_first"))
+    found = _ranked(_scored(b, n, MOST_HITS), F.lit(MOST_HITS)).filter(F.col("at") <= F.col("most")).select("body", F.lit("found").alias("status"), F.lit(None).cast("string").alias("of"), "node_id", F.col("at").alias("_first"))
+    return (), None, lambda edges: found
 
 
 _KINDS = {"cluster_tests": _cluster_tests, "phrase_tests": _phrase_tests, "entity_coverage": _entity_coverage, "requirements": _requirements, "dependencies": _dependencies, "keywords": _keywords}
 
 
+def _pointing(edges: DataFrame, asked: list[_Asked]) -> DataFrame:
+    """Edges that some answer can rest on: those between clusters, and of other types those that point to an end asked for."""
+    ends = reduce(lambda x, y: x.union(y), [d.select(F.explode(F.array(*[F.lit(t) for t in types])).alias("edge_type"), F.col(d.columns[0]).alias("dst")) for types, d, _ in asked if types])
+    ends = cut(ends.distinct())
+    met = edges.select("src", "dst", "edge_type").join(ends.withColumn("_met", F.lit(True)), ["edge_type", "dst"], "left")
+    return cut(met.filter(F.col("_met").isNotNull() | F.col("edge_type").isin(*DEPENDS)).select("src", "dst", "edge_type"))
+
+
 def _told(r: DataFrame, every: DataFrame) -> DataFrame:
     """(request_id, status, at, of, node_id): each answer once for each request that asks for it.
 
@@ -183,11 +214,14 @@ def answered(requests: DataFrame, nodes: DataFrame, edges: DataFrame) -> DataFra
 
     A request of another kind gives one row 'unknown', one that lacks what its kind needs 'invalid', one without an answer
     'none'.  Cases don't count, but in ids; null and empty are alike; repeated requests are answered each.  Requests that ask
-    the same, in what their kind depends on, are worked on once; names and words are looked up by grams.  The graph is written once, as each kind reads it.
+    the same, in what their kind depends on, are worked on once; names and words are looked up by grams.  Nodes are written once, as each kind reads them; of the edges, which may repeat,
+    only those that questions ask for.
     """
-    r, nodes, edges = cut(_bodies(requests)), cut(nodes.select("node_id", "node_type", "label", "cluster", "text")), cut(edges.select("src", "dst", "edge_type"))
+    r, nodes = cut(_bodies(requests)), cut(nodes.select("node_id", "node_type", "label", "cluster", "text"))
     b = r.filter("problem is null").drop("request_id", "problem").dropDuplicates(["body"])
-    found = [f(b.filter(F.col("kind") == k), nodes, edges) for k, f in _KINDS.items()]
+    asked = [f(b.filter(F.col("kind") == k), nodes, edges) for k, f in _KINDS.items()]
+    pointing = _pointing(edges, asked)
+    found = [told(pointing) for _, _, told in asked]
     found = [x if "_first" in x.columns else x.withColumn("_first", F.lit(0)) for x in found]
     every = reduce(lambda x, y: x.unionByName(y), found).select("body", "status", "of", "node_id", "_first")
     every = cut(numbered(every, ["body"], ["_first", "of", "node_id"], "at").withColumn("at", (F.col("at") + 1).cast("int")).drop("_first"))

@@ -130,10 +130,21 @@ def test_requests_that_ask_the_same_are_one_question(spark):
 def test_requests_of_an_answer_come_one_after_the_other(spark, monkeypatch):
     monkeypatch.setattr(Q, "BLOCK", 8, raising=False)
     monkeypatch.setattr(Q, "SHARE", 16, raising=False)
-    nodes = [(f"TC::{i:03}", "test_case", f"t{i}", "Door", "x") for i in range(50)]
+    nodes = [(f"TC::{i:03}", "test_case", f"t{i}", "Door", "x") for i in range(130)]
     n, e = spark.createDataFrame(nodes, "node_id string, node_type string, label string, cluster string, text string"), spark.createDataFrame([], "src string, dst string, edge_type string")
     r = spark.createDataFrame([(i, "cluster_tests", "door", None, None, None, None, None) for i in range(40)] + [(None, "cluster_tests", "door", None, None, None, None, None)], COLUMNS)
     parts = Q.answered(r, n, e).rdd.map(lambda x: (x.request_id, x["at"], x.node_id)).glom().collect()
     assert sorted(((a, c, b) for p in parts for b, a, c in p), key=str) == sorted(((i + 1, x[0], k) for i, x in enumerate(nodes) for k in [None, *range(40)]), key=str)
-    assert sum(a[2] != b[2] for p in parts for a, b in zip([(0, 0, ""), *p], p, strict=False)) == 50
-    assert max(map(len, parts)) < 41 * 40
+    assert sum(a[2] != b[2] for p in parts for a, b in zip([(0, 0, ""), *p], p, strict=False)) == 130
+    assert max(map(len, parts)) < 41 * 65
+
+
+def test_edges_that_no_question_asks_for_are_not_written(spark, monkeypatch):
+    kept, real = [], Q._pointing
+    monkeypatch.setattr(Q, "_pointing", lambda *x: kept.append(real(*x)) or kept[-1])
+    nodes = [("CLUSTER::Door", "cluster", "Door", "", "x"), ("CLUSTER::Fan", "cluster", "Fan", "", "x"), ("TC::1", "test_case", "t1", "", "x")]
+    edges = [("TC::1", "CLUSTER::Door", "tests"), ("TC::1", "CLUSTER::Fan", "tests"), ("TC::1", "CLUSTER::Door", "covers"), ("CLUSTER::Fan", "CLUSTER::Door", "requires"), ("TC::1", None, "tests"), ("TC::1", "CLUSTER::Door", None)]
+    n, e = spark.createDataFrame(nodes, "node_id string, node_type string, label string, cluster string, text string"), spark.createDataFrame(edges, "src string, dst string, edge_type string")
+    r = spark.createDataFrame([(1, "cluster_tests", "door", None, None, None, None, None)], COLUMNS)
+    assert [tuple(x) for x in Q.answered(r, n, e).collect()] == [(1, "found", 1, None, "TC::1")]
+    assert sorted(map(tuple, kept[0].collect())) == [("CLUSTER::Fan", "CLUSTER::Door", "requires"), ("TC::1", "CLUSTER::Door", "tests")]

@@ -25,6 +25,8 @@ OF_CLUSTER = ("tests", "in_context")
 OF_ENTITY = ("tests_command", "verifies_attribute", "observes_event", "tests", "covers", "validates")
 DEPENDS = ("depends_on", "requires", "references", "related_to")
 SPECS = ("requirement", "behavior_rule")
+#: Ends asked for up to which they go to every task; beyond, edges may be shuffled to them.
+SENT = 1 << 17
 #: Answers to one question that are dealt together to meet the requests that ask it, and answers for a task.
 BLOCK, SHARE = 1 << 12, 1 << 15
 MOST_REQUIREMENTS, MOST_TESTS, MOST_HITS, DEFAULT_HITS = 20, 5, 30, 10
@@ -183,8 +185,9 @@ _KINDS = {"cluster_tests": _cluster_tests, "phrase_tests": _phrase_tests, "entit
 def _pointing(edges: DataFrame, asked: list[_Asked]) -> DataFrame:
     """Edges that some answer can rest on: those between clusters, and of other types those that point to an end asked for."""
     ends = reduce(lambda x, y: x.union(y), [d.select(F.explode(F.array(*[F.lit(t) for t in types])).alias("edge_type"), F.col(d.columns[0]).alias("dst")) for types, d, _ in asked if types])
-    ends = cut(ends.distinct())
-    met = edges.select("src", "dst", "edge_type").join(ends.withColumn("_met", F.lit(True)), ["edge_type", "dst"], "left")
+    ends = cut(ends.distinct().withColumn("_met", F.lit(True)))
+    ends = F.broadcast(ends) if ends.count() <= SENT else ends
+    met = edges.select("src", "dst", "edge_type").join(ends, ["edge_type", "dst"], "left")
     return cut(met.filter(F.col("_met").isNotNull() | F.col("edge_type").isin(*DEPENDS)).select("src", "dst", "edge_type"))
 
 
